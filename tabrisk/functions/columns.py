@@ -114,3 +114,13 @@ def hash_unit(id_col: str | Column, seed: int | str) -> Column:
     """Deterministic value in [0, 1) from the first 8 hex digits of ``hash_key``."""
     h = F.conv(F.substring(hash_key(id_col, seed), 1, 8), 16, 10).cast("double")
     return h / F.lit(4294967296.0)
+
+
+def round_binary(c: str | Column, dp: int) -> Column:
+    """Round the binary value: ``round(x * 10^dp) / 10^dp`` with ties away from zero.
+
+    Matches SQL engines that round the double itself (and NumPy up to the tie rule);
+    Spark's ``round`` rounds the shortest decimal text, which differs on exact ties.
+    """
+    scale = float(10 ** dp)
+    return F.round(_c(c) * F.lit(scale), 0) / F.lit(scale)

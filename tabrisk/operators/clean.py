@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabrisk.functions.columns import nan_to_null, strip_ws
+from tabrisk.functions.columns import nan_to_null, round_binary, strip_ws
 from tabrisk.operators.ranking import exact_quantiles
 
 
@@ -25,7 +25,7 @@ def normalize_notebook(df: DataFrame, cols: Sequence[str], modes: dict[str, str]
 def fit_medians(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dict[str, float | None]:
     """Median of each column (NULL/NaN skipped). Exact by default via a distributed sort."""
     q = exact_quantiles(df, cols, [0.5], method=method).collect()
-    got = {r["column"]: r["value"] for r in q}
+    got = {r["column_name"]: r["value"] for r in q}
     return {c: got.get(c) for c in cols}
 
 
@@ -37,15 +37,15 @@ def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     never lands in a single task.
     """
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-            .unpivot([], list(cols), "column", "value").where(F.col("value").isNotNull()))
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy("column").agg(F.max("n").alias("n"))
-    return (counts.join(top, ["column", "n"], "inner")
-            .groupBy("column").agg(F.min("value").alias("value"), F.first("n").alias("n")))
+            .unpivot([], list(cols), "column_name", "value").where(F.col("value").isNotNull()))
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("column_name").agg(F.max("n").alias("n"))
+    return (counts.join(top, ["column_name", "n"], "inner")
+            .groupBy("column_name").agg(F.min("value").alias("value"), F.first("n").alias("n")))
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
-    got = {r["column"]: r["value"] for r in mode_table(df, cols).collect()}
+    got = {r["column_name"]: r["value"] for r in mode_table(df, cols).collect()}
     return {c: got.get(c) for c in cols}
 
 
@@ -78,7 +78,7 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, n_null)`` from one aggregate over all columns."""
     cols = list(cols or df.columns)
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return wide.unpivot([], cols, "column", "n_null")
+    return wide.unpivot([], cols, "column_name", "n_null")
 
 
 def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -86,11 +86,11 @@ def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     cols = list(cols or df.columns)
     wide = df.agg(F.count(F.lit(1)).alias("__rows"),
                   *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    long = wide.unpivot(["__rows"], cols, "column", "missing")
+    long = wide.unpivot(["__rows"], cols, "column_name", "missing")
     return (long.where(F.col("missing") > 0)
-            .select("column", F.col("missing").cast("long").alias("missing"),
-                    F.round(F.col("missing") * 100.0 / F.col("__rows"), 2).alias("pct"))
-            .orderBy(F.desc("missing"), "column"))
+            .select("column_name", F.col("missing").cast("long").alias("missing"),
+                    round_binary(F.col("missing") * 100.0 / F.col("__rows"), 2).alias("pct"))
+            .orderBy(F.desc("missing"), "column_name"))
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -129,20 +129,20 @@ def quality_snapshot(df: DataFrame, name: str) -> DataFrame:
     return per.agg(F.sum("__n").cast("long").alias("rows"),
                    F.sum(F.col("__n") * nulls).cast("long").alias("missing_cells"),
                    F.sum(F.col("__n") - 1).cast("long").alias("duplicates")).select(
-        F.lit(name).alias("table"), "rows", F.lit(len(cols)).alias("n_columns"),
+        F.lit(name).alias("table_name"), "rows", F.lit(len(cols)).alias("n_columns"),
         "missing_cells", "duplicates")
 
 
 def expect_no_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Violations of the zero-null expectation: ``(column, n_null)`` rows with n_null > 0."""
     return (null_counts(df, cols).where(F.col("n_null") > 0)
-            .select("column", F.col("n_null").cast("long").alias("n_null")))
+            .select("column_name", F.col("n_null").cast("long").alias("n_null")))
 
 
 def assert_no_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> None:
     bad = expect_no_nulls(df, cols).collect()
     if bad:
-        raise AssertionError(f"null values found: {[(r['column'], r['n_null']) for r in bad]}")
+        raise AssertionError(f"null values found: {[(r['column_name'], r['n_null']) for r in bad]}")
 
 
 def missing_pattern(df: DataFrame, cols: Sequence[str]) -> DataFrame:

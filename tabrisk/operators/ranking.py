@@ -69,9 +69,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     by = list(by)
     long = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot(by, list(cols), "column", "value"))
+            .unpivot(by, list(cols), "column_name", "value"))
     long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    keys = [*by, "column"]
+    keys = [*by, "column_name"]
     plist = [float(p) for p in probs]
     if method == "approx":
         agg = long.groupBy(*keys).agg(

@@ -21,7 +21,11 @@ DP = 4
 
 
 def r(c: str | Column, dp: int = DP) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, dp)
+    """Round like DuckDB ``round(x, dp)``: the binary value times 10^dp to the nearest
+    integer (half away from zero), divided back. Spark's ``round`` rounds the shortest
+    decimal text instead, which differs on exact decimal ties."""
+    from tabrisk.functions.columns import round_binary
+    return round_binary(c, dp)
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:

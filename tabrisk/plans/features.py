@@ -105,7 +105,7 @@ def _flagship_spark(spark, sf_dir):
     from pyspark.sql import Window
     total = F.sum("n").over(Window.partitionBy())  # a 3-row table
     return per.select("o_orderstatus", code.cast("int").alias("label_code"), F.col("n").cast("long"),
-                      F.round(F.col("n") * 100.0 / total, 2).alias("pct"),
+                      r(F.col("n") * 100.0 / total, 2).alias("pct"),
                       *[r(f"mean_z_{c}").alias(f"mean_z_{c}") for c in GZ_COLS])
 
 
@@ -116,7 +116,7 @@ z AS (SELECT p.o_orderkey, p.o_orderstatus, {', '.join(
 SELECT o_orderstatus,
        CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END AS INTEGER) AS label_code,
        CAST(count(*) AS BIGINT) AS n,
-       round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct,
+       (round(count(*) * 100.0 / sum(count(*)) OVER (), 2) + CAST(0 AS DOUBLE)) AS pct,
        {', '.join(rs(f"avg(z_{c})") + f" AS mean_z_{c}" for c in GZ_COLS)}
 FROM z GROUP BY o_orderstatus"""
 
