@@ -128,3 +128,41 @@ scores AS (
   SELECT o_orderkey, label, model, CAST(class AS INTEGER) AS class,
          s / sum(s) OVER (PARTITION BY o_orderkey, model) AS prob
   FROM sc_raw)"""
+
+
+def fold_scores_long(spark: SparkSession, sf_dir: str, n_folds: int = 5) -> DataFrame:
+    """``(o_orderkey, label, fold, model, class, prob)``: a per-fold prediction cube.
+
+    Fold f perturbs the raw score of class c by ``(id + f*(c+1)) % 3`` before normalising.
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = o.withColumn("label", _label_code("o_orderstatus"))
+    entries = []
+    for mi, m in enumerate(MODELS):
+        base_raw = [(F.lit(1) + (F.col("o_orderkey") * (7 + 2 * mi) + F.col("o_custkey") * (c + 3)) % 10
+                     + F.when(F.col("label") == c, F.lit(6 - 2 * mi)).otherwise(F.lit(0)))
+                    for c in range(len(CLASSES))]
+        for f in range(n_folds):
+            raw = [(b + (F.col("o_orderkey") + f * (c + 1)) % 3).cast("double") for c, b in enumerate(base_raw)]
+            total = (raw[0] + raw[1]) + raw[2]
+            for c in range(len(CLASSES)):
+                entries.append(F.struct(F.lit(f).alias("fold"), F.lit(m).alias("model"),
+                                        F.lit(c).alias("class"), (raw[c] / total).alias("prob")))
+    return o.select("o_orderkey", "label", F.inline(F.array(*entries)))
+
+
+FOLD_SCORES_SQL = """
+fs_raw AS (
+  SELECT o.o_orderkey, m.model, k.class, f.fold,
+         CAST(1 + (o.o_orderkey * (7 + 2 * m.mi) + o.o_custkey * (k.class + 3)) % 10
+              + CASE WHEN k.class = (CASE o.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END)
+                     THEN 6 - 2 * m.mi ELSE 0 END
+              + (o.o_orderkey + f.fold * (k.class + 1)) % 3 AS DOUBLE) AS s
+  FROM orders o
+  CROSS JOIN (VALUES (0, 'm1'), (1, 'm2'), (2, 'm3')) m(mi, model)
+  CROSS JOIN (VALUES (0), (1), (2)) k(class)
+  CROSS JOIN (VALUES (0), (1), (2), (3), (4)) f(fold)),
+fold_scores AS (
+  SELECT o_orderkey, model, CAST(class AS INTEGER) AS class, fold,
+         s / sum(s) OVER (PARTITION BY o_orderkey, model, fold) AS prob
+  FROM fs_raw)"""
