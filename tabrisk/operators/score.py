@@ -32,7 +32,8 @@ def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     partitioning (sum is commutative); a single changed value changes it.
     """
     cols = list(cols or df.columns)
-    row_text = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    # '|'-joined text of the values (NULL as \N): the same bytes in any SQL engine
+    row_text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
     h = F.conv(F.substring(F.md5(row_text), 1, 8), 16, 10).cast("long")
     return df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"), F.sum(h).cast("long").alias("checksum"))
 
@@ -90,3 +91,59 @@ def trace_json(df: DataFrame, id_col: str, groups: dict[str, Sequence[str]]) ->
     """Per-row audit record: named groups of columns (raw, engineered, scaled, …) as JSON."""
     st = F.struct(*[F.struct(*[F.col(c) for c in cols]).alias(g) for g, cols in groups.items()])
     return df.select(id_col, F.to_json(st).alias("trace"))
+
+
+VOCAB_LITERAL_MAX = 10_000  # larger vocabularies are joined as tables instead of map literals
+
+
+@dataclass(frozen=True)
+class FittedPrep:
+    """Fitted, literal-only preprocessing: the same projection serves batch and stream.
+
+    mode fill → lower/strip → median fill → label codes (unseen → 0) → standard scale.
+    """
+    numeric: tuple
+    categorical: tuple
+    medians: dict
+    modes: dict
+    vocab: dict
+    mean: dict
+    std: dict
+
+    @property
+    def feature_names(self) -> tuple:
+        return tuple(f"{c}_scaled" for c in self.numeric) + tuple(f"{c}_code" for c in self.categorical)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        from tabrisk.functions.columns import nan_to_null, ordinal_map, strip_ws
+        cols = {}
+        for c in self.categorical:
+            norm = F.lower(strip_ws(F.coalesce(F.col(c), F.lit(self.modes[c]))))
+            cols[c] = norm
+        out = df.withColumns(cols)
+        num = {c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(float(self.medians[c])))
+               for c in self.numeric}
+        out = out.withColumns(num)
+        derived = {}
+        for c in self.categorical:
+            derived[f"{c}_code"] = ordinal_map(c, self.vocab[c], 0).cast("double")
+        for c in self.numeric:
+            s = self.std[c]
+            derived[f"{c}_scaled"] = (F.col(c) - F.lit(self.mean[c])) / F.lit(1.0 if not s else s)
+        return out.withColumns(derived)
+
+
+def fit_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FittedPrep:
+    from tabrisk.operators.clean import fit_imputer, normalize_notebook
+    from tabrisk.operators.encode import fit_scaler, fit_vocabulary
+    imp = fit_imputer(train, numeric, categorical)
+    t = normalize_notebook(train, categorical, imp.modes)
+    t = t.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(imp.medians[c]))) for c in numeric})
+    vocab = {}
+    for c in categorical:
+        v = fit_vocabulary(t, c)
+        if v.count() > VOCAB_LITERAL_MAX:
+            raise ValueError(f"vocabulary of {c} too large for a literal map; encode with encode.label_encode")
+        vocab[c] = {r["value"]: r["code"] for r in v.collect()}
+    sc = fit_scaler(t, numeric)
+    return FittedPrep(tuple(numeric), tuple(categorical), imp.medians, imp.modes, vocab, sc.mean, sc.std)

@@ -1,3 +1,30 @@
-"""Queries: io_plans."""
+"""Scan / sink queries (A1–A3)."""
 
-from tabrisk.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabrisk.plans.registry import register
+from tabrisk.session import scratch_path
+from tabrisk.sources import files
+from tabrisk.sources.tables import table
+
+
+@register("scan_csv_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_scan_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "nation_csv")
+    files.write_csv(table(spark, sf_dir, "nation"), path)
+    return files.read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+
+
+@register("scan_csv_customer", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_scan_csv_customer(spark, sf_dir):
+    path = scratch_path(spark, "customer_csv")
+    files.write_csv(table(spark, sf_dir, "customer"), path)
+    return files.read_csv(spark, path, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                                       "c_mktsegment string")
+
+
+@register("scan_ids", "SELECT o_orderkey FROM orders")
+def q_scan_ids(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey")

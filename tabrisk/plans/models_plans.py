@@ -1,3 +1,193 @@
-"""Queries: models_plans."""
+"""Model queries (M1–M18, N4, N7) — rows-only tier: fitting has no SQL equivalent.
 
-from tabrisk.plans.registry import register  # noqa: F401
+Models train on the bound order table (train rows) and score its validation rows,
+so the work grows with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabrisk.functions.columns import argmax_first
+from tabrisk.operators import encode, models, split
+from tabrisk.operators.score import fit_prep
+from tabrisk.plans.common import CAT, ID, LABEL, NUM
+from tabrisk.plans.registry import register
+from tabrisk.sources.tables import CLASSES, base
+
+K = len(CLASSES)
+
+
+def model_table(spark, sf_dir) -> tuple[DataFrame, tuple]:
+    """Features (scaled numerics + codes), label code, balanced weight, fold and split.
+
+    All statistics are fitted on the train rows only; the table is persisted because
+    every fold / model re-reads it.
+    """
+    b = base(spark, sf_dir)
+    train = b.where(F.col("is_train") == 1)
+    prep = fit_prep(train, NUM, CAT)
+    df = prep.apply(b)
+    code = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col(LABEL)) - 1
+    df = df.withColumn("label", code.cast("double"))
+    df = encode.assemble(df, prep.feature_names)
+    df = split.balanced_weights(df, LABEL)
+    tr = split.stratified_kfold(df.where(F.col("is_train") == 1).select(ID, LABEL), LABEL, ID, 5, 42)
+    df = df.join(tr.select(ID, "fold"), ID, "left")
+    df = df.select(ID, "label", "weight", "fold", "is_train", "features").persist()
+    return df, prep.feature_names
+
+
+def _train_valid(spark, sf_dir):
+    df, names = model_table(spark, sf_dir)
+    return df.where(F.col("is_train") == 1), df.where(F.col("is_train") == 0), names
+
+
+def _proba_out(model, valid: DataFrame) -> DataFrame:
+    pf = models.proba_frame(model, valid, [ID, "label"])
+    return pf.select(ID, F.col("label").cast("int").alias("label"), F.col("pred").cast("int").alias("pred"),
+                     *[F.col("proba")[c].alias(f"p{c}") for c in range(K)])
+
+
+@register("train_logreg")
+def q_train_logreg(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    return _proba_out(models.logistic_regression(max_iter=500).fit(train), valid)
+
+
+@register("train_tree")
+def q_train_tree(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    return _proba_out(models.decision_tree(max_depth=10, min_instances=10).fit(train), valid)
+
+
+@register("train_forest")
+def q_train_forest(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    return _proba_out(models.random_forest(num_trees=100, max_depth=15, min_instances=5).fit(train), valid)
+
+
+@register("train_forest_nobootstrap")
+def q_train_forest_nobootstrap(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    rf = models.random_forest(num_trees=50, max_depth=16, min_instances=5, bootstrap=False)
+    return _proba_out(rf.fit(train), valid)
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    bundle = models.fit_boosted_members(train, K, max_iter=20, step=0.1, max_depth=5)
+    return _proba_out(bundle, valid)
+
+
+@register("ovr_probabilities")
+def q_ovr_probabilities(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    bundle = models.fit_boosted_members(train, K, max_iter=10, step=0.1, max_depth=4, subsample=0.85,
+                                        feature_subset="0.85")
+    out = _proba_out(bundle, valid)
+    return out.withColumn("p_sum", F.col("p0") + F.col("p1") + F.col("p2"))
+
+
+@register("top_features")
+def q_top_features(spark, sf_dir):
+    train, _, names = _train_valid(spark, sf_dir)
+    rf = models.random_forest(num_trees=50, max_depth=10).fit(train)
+    return models.feature_importances(rf, names, spark, top=5)
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    train, _, _ = _train_valid(spark, sf_dir)
+    lr = models.logistic_regression(max_iter=100)
+    oof, per_fold = models.cross_validate(train, lr.fit, 5, [ID, "label"], name="logreg")
+    summ = per_fold.agg(F.lit(-1).alias("fold"), F.avg("f1_w").alias("f1_w"),
+                        F.stddev_pop("f1_w").alias("f1_std"))
+    return per_fold.withColumn("f1_std", F.lit(None).cast("double")).unionByName(summ)
+
+
+@register("grid_search")
+def q_grid_search(spark, sf_dir):
+    train, valid, _ = _train_valid(spark, sf_dir)
+    dt = models.decision_tree(max_depth=5, min_instances=1)
+    grid = models.param_grid(dt, maxDepth=[4, 8], minInstancesPerNode=[1, 20])
+    cvm = models.grid_search(train, dt, grid)
+    rows = [(int(pm[dt.getParam("maxDepth")]), int(pm[dt.getParam("minInstancesPerNode")]), float(m))
+            for pm, m in zip(grid, cvm.avgMetrics)]
+    res = spark.createDataFrame(rows, "max_depth int, min_instances int, mean_f1 double")
+    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
+    held = models.weighted_f1(models.proba_frame(cvm.bestModel, valid, ["label"]))
+    return res.withColumn("is_best", ((F.col("max_depth") == rows[best][0]) &
+                                      (F.col("min_instances") == rows[best][1])).cast("int")) \
+        .withColumn("best_valid_f1", F.lit(held))
+
+
+@register("random_search")
+def q_random_search(spark, sf_dir):
+    train, _, _ = _train_valid(spark, sf_dir)
+    dt = models.decision_tree()
+    grid = models.param_grid(dt, maxDepth=[3, 5, 7, 9], minInstancesPerNode=[1, 5, 20])
+    cvm, picked = models.random_search(train, dt, grid, n_iter=4, seed=42)
+    rows = [(int(pm[dt.getParam("maxDepth")]), int(pm[dt.getParam("minInstancesPerNode")]), float(m))
+            for pm, m in zip(picked, cvm.avgMetrics)]
+    return spark.createDataFrame(rows, "max_depth int, min_instances int, mean_f1 double")
+
+
+def _oof_stack(spark, sf_dir):
+    train, _, _ = _train_valid(spark, sf_dir)
+    lr = models.oof_predictions(train, models.logistic_regression(max_iter=100).fit, 5, [ID, "label"],
+                                name="logreg")
+    dt = models.oof_predictions(train, models.decision_tree(max_depth=6).fit, 5, [ID, "label"], name="tree")
+    both = lr.unionByName(dt)
+    return both.select(ID, "label", "fold", "model", F.posexplode("proba").alias("class", "prob"))
+
+
+@register("oof_stack")
+def q_oof_stack(spark, sf_dir):
+    return _oof_stack(spark, sf_dir).select(ID, F.col("label").cast("int"), "fold", "model", "class", "prob")
+
+
+@register("meta_learner")
+def q_meta_learner(spark, sf_dir):
+    from tabrisk.operators.ensemble import long_to_wide
+    long = _oof_stack(spark, sf_dir)
+    wide = long_to_wide(long, ID, ["logreg", "tree"], K)
+    stack_cols = [c for c in wide.columns if c != ID]
+    meta = (wide.join(long.select(ID, "label", "fold").distinct(), ID)
+            .withColumn("weight", F.lit(1.0)))
+    meta = encode.assemble(meta, stack_cols)
+    # cross-fitted: the meta model that scores fold f never saw fold f
+    oof = models.oof_predictions(meta, models.logistic_regression(max_iter=100).fit, 5, [ID, "label"],
+                                 name="meta")
+    return oof.select(ID, F.col("label").cast("int"), "fold", F.col("pred").cast("int"),
+                      *[F.col("proba")[c].alias(f"p{c}") for c in range(K)])
+
+
+@register("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    from tabrisk.session import scratch_path
+    df, names = model_table(spark, sf_dir)
+    pipe = models.build_pipeline([models.logistic_regression(max_iter=50)])
+    fitted = pipe.fit(df.where(F.col("is_train") == 1))
+    path = scratch_path(spark, "pipeline_model")
+    models.save_pipeline(fitted, path)
+    loaded = models.load_pipeline(path)
+    out = loaded.transform(df.where(F.col("is_train") == 0))
+    return out.select(ID, F.col("prediction").cast("int").alias("pred"))
+
+
+@register("bundle_metadata")
+def q_bundle_metadata(spark, sf_dir):
+    import pyspark
+    train, valid, names = _train_valid(spark, sf_dir)
+    model = models.decision_tree(max_depth=6).fit(train)
+    f1 = models.weighted_f1(models.proba_frame(model, valid, ["label"]))
+    row = [(
+        {c: i for i, c in enumerate(CLASSES)}, list(names), {"valid_f1_weighted": float(f1)},
+        {"spark": pyspark.__version__}, "DecisionTreeClassifier",
+    )]
+    meta = spark.createDataFrame(row, "class_map map<string,int>, feature_names array<string>, "
+                                      "metrics map<string,double>, versions map<string,string>, model_type string")
+    return meta.withColumn("created_at", F.current_timestamp())

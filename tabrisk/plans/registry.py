@@ -39,6 +39,7 @@ def load_all() -> None:
         metrics_plans,
         models_plans,
         profiling,
+        knn_plans,
         scoring,
         splits,
     )
