@@ -126,11 +126,11 @@ def cross_validate(df: DataFrame, fit: Callable[[DataFrame], object], k_folds: i
 
 
 def grid_search(df: DataFrame, estimator, grid: list, fold_col: str = "fold", label: str = "label",
-                parallelism: int = 4):
+                parallelism: int = 4, k_folds: int = 5):
     """``CrossValidator`` over user-assigned folds (weighted F1); best model refit on all rows."""
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=42)
+                        numFolds=k_folds, parallelism=parallelism, seed=42)
     return cv.fit(df.withColumn(fold_col, F.col(fold_col).cast("int")))
 
 
