@@ -38,7 +38,8 @@ def logistic_regression(label: str = "label", weight: str | None = "weight", max
 def decision_tree(label: str = "label", weight: str | None = "weight", max_depth: int = 10,
                   min_instances: int = 10, seed: int = 42) -> DecisionTreeClassifier:
     dt = DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=min(max_depth, MAX_TREE_DEPTH),
-                                minInstancesPerNode=min_instances, seed=seed)
+                                minInstancesPerNode=min_instances, seed=seed, cacheNodeIds=True,
+                                maxMemoryInMB=1024, checkpointInterval=10)
     if weight:
         dt.setWeightCol(weight)
     return dt
@@ -49,9 +50,11 @@ def random_forest(label: str = "label", weight: str | None = "weight", num_trees
                   seed: int = 42) -> RandomForestClassifier:
     """Forest with sqrt feature sampling; ``bootstrap=False`` is the de-correlated
     no-resampling variant (MLlib offers no random cut-points, so not 'extra trees')."""
+    # Deep trees: cache node ids (no re-descent per level), larger node batches per pass.
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=min(max_depth, MAX_TREE_DEPTH), minInstancesPerNode=min_instances,
-                                featureSubsetStrategy="sqrt", bootstrap=bootstrap, seed=seed)
+                                featureSubsetStrategy="sqrt", bootstrap=bootstrap, seed=seed,
+                                cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     if weight:
         rf.setWeightCol(weight)
     return rf
@@ -69,7 +72,7 @@ def fit_boosted_members(df: DataFrame, k: int, label: str = "label", weight: str
     for c in range(k):
         g = GBTClassifier(labelCol="__bin", featuresCol="features", maxIter=max_iter, stepSize=step,
                           maxDepth=max_depth, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
-                          seed=seed)
+                          seed=seed, cacheNodeIds=True, checkpointInterval=10)
         if weight:
             g.setWeightCol(weight)
         members.append(g.fit(df.withColumn("__bin", (F.col(label) == c).cast("double"))))

@@ -35,7 +35,10 @@ def model_table(spark, sf_dir) -> tuple[DataFrame, tuple]:
     df = split.balanced_weights(df, LABEL)
     tr = split.stratified_kfold(df.where(F.col("is_train") == 1).select(ID, LABEL), LABEL, ID, 5, 42)
     df = df.join(tr.select(ID, "fold"), ID, "left")
-    df = df.select(ID, "label", "weight", "fold", "is_train", "features").persist()
+    # AQE may coalesce a small shuffle into one partition; MLlib parallelises over the
+    # input partitions, so spread the persisted training table over all executor cores.
+    n = spark.sparkContext.defaultParallelism
+    df = df.select(ID, "label", "weight", "fold", "is_train", "features").repartition(n, ID).persist()
     return df, prep.feature_names
 
 
