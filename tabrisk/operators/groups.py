@@ -23,24 +23,35 @@ def _tag(keys: Sequence[str]) -> str:
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                with_std: bool = True) -> DataFrame:
-    """One aggregate per key set: ``mean`` and sample ``std`` of every column."""
+                with_std: bool = True, decimal_scale: dict[str, int] | None = None) -> DataFrame:
+    """One aggregate per key set: ``mean`` and sample ``std`` of every column.
+
+    ``decimal_scale`` names columns whose values have at most that many decimals: their
+    mean is an exact DECIMAL sum divided by the count, so it does not depend on the
+    order in which partial sums are combined (reproducible across runs and engines).
+    """
     aggs = []
+    decimal_scale = decimal_scale or {}
     for c in cols:
-        aggs.append(F.avg(c).alias(f"__mean_{c}"))
+        if c in decimal_scale:
+            exact = F.sum(F.col(c).cast(f"decimal(38,{decimal_scale[c]})")).cast("double")
+            aggs.append((exact / F.count(c)).alias(f"__mean_{c}"))
+        else:
+            aggs.append(F.avg(c).alias(f"__mean_{c}"))
         if with_std:
             aggs.append(F.stddev_samp(c).alias(f"__std_{c}"))
     return df.groupBy(*keys).agg(*aggs)
 
 
 def group_features(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                   diff: bool = True, zscore: bool = True, fit: DataFrame | None = None) -> DataFrame:
+                   diff: bool = True, zscore: bool = True, fit: DataFrame | None = None,
+                   decimal_scale: dict[str, int] | None = None) -> DataFrame:
     """Add ``{c}_diff_{keys}`` and/or ``{c}_z_{keys}`` columns.
 
     Statistics come from ``fit`` (default: ``df`` itself, i.e. the stacked frame).
     z = (x - mean) / (std + 1e-6) with a singleton group's NULL std taken as 1.0.
     """
-    stats = group_stats(fit if fit is not None else df, keys, cols, with_std=zscore)
+    stats = group_stats(fit if fit is not None else df, keys, cols, with_std=zscore, decimal_scale=decimal_scale)
     joined = join_small(df, stats, list(keys), how="left", null_safe=True)
     tag = _tag(keys)
     new = {}
@@ -54,19 +65,21 @@ def group_features(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     return out.drop(*[c for c in stats.columns if c.startswith("__")])
 
 
-def group_diff(df: DataFrame, keys: Sequence[str], cols: Sequence[str], fit: DataFrame | None = None) -> DataFrame:
-    return group_features(df, keys, cols, diff=True, zscore=False, fit=fit)
+def group_diff(df: DataFrame, keys: Sequence[str], cols: Sequence[str], fit: DataFrame | None = None,
+               decimal_scale: dict[str, int] | None = None) -> DataFrame:
+    return group_features(df, keys, cols, diff=True, zscore=False, fit=fit, decimal_scale=decimal_scale)
 
 
-def group_zscore(df: DataFrame, keys: Sequence[str], cols: Sequence[str], fit: DataFrame | None = None) -> DataFrame:
-    return group_features(df, keys, cols, diff=False, zscore=True, fit=fit)
+def group_zscore(df: DataFrame, keys: Sequence[str], cols: Sequence[str], fit: DataFrame | None = None,
+                 decimal_scale: dict[str, int] | None = None) -> DataFrame:
+    return group_features(df, keys, cols, diff=False, zscore=True, fit=fit, decimal_scale=decimal_scale)
 
 
 def group_features_multi(df: DataFrame, key_sets: Sequence[Sequence[str]], cols: Sequence[str],
-                         fit: DataFrame | None = None) -> DataFrame:
+                         fit: DataFrame | None = None, decimal_scale: dict[str, int] | None = None) -> DataFrame:
     """Several key sets × columns × (diff, z): one aggregate + one join per key set."""
     out = df
     for keys in key_sets:
         out = group_features(out, keys, cols, diff=True, zscore=True,
-                             fit=fit if fit is not None else df)
+                             fit=fit if fit is not None else df, decimal_scale=decimal_scale)
     return out

@@ -12,10 +12,18 @@ from tabrisk.plans.registry import register
 from tabrisk.sources.tables import BASE_SQL, base
 
 GZ_COLS = NUM
+# Columns whose (imputed) values carry at most two decimals: exact DECIMAL group sums.
+DEC2 = {"o_totalprice": 2, "c_acctbal": 2, "n_lines": 2, "sum_qty": 2}
+
+
+def _mean_sql(c: str) -> str:
+    if c in DEC2:
+        return f"CAST(sum(CAST({c} AS DECIMAL(38,{DEC2[c]}))) AS DOUBLE) / count({c})"
+    return f"avg({c})"
 
 
 def _stats_sql(name: str, keys: list[str], cols: list[str]) -> str:
-    aggs = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
+    aggs = ", ".join(f"{_mean_sql(c)} AS m_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
     return f"{name} AS (SELECT {', '.join(keys)}, {aggs} FROM prepared GROUP BY {', '.join(keys)})"
 
 
@@ -40,7 +48,7 @@ SELECT p.o_orderkey, p.o_orderpriority, p.c_mktsegment,
        {', '.join(_z_sql(c, 'st', _TAG) for c in GZ_COLS)}
 FROM prepared p {_join_sql('st', GROUP_KEYS)}""")
 def q_group_zscore(spark, sf_dir):
-    df = group_zscore(prepared(spark, sf_dir), GROUP_KEYS, GZ_COLS)
+    df = group_zscore(prepared(spark, sf_dir), GROUP_KEYS, GZ_COLS, decimal_scale=DEC2)
     return df.select(ID, *GROUP_KEYS, *[r(f"{c}_z_{_TAG}").alias(f"{c}_z_{_TAG}") for c in GZ_COLS])
 
 
@@ -49,7 +57,7 @@ SELECT p.o_orderkey, p.o_orderpriority, p.c_mktsegment,
        {', '.join(_diff_sql(c, 'st', _TAG) for c in GZ_COLS)}
 FROM prepared p {_join_sql('st', GROUP_KEYS)}""")
 def q_group_diff(spark, sf_dir):
-    df = group_diff(prepared(spark, sf_dir), GROUP_KEYS, GZ_COLS)
+    df = group_diff(prepared(spark, sf_dir), GROUP_KEYS, GZ_COLS, decimal_scale=DEC2)
     return df.select(ID, *GROUP_KEYS, *[r(f"{c}_diff_{_TAG}").alias(f"{c}_diff_{_TAG}") for c in GZ_COLS])
 
 
@@ -71,7 +79,7 @@ FROM prepared p {' '.join(joins)}"""
 
 @register("group_features_multi", _multi_sql())
 def q_group_features_multi(spark, sf_dir):
-    df = group_features_multi(prepared(spark, sf_dir), KEY_SETS, _MULTI_COLS)
+    df = group_features_multi(prepared(spark, sf_dir), KEY_SETS, _MULTI_COLS, decimal_scale=DEC2)
     cols = []
     for ks in KEY_SETS:
         tag = "_".join(ks)
@@ -97,7 +105,7 @@ def q_group_stats_join(spark, sf_dir):
 
 def _flagship_spark(spark, sf_dir):
     from tabrisk.sources.tables import CLASSES
-    df = group_zscore(prepared(spark, sf_dir), GROUP_KEYS, GZ_COLS)
+    df = group_zscore(prepared(spark, sf_dir), GROUP_KEYS, GZ_COLS, decimal_scale=DEC2)
     code = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("o_orderstatus")) - 1
     per = df.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"),
