@@ -27,9 +27,10 @@ MAX_TREE_DEPTH = 30  # MLlib limit; "no depth limit" maps here
 
 
 def logistic_regression(label: str = "label", weight: str | None = "weight", max_iter: int = 200,
-                        reg: float = 0.0) -> LogisticRegression:
+                        reg: float = 0.0, tol: float = 1e-4) -> LogisticRegression:
+    """Multinomial L-BFGS; ``tol`` 1e-4 is the usual stopping tolerance of the reference's solver."""
     lr = LogisticRegression(family="multinomial", labelCol=label, featuresCol="features",
-                            maxIter=max_iter, regParam=reg, standardization=False)
+                            maxIter=max_iter, regParam=reg, standardization=False, tol=tol)
     if weight:
         lr.setWeightCol(weight)
     return lr

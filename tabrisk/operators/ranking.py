@@ -39,9 +39,13 @@ def exact_row_number(df: DataFrame, order: Sequence[str | Column], by: Sequence[
     # range bounds come from a sample, so the assignment is frozen by a reliable
     # checkpoint (written to spark.checkpoint.dir, survives executor loss).
     checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *[F.col(b).asc() for b in by], *order_cols)
+    # The range bounds are sampled from the input in a separate job; keep the input
+    # persisted for that job and the shuffle so it is computed once.
+    src = df.persist()
+    ranged = (src.repartitionByRange(n, *[F.col(b).asc() for b in by], *order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
+    src.unpersist()
     counts = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))

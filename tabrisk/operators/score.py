@@ -135,15 +135,17 @@ class FittedPrep:
 
 def fit_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FittedPrep:
     from tabrisk.operators.clean import fit_imputer, normalize_notebook
-    from tabrisk.operators.encode import fit_scaler, fit_vocabulary
+    from tabrisk.operators.encode import fit_scaler
     imp = fit_imputer(train, numeric, categorical)
     t = normalize_notebook(train, categorical, imp.modes)
     t = t.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(imp.medians[c]))) for c in numeric})
     vocab = {}
     for c in categorical:
-        v = fit_vocabulary(t, c)
-        if v.count() > VOCAB_LITERAL_MAX:
+        # bounded: fetch at most VOCAB_LITERAL_MAX + 1 distinct values, refuse larger vocabularies
+        vals = [r[0] for r in t.select(F.col(c).cast("string")).where(F.col(c).isNotNull()).distinct()
+                .limit(VOCAB_LITERAL_MAX + 1).collect()]
+        if len(vals) > VOCAB_LITERAL_MAX:
             raise ValueError(f"vocabulary of {c} too large for a literal map; encode with encode.label_encode")
-        vocab[c] = {r["value"]: r["code"] for r in v.collect()}
+        vocab[c] = {v: i for i, v in enumerate(sorted(vals))}
     sc = fit_scaler(t, numeric)
     return FittedPrep(tuple(numeric), tuple(categorical), imp.medians, imp.modes, vocab, sc.mean, sc.std)

@@ -19,7 +19,7 @@ from tabrisk.sources.tables import CLASSES, base
 K = len(CLASSES)
 
 
-def model_table(spark, sf_dir) -> tuple[DataFrame, tuple]:
+def model_table(spark, sf_dir, with_folds: bool = False) -> tuple[DataFrame, tuple]:
     """Features (scaled numerics + codes), label code, balanced weight, fold and split.
 
     All statistics are fitted on the train rows only; the table is persisted because
@@ -33,8 +33,11 @@ def model_table(spark, sf_dir) -> tuple[DataFrame, tuple]:
     df = df.withColumn("label", code.cast("double"))
     df = encode.assemble(df, prep.feature_names)
     df = split.balanced_weights(df, LABEL)
-    tr = split.stratified_kfold(df.where(F.col("is_train") == 1).select(ID, LABEL), LABEL, ID, 5, 42)
-    df = df.join(tr.select(ID, "fold"), ID, "left")
+    if with_folds:
+        tr = split.stratified_kfold(df.where(F.col("is_train") == 1).select(ID, LABEL), LABEL, ID, 5, 42)
+        df = df.join(tr.select(ID, "fold"), ID, "left")
+    else:
+        df = df.withColumn("fold", F.lit(None).cast("int"))
     # AQE may coalesce a small shuffle into one partition; MLlib parallelises over the
     # input partitions, so spread the persisted training table over all executor cores.
     n = spark.sparkContext.defaultParallelism
@@ -42,8 +45,8 @@ def model_table(spark, sf_dir) -> tuple[DataFrame, tuple]:
     return df, prep.feature_names
 
 
-def _train_valid(spark, sf_dir):
-    df, names = model_table(spark, sf_dir)
+def _train_valid(spark, sf_dir, with_folds: bool = False):
+    df, names = model_table(spark, sf_dir, with_folds)
     return df.where(F.col("is_train") == 1), df.where(F.col("is_train") == 0), names
 
 
@@ -103,7 +106,7 @@ def q_top_features(spark, sf_dir):
 
 @register("cross_validate")
 def q_cross_validate(spark, sf_dir):
-    train, _, _ = _train_valid(spark, sf_dir)
+    train, _, _ = _train_valid(spark, sf_dir, with_folds=True)
     lr = models.logistic_regression(max_iter=100)
     oof, per_fold = models.cross_validate(train, lr.fit, 5, [ID, "label"], name="logreg")
     summ = per_fold.agg(F.lit(-1).alias("fold"), F.avg("f1_w").alias("f1_w"),
@@ -113,7 +116,7 @@ def q_cross_validate(spark, sf_dir):
 
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
-    train, valid, _ = _train_valid(spark, sf_dir)
+    train, valid, _ = _train_valid(spark, sf_dir, with_folds=True)
     dt = models.decision_tree(max_depth=5, min_instances=1)
     grid = models.param_grid(dt, maxDepth=[4, 8], minInstancesPerNode=[1, 20])
     cvm = models.grid_search(train, dt, grid)
@@ -129,7 +132,7 @@ def q_grid_search(spark, sf_dir):
 
 @register("random_search")
 def q_random_search(spark, sf_dir):
-    train, _, _ = _train_valid(spark, sf_dir)
+    train, _, _ = _train_valid(spark, sf_dir, with_folds=True)
     dt = models.decision_tree()
     grid = models.param_grid(dt, maxDepth=[3, 5, 7, 9], minInstancesPerNode=[1, 5, 20])
     cvm, picked = models.random_search(train, dt, grid, n_iter=4, seed=42)
@@ -139,7 +142,7 @@ def q_random_search(spark, sf_dir):
 
 
 def _oof_stack(spark, sf_dir):
-    train, _, _ = _train_valid(spark, sf_dir)
+    train, _, _ = _train_valid(spark, sf_dir, with_folds=True)
     lr = models.oof_predictions(train, models.logistic_regression(max_iter=100).fit, 5, [ID, "label"],
                                 name="logreg")
     dt = models.oof_predictions(train, models.decision_tree(max_depth=6).fit, 5, [ID, "label"], name="tree")
