@@ -244,3 +244,63 @@ def preset_bundle(df: DataFrame) -> DataFrame:
 def preset_extended(df: DataFrame) -> DataFrame:
     """Ordinals, all ratios, non-linear terms, indices and flags (the wide competition sets)."""
     return apply_features(df, ORDINALS + RATIOS + EXTRA_RATIOS + NONLINEAR + COMPOSITES + FLAGS + EXTRA_FLAGS)
+
+
+# ---------------------------------------------------------------------------
+# Group key sets and aggregated columns of the wide competition sets.
+# ---------------------------------------------------------------------------
+KEYSETS_ULTRA = [["gender", "physical_activity_level"], ["gender", "diet_type"], ["stress_level", "sleep_quality"]]
+KEYSETS_MASTER = KEYSETS_ULTRA + [["gender", "smoking_alcohol"]]
+KEYSETS_ULTIMATE = KEYSETS_MASTER + [["physical_activity_level", "diet_type"]]
+AGG_ULTRA = ["heart_rate", "bmi", "step_count", "calorie_expenditure", "sleep_duration"]
+AGG_MASTER = AGG_ULTRA + ["risk_index"]
+AGG_ULTIMATE = AGG_ULTRA + ["risk_index", "wellness_index"]
+
+_ALL = {f.name: f for f in ORDINALS + RATIOS + EXTRA_RATIOS + NONLINEAR + COMPOSITES + FLAGS + EXTRA_FLAGS}
+_HIGH_STRESS = "is_high_stress"
+
+
+def _pick(names: Sequence[str]) -> list[Feature]:
+    return [_ALL[n] for n in names]
+
+
+def _wide_preset(df: DataFrame, names: Sequence[str], key_sets, agg_cols) -> DataFrame:
+    from tabrisk.operators.groups import group_features_multi
+    out = apply_features(df, _pick(names))
+    present = [c for c in agg_cols if c in out.columns]
+    sets = [ks for ks in key_sets if set(ks) <= set(out.columns)]
+    return group_features_multi(out, sets, present) if sets and present else out
+
+
+_RATIO6 = [f.name for f in RATIOS] + ["calorie_per_step"]
+_FLAGS8 = [f.name for f in FLAGS] + [_HIGH_STRESS]
+
+
+def preset_ultra(df: DataFrame) -> DataFrame:
+    """13 raw + 3 ordinals + 6 ratios + 3 indices + 8 flags + 3 key sets × 5 columns × (diff, z) = 63."""
+    names = ["stress_ord", "sleep_q_ord", "activity_ord"] + _RATIO6 + [
+        "sleep_quality_index", "stress_bmi_load", "cardio_strain"] + _FLAGS8
+    return _wide_preset(df, names, KEYSETS_ULTRA, AGG_ULTRA)
+
+
+def preset_master(df: DataFrame) -> DataFrame:
+    """13 raw + 4 ordinals + 6 ratios + 4 non-linear + 4 indices + 8 flags + 4 × 6 × 2 = 87."""
+    names = [f.name for f in ORDINALS] + _RATIO6 + ["bmi_sq", "heart_rate_sq", "sleep_sq", "log_steps"] + [
+        "sleep_quality_index", "stress_bmi_load", "cardio_strain", "risk_index"] + _FLAGS8
+    return _wide_preset(df, names, KEYSETS_MASTER, AGG_MASTER)
+
+
+def preset_ultimate(df: DataFrame) -> DataFrame:
+    """13 raw + 4 ordinals + 8 ratios + 6 non-linear + 7 indices + 14 flags + 3 triples + 5 × 7 × 2 = 125."""
+    names = ([f.name for f in ORDINALS] + _RATIO6 + ["sleep_per_stress", "bmi_per_activity"]
+             + ["bmi_sq", "heart_rate_sq", "log_steps", "log_calorie", "log_exercise", "sqrt_bmi"]
+             + ["sleep_quality_index", "stress_bmi_load", "cardio_strain", "risk_index", "wellness_index",
+                "recovery_index", "cardio_fitness"]
+             + [f.name for f in FLAGS] + ["is_overweight", "is_underweight", "is_very_active", _HIGH_STRESS,
+                                          "is_smoker", "is_excellent_sleep", "is_poor_sleep"]
+             + ["stress_smoke_bmi", "active_sleep_stress", "risk_activity_combo"])
+    return _wide_preset(df, names, KEYSETS_ULTIMATE, AGG_ULTIMATE)
+
+
+PRESETS = {"fast": preset_fast, "notebook": preset_notebook, "champion": preset_champion,
+           "bundle": preset_bundle, "ultra": preset_ultra, "master": preset_master, "ultimate": preset_ultimate}

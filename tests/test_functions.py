@@ -124,3 +124,25 @@ def test_presets_add_features(spark, preset, n_new):
     fn = {"fast": feat.preset_fast, "champion": feat.preset_champion}[preset]
     out = fn(df)
     assert len(out.columns) - len(df.columns) == n_new
+
+
+HEALTH_COLS = ("id long, gender string, diet_type string, smoking_alcohol string, sleep_quality string, "
+               "stress_level string, physical_activity_level string, exercise_duration double, "
+               "sleep_duration double, step_count double, water_intake double, calorie_expenditure double, "
+               "bmi double, heart_rate double")
+
+
+def _health(spark):
+    rows = [(1, "male", "veg", "no", "good", "low", "active", 30.0, 7.5, 9000.0, 2.0, 2200.0, 22.0, 70.0),
+            (2, "female", "balanced", "yes", "poor", "high", "sedentary", 0.0, 5.0, 3000.0, 1.0, 1800.0, 31.0, 105.0),
+            (3, "male", "veg", "no", "excellent", "medium", "very active", 60.0, 8.0, 14000.0, 3.0, 2600.0,
+             24.95, 58.0)]
+    return spark.createDataFrame(rows, HEALTH_COLS)
+
+
+@pytest.mark.parametrize("preset,total", [("ultra", 63), ("master", 87), ("ultimate", 125)])
+def test_wide_presets_feature_counts(spark, preset, total):
+    df = _health(spark)
+    out = feat.PRESETS[preset](df)
+    assert len(out.columns) - 1 == total  # minus the id
+    assert out.count() == 3
