@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabrisk.operators.clean import Imputer, fit_imputer, normalize_notebook
+from tabrisk.session import checkpoint_dir
 from tabrisk.sources.tables import BASE_SPEC, BASE_SQL, base
 
 NUM = list(BASE_SPEC.numeric)
@@ -30,7 +31,10 @@ def r(c: str | Column, dp: int = DP) -> Column:
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """base → mode fill + lower/strip of categories → median fill of numerics (fitted on train)."""
-    df = base(spark, sf_dir)
+    # Fitting makes several passes (medians, modes) before the final projection: write the
+    # bound table once to the shared checkpoint folder instead of re-joining per pass.
+    checkpoint_dir(spark)
+    df = base(spark, sf_dir).checkpoint(eager=True)
     imp = fit_imputer(df, NUM, CAT, where=F.col("is_train") == 1)
     df = normalize_notebook(df, CAT, imp.modes)
     return Imputer(medians=imp.medians).apply(df)
