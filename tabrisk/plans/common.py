@@ -29,12 +29,24 @@ def r(c: str | Column, dp: int = DP) -> Column:
     return round_binary(c, dp)
 
 
+def bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bound table written once to the shared checkpoint folder (``spark.checkpoint.dir``).
+
+    For queries that make several passes (exact quantiles, modes, vocabularies, scaler,
+    model fitting, then the final projection): every pass reads the written table instead
+    of re-aggregating ``lineitem`` and re-joining, and the lineage is cut, so a lost
+    executor recomputes from the written files, not from the scans.
+    """
+    # Hash-partition on the order key first: the written table keeps its partitioning, and
+    # without a shuffle it would inherit the (possibly single-file) orders scan's split count.
+    # AQE sizes this shuffle from the data (at least the default parallelism).
+    checkpoint_dir(spark)
+    return base(spark, sf_dir).repartition(ID).checkpoint(eager=True)
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """base → mode fill + lower/strip of categories → median fill of numerics (fitted on train)."""
-    # Fitting makes several passes (medians, modes) before the final projection: write the
-    # bound table once to the shared checkpoint folder instead of re-joining per pass.
-    checkpoint_dir(spark)
-    df = base(spark, sf_dir).checkpoint(eager=True)
+    df = bound(spark, sf_dir)
     imp = fit_imputer(df, NUM, CAT, where=F.col("is_train") == 1)
     df = normalize_notebook(df, CAT, imp.modes)
     return Imputer(medians=imp.medians).apply(df)

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from tabrisk.functions.columns import argmax_first
 from tabrisk.operators import encode, models, split
 from tabrisk.operators.score import fit_prep
-from tabrisk.plans.common import CAT, ID, LABEL, NUM
+from tabrisk.plans.common import CAT, ID, LABEL, NUM, bound
 from tabrisk.plans.registry import register
-from tabrisk.sources.tables import CLASSES, base
+from tabrisk.sources.tables import CLASSES
 
 K = len(CLASSES)
 
@@ -25,7 +25,7 @@ def model_table(spark, sf_dir, with_folds: bool = False) -> tuple[DataFrame, tup
     All statistics are fitted on the train rows only; the table is persisted because
     every fold / model re-reads it.
     """
-    b = base(spark, sf_dir)
+    b = bound(spark, sf_dir)
     train = b.where(F.col("is_train") == 1)
     prep = fit_prep(train, NUM, CAT)
     df = prep.apply(b)
