@@ -44,9 +44,11 @@ def bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base(spark, sf_dir).repartition(ID).checkpoint(eager=True)
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """base → mode fill + lower/strip of categories → median fill of numerics (fitted on train)."""
-    df = bound(spark, sf_dir)
+def prepared(spark: SparkSession, sf_dir: str, df: DataFrame | None = None) -> DataFrame:
+    """base → mode fill + lower/strip of categories → median fill of numerics (fitted on train).
+
+    ``df``: an already written bound table to reuse (see ``bound``)."""
+    df = bound(spark, sf_dir) if df is None else df
     imp = fit_imputer(df, NUM, CAT, where=F.col("is_train") == 1)
     df = normalize_notebook(df, CAT, imp.modes)
     return Imputer(medians=imp.medians).apply(df)

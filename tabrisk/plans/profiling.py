@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabrisk.operators import clean, profile
-from tabrisk.plans.common import CAT, ID, LABEL, NUM, PREPARED_SQL, prepared, r, rs, sql_with
+from tabrisk.plans.common import CAT, ID, LABEL, NUM, PREPARED_SQL, bound, prepared, r, rs, sql_with
 from tabrisk.plans.registry import register
 from tabrisk.sources.tables import BASE_SQL, base, table
 
@@ -55,8 +55,9 @@ _SNAP_COLS = [c for c in BASE_COLS if c != ID]
 @register("quality_snapshot", sql_with(PREPARED_SQL) + "\n" + _union(
     [_snapshot_sql("base", "raw", _SNAP_COLS), _snapshot_sql("prepared", "clean", _SNAP_COLS)]))
 def q_quality_snapshot(spark, sf_dir):
-    raw = clean.quality_snapshot(base(spark, sf_dir).select(*_SNAP_COLS), "raw")
-    cl = clean.quality_snapshot(prepared(spark, sf_dir).select(*_SNAP_COLS), "clean")
+    b = bound(spark, sf_dir)
+    raw = clean.quality_snapshot(b.select(*_SNAP_COLS), "raw")
+    cl = clean.quality_snapshot(prepared(spark, sf_dir, b).select(*_SNAP_COLS), "clean")
     return raw.unionByName(cl).withColumn("n_columns", F.col("n_columns").cast("int"))
 
 
