@@ -4,15 +4,17 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tools.check_oracle import duck, frame_hash
-from __spark_entry__ import oracle_sql, queries
+from tabrisk.plans.registry import ORACLE, QUERIES, load_all
 
-SQL = oracle_sql()
+load_all()
+
+SQL = ORACLE
 NAMES = sorted(SQL)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, name):
-    sp = queries()[name](spark, SF_SMALL).toPandas()
+    sp = QUERIES[name](spark, SF_SMALL).toPandas()
     dk = duck(SF_SMALL, SQL[name])
     assert len(sp) == len(dk)
     assert sorted(sp.columns) == sorted(dk.columns)
@@ -20,6 +22,6 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_every_query_registered_has_callable():
-    q = queries()
+    q = QUERIES
     assert set(SQL) <= set(q)
     assert len(q) >= 90

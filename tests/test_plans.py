@@ -3,7 +3,9 @@
 import pytest
 
 from tests.conftest import SF_SMALL
-from __spark_entry__ import oracle_sql, queries
+from tabrisk.plans.registry import ORACLE, QUERIES, load_all
+
+load_all()
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
@@ -12,9 +14,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_no_python_nodes(spark, name):
-    plan = _plan(queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert not any(n in plan for n in PY_NODES), name
 
 
