@@ -83,18 +83,10 @@ def sum_arrays(df: DataFrame) -> dict[int, np.ndarray]:
 
     For fixed-size sufficient statistics: the number of parts and their length are set by
     the model's parameters, never by the data; each task sends one row per part."""
-    def add(key, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for p in parts:
-            s = np.sum(np.stack([np.asarray(v) for v in p["vals"]]), axis=0)
-            total = s if total is None else total + s
-        if total is not None:
-            yield pd.DataFrame({"part": [key[0]], "vals": [total]})
-
-    def once(key, p: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(add(key, iter([p])))
-
-    rows = df.groupBy("part").applyInPandas(once, "part int, vals array<double>").collect()
+    def add(p: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": p["part"].iloc[:1], "vals": [np.sum([np.asarray(v) for v in p["vals"]], axis=0)]})
+
+    rows = df.groupBy("part").applyInPandas(add, "part int, vals array<double>").collect()
     return {r["part"]: np.asarray(r["vals"]) for r in rows}
 
 

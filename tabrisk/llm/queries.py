@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tabrisk.llm import language, secret_scan
+from tabrisk.llm import html_extract, language, quality, secret_scan
 
 QUERIES = {
+    "op5_html_extract": html_extract.op5,
     "op6_language_id": language.op6,
     "op7_secret_scan": secret_scan.op7,
+    "op9_quality": quality.op9,
 }
 ORACLE: dict[str, str] = {}
