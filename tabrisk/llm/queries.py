@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tabrisk.llm import html_extract, language, quality, secret_scan
+from tabrisk.llm import bpe, html_extract, language, packing, quality, secret_scan
 
 QUERIES = {
     "op5_html_extract": html_extract.op5,
     "op6_language_id": language.op6,
     "op7_secret_scan": secret_scan.op7,
+    "op8_packing": packing.op8,
     "op9_quality": quality.op9,
+    "op10_bpe": bpe.op10,
 }
 ORACLE: dict[str, str] = {}
