@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabrisk.llm import bpe, html_extract, language, packing, quality, secret_scan
+from tabrisk.llm import bpe, fingerprint, html_extract, language, packing, quality, secret_scan
 
 QUERIES = {
+    "op2_fingerprint": fingerprint.op2,
     "op5_html_extract": html_extract.op5,
     "op6_language_id": language.op6,
     "op7_secret_scan": secret_scan.op7,
