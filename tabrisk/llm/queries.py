@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabrisk.llm import bpe, fingerprint, html_extract, language, packing, quality, secret_scan
+from tabrisk.llm import bpe, embed_dedup, fingerprint, html_extract, language, packing, quality, secret_scan
 
 QUERIES = {
+    "op1_embedding_dedup": embed_dedup.op1,
     "op2_fingerprint": fingerprint.op2,
     "op5_html_extract": html_extract.op5,
     "op6_language_id": language.op6,
@@ -13,4 +14,6 @@ QUERIES = {
     "op9_quality": quality.op9,
     "op10_bpe": bpe.op10,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": embed_dedup.OP1_SQL.strip(),
+}
