@@ -103,19 +103,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def bloom(df: DataFrame, column: str) -> np.ndarray:
-    """A Bloom filter (1 MB, one hash) of a bigint column; only its fixed number of words reaches the driver."""
-    bit = F.pmod(F.xxhash64(F.col(column)), F.lit(BLOOM_BITS))
-    words = (df.select(F.shiftright(bit, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), {BLOOM_BITS}) & 63 as int))").alias("v"))
+def bloom(df: DataFrame, bit: Column) -> np.ndarray:
+    """A Bloom filter (1 MB, one hash) of the positions ``bit``; only its fixed number of words reaches the driver."""
+    at = df.select(bit.cast("int").alias("bit"))
+    words = (at.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, bit & 63)").alias("v"))
              .groupBy("w").agg(F.bit_or("v").alias("v")).toPandas())
     out = np.zeros(BLOOM_BITS >> 6, np.int64)
     out[words["w"].to_numpy()] = words["v"].to_numpy()
     return out
 
 
-def bloom_bit(column: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(BLOOM_BITS)).cast("int")
-
-
 def bloom_hit(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (words[bits >> 6] >> (bits & 63)) & 1 == 1

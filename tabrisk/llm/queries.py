@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tabrisk.llm import bpe, embed_dedup, fingerprint, html_extract, language, packing, quality, secret_scan
+from tabrisk.llm import bpe, embed_dedup, fingerprint, html_extract, language, ngram_join, packing, quality, secret_scan
 
 QUERIES = {
     "op1_embedding_dedup": embed_dedup.op1,
     "op2_fingerprint": fingerprint.op2,
+    "op4_ngram_join": ngram_join.op4,
     "op5_html_extract": html_extract.op5,
     "op6_language_id": language.op6,
     "op7_secret_scan": secret_scan.op7,
@@ -16,4 +17,5 @@ QUERIES = {
 }
 ORACLE: dict[str, str] = {
     "op1_embedding_dedup": embed_dedup.OP1_SQL.strip(),
+    "op4_ngram_join": ngram_join.OP4_SQL.strip(),
 }
