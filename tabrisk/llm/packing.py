@@ -19,20 +19,23 @@ as they occur. Nothing is dropped or cut but documents longer than the capacity.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabrisk.llm.bpe import byte_symbols
 from tabrisk.llm.common import raw_texts, record, slices, table, write_stage
 
 CAPACITY = 2048
 GROUPS = (160, 60, 20)
 SMALL = 900  # pieces up to here are best fitted only
 END_ID = 0
-KEEP = 250_000  # words in each of two memo generations
+KEEP = 120_000  # words in each of two memo generations
 SEPARATOR = "<|startoftext|>"  # a special token of the vocabulary: its id marks borders in one long call
 
 
@@ -47,10 +50,13 @@ class WordTokenizer:
     end of a word are separate pre-tokens there and are looked up apart."""
 
     TAIL = b".,;:!?%$&#*|"
+    PLAIN = re.compile("[a-zß-öø-ÿ]+")  # letters that normalising leaves alone
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.bytes = {b: c for c, b in byte_symbols().items()}
+
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
@@ -63,9 +69,16 @@ class WordTokenizer:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _library(self, words: list[bytes]) -> None:
-        memo = self.memo
-        for k in range(0, len(words), 2000):
-            part = words[k:k + 2000]
+        memo, model = self.memo, self.tok.model
+        rest = []
+        for w in words:
+            if self.PLAIN.fullmatch(w.decode()):
+                # One lower-case word as it stands: straight to the library's model.
+                memo[w] = array("I", [t.id for t in model.tokenize(w.decode("latin-1").translate(self.bytes))]).tobytes()
+            else:
+                rest.append(w)
+        for k in range(0, len(rest), 2000):
+            part = rest[k:k + 2000]
             ids = self._encode(SEPARATOR.join(w.decode() for w in part))
             cut = [-4, *(np.flatnonzero(ids == self.mark) * 4).tolist(), 4 * len(ids)]
             data = ids.tobytes()
@@ -140,7 +153,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             rows = []
             for doc, data in zip(b.column("doc_id").to_pylist(), tokenizer(path).encode(raw_texts(b))):
                 data += end
