@@ -5,8 +5,8 @@ one order of shingles, rare ones first, where rarity is estimated by a count ske
 size over the whole corpus. If two sets of n shingles overlap in at least t = ceil(0.8 n), their
 prefixes of n - t + k shingles share at least k, for every k. Each document picks the k
 (``match``) with the least estimated cost: a longer prefix is scanned, but a candidate then needs
-k shared prefix shingles before it is verified. For a pair the smaller k of the two counts,
-and a shingle's level says from which k on it is in the prefix.
+more shared prefix shingles before it is verified. How many a pair needs follows from both
+sizes and both prefix lengths, by the same rule with the overlap that the pair itself needs.
 
 Only components are asked for, so pairs inside a component that is already known are never
 made. Equal sets are one node. A first round verifies every node against one leader per
@@ -156,10 +156,6 @@ def prefix(s: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[i
     return best, s[:n - t + best]
 
 
-def pack(n: np.ndarray, match: np.ndarray, level: np.ndarray) -> np.ndarray:
-    return (n.astype(np.int64) << 24) | (match.astype(np.int64) << 12) | level
-
-
 def base_rows(df: DataFrame) -> DataFrame:
     """(doc_id, node, n) per row; node is null for an empty set."""
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
@@ -245,12 +241,12 @@ def verified(df: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def leader_pairs(known: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Every node with the smallest node of equal minimum hash, if their sizes allow a link."""
+    """Every node with the smallest node of equal minimum hash, if it is that for two seeds and their sizes allow a link."""
     mins = known.select("node", "n", F.posexplode("mins").alias("seed", "h"))
     lead = mins.groupBy("seed", "h").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("c")).where("c > 1")
     return (mins.join(lead, ["seed", "h"]).where("node <> lead.node")
             .where(f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")
-            .select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct())
+            .groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("c")).where("c > 1").select("a", "b"))
 
 
 _ROWS = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("comp", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("match", pa.int32())])
@@ -258,12 +254,19 @@ _ROWS_SQL = "token bigint, node bigint, meta bigint, comp bigint, a bigint, b bi
 
 
 def _pairs(i: np.ndarray, j: np.ndarray, node: np.ndarray, meta: np.ndarray, comp: np.ndarray, percent: int):
-    """(a, b, match) of index pairs that cross components, fit in size and are in both prefixes."""
-    n, match, level = meta >> 24, (meta >> 12) & 4095, meta & 4095
-    k = np.minimum(match[i], match[j])
-    ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (level[i] <= k) & (level[j] <= k)
-    a, b = node[i[ok]], node[j[ok]]
-    return np.minimum(a, b), np.maximum(a, b), k[ok].astype(np.int32)
+    """(a, b, match) of index pairs that cross components and fit in size.
+
+    Both prefixes are long enough for more than the chosen numbers: sets of sizes n and m need an
+    overlap of at least o = ceil(percent (n + m) / (100 + percent)), so prefixes of n - o + k and
+    m - o + k share k or more; k is the largest that both emitted prefixes cover."""
+    n, spare = meta >> 12, meta & 4095  # size, match number
+    left_out = needed(n, percent) - spare  # shingles behind the prefix
+    x, y = n[i], n[j]
+    ok = (comp[i] != comp[j]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    i, j = i[ok], j[ok]
+    k = -(-(n[i] + n[j]) * percent // (100 + percent)) - np.maximum(left_out[i], left_out[j])
+    a, b = node[i], node[j]
+    return np.minimum(a, b), np.maximum(a, b), k.astype(np.int32)
 
 
 def _out_pairs(a, b, match) -> pa.RecordBatch:
@@ -273,9 +276,7 @@ def _out_pairs(a, b, match) -> pa.RecordBatch:
 
 def shared_shingles(known: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of nodes per shared prefix shingle, and the rows of shingles that too many share (a is null)."""
-    p1 = f"(n - (n * {percent} + 99) div 100 + 1)"
-    rows = (known.select("node", "n", "match", "comp", F.posexplode("prefix").alias("i", "token"))
-            .select("token", "node", F.expr(f"shiftleft(cast(n as bigint), 24) | shiftleft(cast(match as bigint), 12) | cast(greatest(i - {p1} + 2, 1) as bigint)").alias("meta"), "comp"))
+    rows = known.select(F.explode("prefix").alias("token"), "node", F.expr("shiftleft(cast(n as bigint), 12) | cast(match as bigint)").alias("meta"), "comp")
     rows = rows.repartition("token").sortWithinPartitions("token")
 
     def pass_on(token, node, meta, comp):
