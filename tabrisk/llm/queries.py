@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tabrisk.llm import bpe, embed_dedup, fingerprint, html_extract, language, ngram_join, packing, quality, secret_scan
+from tabrisk.llm import bpe, embed_dedup, fingerprint, html_extract, language, lm_score, ngram_join, packing, quality, secret_scan
 
 QUERIES = {
     "op1_embedding_dedup": embed_dedup.op1,
     "op2_fingerprint": fingerprint.op2,
+    "op3_lm_score": lm_score.op3,
     "op4_ngram_join": ngram_join.op4,
     "op5_html_extract": html_extract.op5,
     "op6_language_id": language.op6,
