@@ -372,8 +372,10 @@ def split_shingles(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     return blocks.mapInArrow(run, _ROWS_SQL)
 
 
-def join(df: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of a frame with doc_id and text."""
+def classes(df: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, node, n, root) per row of a frame with doc_id and text; rows of one root are one class.
+
+    Node and root are null for an empty set."""
     src = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = write_stage(base_rows(src), "shingle-rows")
     known = write_stage(nodes(src, sketch(src)), "shingle-nodes")
@@ -385,16 +387,60 @@ def join(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = found.where("a is not null").union(hot).groupBy("a", "b").agg(F.count("*").alias("c"), F.first("match").alias("match")).where("c >= match").select("a", "b")
     pairs = write_stage(pairs, "candidates")
     links = first.union(write_stage(verified(src, pairs, percent), "links"))
-    return labelled(base, components(links))
+    return base.join(components(links), "node", "left").select("doc_id", "node", "n", F.coalesce("component", "node").alias("root"))
 
 
-def labelled(base: DataFrame, comp: DataFrame) -> DataFrame:
-    rooted = base.join(comp, "node", "left").withColumn("root", F.coalesce("component", "node"))
+def join(df: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of a frame with doc_id and text."""
+    rooted = classes(df, percent)
     low = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return (rooted.join(low, "root", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
+def one_per_class(df: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` with one row of each class: the one with the smallest doc_id.
+
+    Rows without shingles and rows with a null id stay. Only rows whose id is to go, or occurs
+    more than once, are joined with the decision; a Bloom filter of those ids (of fixed size) lets
+    the texts of all others pass without a shuffle."""
+    rooted = write_stage(classes(df, percent), "classes")
+    keeper = rooted.where("root is not null and doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("k"))
+    judged = (rooted.where("root is not null and doc_id is not null").join(keeper, "root")
+              .groupBy("doc_id", "node").agg(F.max(F.struct("doc_id", "node") == F.col("k")).alias("stays"), F.count("*").alias("c")))
+    judged = write_stage(judged, "judged")
+    twice = judged.groupBy("doc_id").agg(F.sum("c").alias("c"), F.min("stays").alias("all")).where("c > 1 or not all").select("doc_id")
+    special = df.sparkSession.sparkContext.broadcast(bloom(twice, _id_bit("doc_id")))  # 1 MB
+
+    @F.pandas_udf("boolean")
+    def listed(bit: pd.Series) -> pd.Series:
+        return pd.Series(bloom_hit(special.value, bit.to_numpy()))
+
+    names = df.columns
+    marked = df.withColumn("_special", F.coalesce(listed(_id_bit("doc_id")), F.lit(False)))
+    clear = marked.where("not _special").select(*names)
+    rest = marked.where("_special").drop("_special")
+    schema = rest.select(*names, F.lit(0).cast("bigint").alias("_node")).schema
+
+    def with_node(b):
+        sets = shingle_sets(raw_texts(b))
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())],
+                                          names=[*b.schema.names, "_node"])
+
+    rest = _cut(rest, with_node, schema)
+    verdict = judged.select(F.col("doc_id").alias("_id"), F.col("node").alias("_n"), "stays", F.col("c").alias("_c"))
+    rest = rest.join(verdict, (F.col("doc_id").cast("bigint") == F.col("_id")) & (F.col("_node") == F.col("_n")), "left")
+    stays = rest.where(F.coalesce("stays", F.lit(True)))
+    # Repeated rows of the row that stays: one of them.
+    single = stays.where(F.coalesce("_c", F.lit(1)) == 1).select(*names)
+    repeated = stays.where("_c > 1").dropDuplicates(["_id", "_n"]).select(*names)
+    return clear.unionByName(single).unionByName(repeated)
+
+
+def _id_bit(column: str):
+    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(column).cast("bigint")), F.lit(BLOOM_BITS))).cast("int")
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle counts and components of all documents."""
     return join(table(spark, sf_dir, "documents"))

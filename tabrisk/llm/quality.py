@@ -66,15 +66,15 @@ def stats(text: str) -> list[float]:
 
 
 def with_stats(df: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``x``, the statistics of the text."""
+    """``keep`` columns plus ``_x``, the statistics of the text."""
     src = df.select(*keep, F.col("text").cast("string").alias("_text"))
-    schema = df.select(*keep, F.array(F.lit(0.0)).alias("x")).schema
+    schema = df.select(*keep, F.array(F.lit(0.0)).alias("_x")).schema
 
     def run(batches):
         for b in slices(batches, "_text"):
             x = np.array([stats(t) for t in texts(b, "_text")], np.float64).ravel()
             arr = pa.ListArray.from_arrays(np.arange(0, len(x) + 1, len(STATS), dtype=np.int32), pa.array(x))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], arr], names=[*b.schema.names[:-1], "x"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], arr], names=[*b.schema.names[:-1], "_x"])
 
     return src.mapInArrow(run, schema)
 
@@ -129,15 +129,15 @@ def isotonic(y: np.ndarray, n: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, n
 
 
 def fit(x: DataFrame) -> Model | None:
-    """Fit on rows of (fit boolean, x, y): ``fit`` rows feed the ridge, the others the calibration."""
+    """Fit on rows of (fit boolean, _x, y): ``fit`` rows feed the ridge, the others the calibration."""
     def moments(batches):
         total = np.zeros((3, len(STATS)))
         for b in batches:
-            m = _matrix(b.column("x"))[np.asarray(b.column("fit"))]
+            m = _matrix(b.column("_x"))[np.asarray(b.column("fit"))]
             total += np.stack([np.full(len(STATS), len(m)), m.sum(0), (m * m).sum(0)])
         yield record(_PART, [[0], [total.ravel()]])
 
-    x = x.select("fit", "x", "y")
+    x = x.select("fit", "_x", "y")
     got = sum_arrays(x.mapInArrow(moments, "part int, vals array<double>"))
     if not got or got[0][0] == 0:
         return None
@@ -150,7 +150,7 @@ def fit(x: DataFrame) -> Model | None:
         a = np.zeros((FEATURES + 1, FEATURES + 2))
         for b in batches:
             use = np.asarray(b.column("fit"))
-            z = model.lift(_matrix(b.column("x"))[use])
+            z = model.lift(_matrix(b.column("_x"))[use])
             a[:, :-1] += z.T @ z
             a[:, -1] += z.T @ np.asarray(b.column("y"), np.float64)[use]
         yield record(_PART, [np.arange(16), [r.ravel() for r in np.array_split(a, 16)]])
@@ -165,7 +165,7 @@ def fit(x: DataFrame) -> Model | None:
         total = np.zeros((2, BINS))
         for b in batches:
             use = ~np.asarray(b.column("fit"))
-            r = np.clip((model.raw(_matrix(b.column("x"))[use]) + 1) / 3, 0, 1 - 1e-9)
+            r = np.clip((model.raw(_matrix(b.column("_x"))[use]) + 1) / 3, 0, 1 - 1e-9)
             at = (r * BINS).astype(np.int64)
             total += np.stack([np.bincount(at, weights=np.asarray(b.column("y"), np.float64)[use], minlength=BINS), np.bincount(at, minlength=BINS)])
         yield record(_PART, [[0], [total.ravel()]])
@@ -180,32 +180,40 @@ def fit(x: DataFrame) -> Model | None:
 
 
 def apply(df: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus score and predicted, from the statistics in ``x``."""
+    """``keep`` columns plus score and predicted, from the statistics in ``_x``."""
     schema = df.select(*keep, F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for b in batches:
-            x = _matrix(b.column("x")) if b.num_rows else np.zeros((0, len(STATS)))
+            x = _matrix(b.column("_x")) if b.num_rows else np.zeros((0, len(STATS)))
             s = shared.value.score(x) if shared.value is not None else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s), pa.array((s >= CUT).astype(np.int32))], names=[*b.schema.names[:-1], "score", "predicted"])
 
-    return df.select(*keep, "x").mapInArrow(run, schema)
+    return df.select(*keep, "_x").mapInArrow(run, schema)
 
 
 def training_rows(stat: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled rows outside fold 0 of 5; of them, fold 4 calibrates and the rest fit the ridge."""
     y = labels.select("doc_id", F.col("quality").cast("double").alias("y")).where("y is not null")
     fold = crc_fold(F.col("doc_id"), 5)
-    return stat.select("doc_id", "x").join(y, "doc_id").where(fold != 0).select((fold != 4).alias("fit"), "x", "y")
+    return stat.select("doc_id", "_x").join(y, "doc_id").where(fold != 0).select((fold != 4).alias("fit"), "_x", "y")
 
 
-def scored(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: list[str]) -> DataFrame:
-    stat = write_stage(with_stats(docs, keep), "quality-stats")
-    return apply(stat, fit(training_rows(stat, table(spark, sf_dir, "labels"))), keep)
+def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """A model of the labelled rows among ``docs``; their statistics are written once."""
+    return fit(write_stage(training_rows(with_stats(docs, ["doc_id"]), labels), "quality-training"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that a model of its labelled rows predicts as good."""
+    names = docs.columns
+    got = apply(with_stats(docs, names), learned(docs, labels), names)
+    return got.where("predicted = 1").select(*names)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from labels outside fold 0 of 5."""
-    got = scored(spark, table(spark, sf_dir, "documents"), sf_dir, ["doc_id"])
-    return got.select("doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    stat = write_stage(with_stats(table(spark, sf_dir, "documents"), ["doc_id"]), "quality-stats")
+    model = fit(training_rows(stat, table(spark, sf_dir, "labels")))
+    return apply(stat, model, ["doc_id"]).select("doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")

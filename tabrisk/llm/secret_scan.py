@@ -125,16 +125,18 @@ def masked(text: str | None) -> str | None:
 
 
 def mask(df: DataFrame) -> DataFrame:
-    """Documents with their secrets masked; texts without secrets stay as they are."""
-    schema = df.schema
-
+    """The rows of ``df`` with the secrets in text masked, and n_chars counted anew where that was done."""
     def run(b):
-        # Null stays null; only the text column is replaced.
-        new = pa.array([masked(t) for t in b.column("text").to_pylist()], pa.string())
-        i = b.schema.get_field_index("text")
-        return pa.RecordBatch.from_arrays([new if j == i else c for j, c in enumerate(b.columns)], names=b.schema.names)
-
-    return map_slices(df, run, schema)
+        old = b.column("text").to_pylist()
+        new = [masked(t) for t in old]
+        out = dict(zip(b.schema.names, b.columns))
+        out["text"] = pa.array(new, b.schema.field("text").type)
+        if "n_chars" in out:
+            n = [len(t) if t != was else c for t, was, c in zip(new, old, out["n_chars"].to_pylist())]
+            out["n_chars"] = pa.array(n, b.schema.field("n_chars").type)
+        return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+    return map_slices(df, run, df.schema)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
