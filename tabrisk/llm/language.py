@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tabrisk.llm.common import crc_fold, map_slices, record, slices, table, texts
 
 PROFILE = 400  # n-grams in a profile
+BOUNDARY = 1  # stands for what isn't a letter; not 0, so that n-grams of different length differ
 PIECE = 1 << 20  # bytes of text counted at once
 FLUSH = 1 << 20  # distinct n-grams that a task holds per language before it hands them on
 
@@ -36,16 +37,15 @@ def letters() -> np.ndarray:
 def ngrams(text: str) -> np.ndarray:
     """All 1- to 3-grams of the lower-cased text, with one boundary at each end of a word."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    c = np.where(letters()[c], c, 0)
-    c = np.concatenate([[0], c, [0]])
+    c = np.concatenate([[BOUNDARY], np.where(letters()[c], c, BOUNDARY), [BOUNDARY]])
     keep = np.ones(len(c), bool)
-    keep[1:] = (c[1:] != 0) | (c[:-1] != 0)
+    keep[1:] = (c[1:] != BOUNDARY) | (c[:-1] != BOUNDARY)
     c = c[keep]
     if len(c) < 3:
         return np.empty(0, np.int64)
     two = (c[:-1] << 21) | c[1:]
     three = (two[:-1] << 21) | c[2:]
-    return np.concatenate([c[c > 0], two, three[c[1:-1] > 0]])
+    return np.concatenate([c[c != BOUNDARY], two, three[c[1:-1] != BOUNDARY]])
 
 
 def ranked(grams: np.ndarray, top: int) -> np.ndarray:
