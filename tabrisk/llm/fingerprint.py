@@ -27,68 +27,92 @@ from pyspark.sql import functions as F
 from tabrisk.llm.common import mix64, record, table
 
 SAMPLES = 128
-KEEP = 100_000  # (term, weight) rows that a worker remembers
-PIECE = 1 << 20  # characters handled at once
+KEEP = 150_000  # (term, weight) rows that a worker remembers, 512 bytes each
+PIECE = 1 << 18  # characters handled at once
 
 _SEEDS = mix64(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def draws(terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per term hash and weight: the keys whose minimum decides each draw, and the draw's 16 bits."""
+def _unit(x: np.ndarray, shift: int) -> np.ndarray:
+    """Uniform in (0, 1) from 25 bits."""
+    return ((x >> np.uint64(shift)) & np.uint64((1 << 25) - 1)).astype(np.float64) / (1 << 25) + 0.5 / (1 << 25)
+
+
+def _r_and_b(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return -np.log(_unit(one, 0) * _unit(one, 25)), _unit(mix64(one + two), 10)
+
+
+def keys(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per term hash and weight: the keys whose minimum decides each draw."""
     h = terms[:, None]
     one, two = mix64(h ^ _SEEDS[:SAMPLES]), mix64(h ^ _SEEDS[SAMPLES:])
-    # Five uniforms of 25 bits in (0, 1).
-    unit = lambda x, shift: ((x >> np.uint64(shift)) & np.uint64((1 << 25) - 1)).astype(np.float64) / (1 << 25) + 0.5 / (1 << 25)
-    r = -np.log(unit(one, 0) * unit(one, 25))
-    log_c = np.log(-np.log(unit(two, 0) * unit(two, 25)))
-    b = unit(mix64(one + two), 10)
-    t = np.floor(np.log(weights)[:, None] / r + b)
-    key = (log_c - r * (t - b + 1)).astype(np.float32)
-    code = mix64(h + t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return key, (code >> np.uint64(48)).astype(np.uint16)
+    r, b = _r_and_b(one, two)
+    log_c = np.log(-np.log(_unit(two, 0) * _unit(two, 25)))
+    many = np.flatnonzero(weights > 1)  # the level of weight 1 is 0
+    b[many] -= np.floor(np.log(weights[many])[:, None] / r[many] + b[many])
+    return (log_c - r * (1 - b)).astype(np.float32)
+
+
+def codes(terms: np.ndarray, weights: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """16 bits of (term, level) for each term hash and weight taken by a draw."""
+    level = np.zeros(len(terms), np.int64)
+    many = np.flatnonzero(weights > 1)
+    h, d = terms[many], draw[many]
+    r, b = _r_and_b(mix64(h ^ _SEEDS[d]), mix64(h ^ _SEEDS[SAMPLES + d]))
+    level[many] = np.floor(np.log(weights[many]) / r + b)
+    return (mix64(terms + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint16)
 
 
 class Sampler:
-    """Signatures of texts, with the rows of recent terms kept."""
+    """Signatures of texts, with the keys of recent terms kept in arrays of a fixed size."""
 
     def __init__(self, keep: int = KEEP):
-        self.keep, self.rows = keep, {}
-        self.key = np.empty((keep, SAMPLES), np.float32)
-        self.code = np.empty((keep, SAMPLES), np.uint16)
+        # A word itself stands for its weight 1.
+        self.rows: dict[str | tuple[str, int], int] = {}
+        self._room(keep)
+
+    def _room(self, size: int) -> None:
+        self.key, self.hash, self.weight = np.empty((size, SAMPLES), np.float32), np.empty(size, np.uint64), np.empty(size)
 
-    def _add(self, terms: list[tuple[str, int]]) -> None:
+    def _add(self, terms: list[str | tuple[str, int]]) -> None:
         n = len(self.rows)
-        if n + len(terms) > len(self.key):
-            grow = n + len(terms) - len(self.key)
-            self.key = np.concatenate([self.key, np.empty((grow, SAMPLES), np.float32)])
-            self.code = np.concatenate([self.code, np.empty((grow, SAMPLES), np.uint16)])
-        for k in range(0, len(terms), 1024):
-            part = terms[k:k + 1024]
-            h = np.fromiter((xxhash.xxh64_intdigest(w) for w, _ in part), np.uint64, len(part))
-            key, code = draws(h, np.fromiter((c for _, c in part), np.float64, len(part)))
-            self.key[n + k:n + k + len(part)], self.code[n + k:n + k + len(part)] = key, code
+        for k in range(0, len(terms), 512):
+            part = terms[k:k + 512]
+            at = slice(n + k, n + k + len(part))
+            self.hash[at] = np.fromiter((xxhash.xxh64_intdigest(x if type(x) is str else x[0]) for x in part), np.uint64, len(part))
+            self.weight[at] = np.fromiter((1 if type(x) is str else x[1] for x in part), np.float64, len(part))
+            self.key[at] = keys(self.hash[at], self.weight[at])
         self.rows.update(zip(terms, range(n, n + len(terms))))
 
     def signatures(self, texts: list[str]) -> np.ndarray:
         """One row of 16-bit draws per text; zeros for a text without words."""
-        bags = [list(Counter(t.split()).items()) for t in texts]
-        out = np.zeros((len(texts), SAMPLES), np.uint16)
-        if len(self.rows) > self.keep:
+        bags = [[w if n == 1 else (w, n) for w, n in Counter(t.split()).items()] for t in texts]
+        every: set[str | tuple[str, int]] = set()
+        every.update(*bags)
+        missing = every - self.rows.keys()
+        if len(self.rows) + len(missing) > len(self.key):
+            # Full: start again with the terms of these texts.
             self.rows = {}
-            self.key, self.code = self.key[:self.keep].copy(), self.code[:self.keep].copy()
-        missing = dict.fromkeys(x for bag in bags for x in bag if x not in self.rows)
+            missing = every
+            if max(len(missing), KEEP) != len(self.key):
+                self._room(max(len(missing), KEEP))
         if missing:
             self._add(list(missing))
         rows, draw = self.rows, np.arange(SAMPLES)
-        for i, bag in enumerate(bags):
-            if bag:
-                at = np.fromiter(map(rows.__getitem__, bag), np.int64, len(bag))
-                best = at[0:1].repeat(SAMPLES)
-                for k in range(0, len(at), 4096):
-                    part = at[k:k + 4096]
-                    own = part[self.key[part].argmin(axis=0)]
-                    best = np.where(self.key[own, draw] < self.key[best, draw], own, best) if k else own
-                out[i] = self.code[best, draw]
+        out = np.zeros((len(texts), SAMPLES), np.uint16)
+        full = [i for i, bag in enumerate(bags) if bag]
+        taken = np.empty((len(full), SAMPLES), np.int64)
+        for n, i in enumerate(full):
+            at = np.array([rows[x] for x in bags[i]], np.int64)
+            best = None
+            for k in range(0, len(at), 4096):
+                part = at[k:k + 4096]
+                own = part[self.key.take(part, axis=0).argmin(axis=0)]
+                best = own if best is None else np.where(self.key[own, draw] < self.key[best, draw], own, best)
+            taken[n] = best
+        if full:
+            flat = taken.ravel()
+            out[full] = codes(self.hash[flat], self.weight[flat], np.tile(draw, len(full))).reshape(-1, SAMPLES)
         return out
 
 
