@@ -29,9 +29,17 @@ def coerce_double(c: str | Column, fill: float = 0.0) -> Column:
     return F.coalesce(nan_to_null(v), F.lit(float(fill)))
 
 
+def divide(num: str | Column, den: str | Column) -> Column:
+    """Floating division as pandas does it: x/0 is ±inf, 0/0 and NaN/0 are NaN, NULL stays NULL."""
+    n, d = _c(num).cast("double"), _c(den).cast("double")
+    by_zero = (F.when(F.isnan(n) | (n == 0), F.lit(float("nan")))
+               .when(n > 0, F.lit(float("inf"))).when(n < 0, F.lit(float("-inf"))))
+    return F.when(d == 0, by_zero).otherwise(F.try_divide(n, d))
+
+
 def guarded_ratio(num: str | Column, den: str | Column, eps: float) -> Column:
-    """``a / (b + eps)`` on doubles."""
-    return _c(num).cast("double") / (_c(den).cast("double") + F.lit(float(eps)))
+    """``a / (b + eps)`` on doubles; never raises (see ``divide``)."""
+    return divide(num, _c(den).cast("double") + F.lit(float(eps)))
 
 
 def clip_lower(c: str | Column, lo: float) -> Column:
@@ -42,8 +50,8 @@ def clip_lower(c: str | Column, lo: float) -> Column:
 
 def interval_flag(c: str | Column, lo: float | None = None, hi: float | None = None,
                   lo_closed: bool = True, hi_closed: bool = True) -> Column:
-    """0/1 flag for membership in an interval; NULL compares false → 0."""
-    c = _c(c)
+    """0/1 flag for membership in an interval; NULL and NaN compare false → 0."""
+    c = nan_to_null(c)
     cond = F.lit(True)
     if lo is not None:
         cond = cond & ((c >= lo) if lo_closed else (c > lo))
@@ -53,13 +61,20 @@ def interval_flag(c: str | Column, lo: float | None = None, hi: float | None = N
 
 
 def flag(cond: Column) -> Column:
-    """Boolean → 0/1 with NULL → 0 (pandas comparisons with NaN are False)."""
+    """Boolean → 0/1 with NULL → 0. Spark sorts NaN above all numbers: compare ``nan_to_null`` of a
+    floating column, as ``threshold_flag`` does, where pandas' comparisons with NaN are False."""
     return F.coalesce(cond.cast("int"), F.lit(0))
 
 
+def threshold_flag(c: str | Column, op: str, value: float) -> Column:
+    """0/1 flag of ``c op value`` for numeric ``c``; NULL and NaN give 0."""
+    c, v = nan_to_null(c), F.lit(value)
+    return flag({">": c > v, ">=": c >= v, "<": c < v, "<=": c <= v, "==": c == v}[op])
+
+
 def bin_right_closed(c: str | Column, edges: Sequence[float], labels: Sequence | None = None) -> Column:
-    """``pd.cut`` with right-closed bins (-inf,e0],(e0,e1],...,(ek,inf) → 0..k+1 or labels."""
-    c = _c(c)
+    """``pd.cut`` with right-closed bins (-inf,e0],(e0,e1],...,(ek,inf) → 0..k+1 or labels; NaN → NULL."""
+    c = nan_to_null(c)
     labels = list(labels) if labels is not None else list(range(len(edges) + 1))
     expr = None
     for e, lab in zip(edges, labels):
@@ -68,8 +83,8 @@ def bin_right_closed(c: str | Column, edges: Sequence[float], labels: Sequence |
 
 
 def bin_left_closed(c: str | Column, edges: Sequence[float], labels: Sequence | None = None) -> Column:
-    """Row-callback style bins: ``< e0``, ``< e1``, ..., else → labels."""
-    c = _c(c)
+    """Row-callback style bins: ``< e0``, ``< e1``, ..., else → labels; NaN → NULL."""
+    c = nan_to_null(c)
     labels = list(labels) if labels is not None else list(range(len(edges) + 1))
     expr = None
     for e, lab in zip(edges, labels):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabrisk.functions.columns import nan_to_null, round_binary, strip_ws
@@ -74,10 +74,23 @@ def fit_imputer(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
                    modes=fit_modes(src, categorical) if categorical else {})
 
 
+def is_missing(df: DataFrame, c: str) -> Column:
+    """NULL, or NaN in a floating column."""
+    null = F.col(c).isNull()
+    return null | F.isnan(F.col(c)) if dict(df.dtypes)[c] in ("double", "float") else null
+
+
+def nan_as_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with NaN in the floating columns among ``cols`` as NULL."""
+    kinds = dict(df.dtypes)
+    fix = {c: nan_to_null(c) for c in cols if kinds[c] in ("double", "float")}
+    return df.withColumns(fix) if fix else df
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, n_null)`` from one aggregate over all columns."""
     cols = list(cols or df.columns)
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    wide = df.agg(*[F.count_if(is_missing(df, c)).alias(c) for c in cols])
     return wide.unpivot([], cols, "column_name", "n_null")
 
 
@@ -85,7 +98,7 @@ def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     """Missing count and percentage (2 dp) for columns with any NULL, most missing first."""
     cols = list(cols or df.columns)
     wide = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+                  *[F.count_if(is_missing(df, c)).alias(c) for c in cols])
     long = wide.unpivot(["__rows"], cols, "column_name", "missing")
     return (long.where(F.col("missing") > 0)
             .select("column_name", F.col("missing").cast("long").alias("missing"),
@@ -124,7 +137,7 @@ def quality_snapshot(df: DataFrame, name: str) -> DataFrame:
     per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
     nulls = None
     for c in cols:
-        t = F.col(c).isNull().cast("long")
+        t = is_missing(df, c).cast("long")
         nulls = t if nulls is None else nulls + t
     return per.agg(F.sum("__n").cast("long").alias("rows"),
                    F.sum(F.col("__n") * nulls).cast("long").alias("missing_cells"),
@@ -147,6 +160,6 @@ def assert_no_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> None:
 
 def missing_pattern(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Null-pattern counts: one bit per column (1 = NULL), most frequent pattern first."""
-    bits = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in cols])
+    bits = F.concat(*[is_missing(df, c).cast("int").cast("string") for c in cols])
     return (df.groupBy(bits.alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "pattern"))

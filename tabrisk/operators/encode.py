@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabrisk.operators.clean import nan_as_null
 from tabrisk.operators.joins import join_small
 from tabrisk.operators.ranking import exact_row_number
 
@@ -81,7 +82,8 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> Scaler:
-    """Mean and **population** std of every column in one aggregate (zero variance → scale 1)."""
+    """Mean and **population** std of every column in one aggregate (zero variance → scale 1; NaN is skipped)."""
+    df = nan_as_null(df, cols)
     row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                  *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     return Scaler({c: row[f"m_{c}"] for c in cols}, {c: row[f"s_{c}"] for c in cols})

@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabrisk.functions.columns import (bin_left_closed, bin_right_closed, clip_lower, flag,
-                                       guarded_ratio, interval_flag, ordinal_map)
+from tabrisk.functions.columns import (bin_left_closed, bin_right_closed, clip_lower,
+                                       guarded_ratio, interval_flag, ordinal_map, threshold_flag,
+                                       weighted_sum)
 
 col = F.col
 
@@ -87,11 +88,6 @@ ORDINAL_DEFAULTS = {"stress_ord": 2, "sleep_q_ord": 2, "activity_ord": 2, "smoke
 # Notebook variant of the sleep-quality and stress dictionaries.
 SLEEP_Q_MAP_NOTEBOOK = {"poor": 1, "average": 2, "good": 3}
 STRESS_MAP_NOTEBOOK = {"low": 1, "medium": 2, "high": 3}
-RISK_WEIGHTS = {"bmi": 0.4, "heart_rate": 0.3, "stress_ord": 5.0, "smoke_ord": 10.0}
-RISK_MINUS = {"sleep_quality_index": 2.0}
-RISK_STEPS_DIV = 1000.0
-WELLNESS_WEIGHTS = {"sleep_q_ord": 3.0, "activity_ord": 2.0}
-WELLNESS_MINUS = {"stress_ord": 2.0, "smoke_ord": 5.0}
 
 RATIOS = [
     ratio("activity_efficiency", "calorie_expenditure", "exercise_duration", 1.0),
@@ -108,21 +104,21 @@ EXTRA_RATIOS = [
 
 FLAGS = [
     Feature("is_ideal_sleep", ("sleep_duration",), lambda: interval_flag("sleep_duration", 7.0, 9.0)),
-    Feature("is_deprived_sleep", ("sleep_duration",), lambda: flag(col("sleep_duration") < 6.0)),
+    Feature("is_deprived_sleep", ("sleep_duration",), lambda: threshold_flag("sleep_duration", "<", 6.0)),
     Feature("is_normal_bmi", ("bmi",), lambda: interval_flag("bmi", 18.5, 24.9)),
-    Feature("is_obese", ("bmi",), lambda: flag(col("bmi") >= 30.0)),
-    Feature("is_tachycardia", ("heart_rate",), lambda: flag(col("heart_rate") > 100.0)),
-    Feature("is_bradycardia", ("heart_rate",), lambda: flag(col("heart_rate") < 60.0)),
-    Feature("is_active_steps", ("step_count",), lambda: flag(col("step_count") >= 8000)),
+    Feature("is_obese", ("bmi",), lambda: threshold_flag("bmi", ">=", 30.0)),
+    Feature("is_tachycardia", ("heart_rate",), lambda: threshold_flag("heart_rate", ">", 100.0)),
+    Feature("is_bradycardia", ("heart_rate",), lambda: threshold_flag("heart_rate", "<", 60.0)),
+    Feature("is_active_steps", ("step_count",), lambda: threshold_flag("step_count", ">=", 8000)),
 ]
 EXTRA_FLAGS = [
     Feature("is_overweight", ("bmi",), lambda: interval_flag("bmi", 25.0, 30.0, hi_closed=False)),
-    Feature("is_underweight", ("bmi",), lambda: flag(col("bmi") < 18.5)),
-    Feature("is_very_active", ("step_count",), lambda: flag(col("step_count") >= 12000)),
-    Feature("is_high_stress", ("stress_ord",), lambda: flag(col("stress_ord") == 3), level=2),
-    Feature("is_smoker", ("smoke_ord",), lambda: flag(col("smoke_ord") == 1), level=2),
-    Feature("is_excellent_sleep", ("sleep_q_ord",), lambda: flag(col("sleep_q_ord") == 4), level=2),
-    Feature("is_poor_sleep", ("sleep_q_ord",), lambda: flag(col("sleep_q_ord") == 1), level=2),
+    Feature("is_underweight", ("bmi",), lambda: threshold_flag("bmi", "<", 18.5)),
+    Feature("is_very_active", ("step_count",), lambda: threshold_flag("step_count", ">=", 12000)),
+    Feature("is_high_stress", ("stress_ord",), lambda: threshold_flag("stress_ord", "==", 3), level=2),
+    Feature("is_smoker", ("smoke_ord",), lambda: threshold_flag("smoke_ord", "==", 1), level=2),
+    Feature("is_excellent_sleep", ("sleep_q_ord",), lambda: threshold_flag("sleep_q_ord", "==", 4), level=2),
+    Feature("is_poor_sleep", ("sleep_q_ord",), lambda: threshold_flag("sleep_q_ord", "==", 1), level=2),
 ]
 
 ORDINALS = [
@@ -145,24 +141,12 @@ NONLINEAR = [
 
 
 def _risk_index() -> Column:
-    e = None
-    for c, w in RISK_WEIGHTS.items():
-        t = F.lit(w) * col(c)
-        e = t if e is None else e + t
-    for c, w in RISK_MINUS.items():
-        e = e - F.lit(w) * col(c)
-    return e - col("step_count") / F.lit(RISK_STEPS_DIV)
+    weighted = weighted_sum({"bmi": 0.4, "heart_rate": 0.3, "stress_ord": 5.0, "smoke_ord": 10.0, "sleep_quality_index": -2.0})
+    return weighted - col("step_count") / F.lit(1000.0)
 
 
 def _wellness_index() -> Column:
-    e = None
-    for c, w in WELLNESS_WEIGHTS.items():
-        t = F.lit(w) * col(c)
-        e = t if e is None else e + t
-    e = e + F.log1p("step_count")
-    for c, w in WELLNESS_MINUS.items():
-        e = e - F.lit(w) * col(c)
-    return e
+    return weighted_sum({"sleep_q_ord": 3.0, "activity_ord": 2.0}) + F.log1p("step_count") + weighted_sum({"stress_ord": -2.0, "smoke_ord": -5.0})
 
 
 COMPOSITES = [
@@ -170,11 +154,11 @@ COMPOSITES = [
             lambda: col("sleep_duration") * col("sleep_q_ord"), level=2),
     Feature("stress_bmi_load", ("bmi", "stress_ord"), lambda: col("bmi") * col("stress_ord"), level=2),
     Feature("cardio_strain", ("heart_rate", "stress_ord", "sleep_duration"),
-            lambda: col("heart_rate") * col("stress_ord") / (col("sleep_duration") + F.lit(0.5)), level=2),
+            lambda: guarded_ratio(col("heart_rate") * col("stress_ord"), "sleep_duration", 0.5), level=2),
     Feature("recovery_index", ("sleep_duration", "sleep_q_ord", "stress_ord"),
-            lambda: col("sleep_duration") * col("sleep_q_ord") / (col("stress_ord") + F.lit(0.1)), level=2),
+            lambda: guarded_ratio(col("sleep_duration") * col("sleep_q_ord"), "stress_ord", 0.1), level=2),
     Feature("cardio_fitness", ("step_count", "heart_rate", "activity_ord"),
-            lambda: col("step_count") / (col("heart_rate") + F.lit(1.0)) * col("activity_ord"), level=2),
+            lambda: guarded_ratio("step_count", "heart_rate", 1.0) * col("activity_ord"), level=2),
     Feature("risk_index", ("bmi", "heart_rate", "stress_ord", "smoke_ord", "step_count"),
             _risk_index, level=3),
     Feature("wellness_index", ("sleep_q_ord", "activity_ord", "step_count", "stress_ord", "smoke_ord"),
@@ -182,9 +166,9 @@ COMPOSITES = [
     Feature("stress_smoke_bmi", ("stress_ord", "smoke_ord", "bmi"),
             lambda: col("stress_ord") * col("smoke_ord") * col("bmi"), level=2),
     Feature("active_sleep_stress", ("activity_ord", "sleep_q_ord", "stress_ord"),
-            lambda: col("activity_ord") * col("sleep_q_ord") / (col("stress_ord") + F.lit(0.1)), level=2),
+            lambda: guarded_ratio(col("activity_ord") * col("sleep_q_ord"), "stress_ord", 0.1), level=2),
     Feature("risk_activity_combo", ("risk_index", "activity_ord"),
-            lambda: col("risk_index") / (col("activity_ord") + F.lit(0.1)), level=4),
+            lambda: guarded_ratio("risk_index", "activity_ord", 0.1), level=4),
 ]
 
 
@@ -215,8 +199,7 @@ def preset_notebook(df: DataFrame, fitted_minmax: dict | None = None) -> DataFra
                      lambda: col("sleep_duration") * ordinal_map("sleep_quality", SLEEP_Q_MAP_NOTEBOOK, 2)),
              Feature("bmi_category", ("bmi",), lambda: bmi_bin_right_closed().cast("string")),
              Feature("stress_sleep_ratio", ("stress_level", "sleep_duration"),
-                     lambda: ordinal_map("stress_level", STRESS_MAP_NOTEBOOK, 2)
-                     / (col("sleep_duration") + F.lit(1.0)))]
+                     lambda: guarded_ratio(ordinal_map("stress_level", STRESS_MAP_NOTEBOOK, 2), "sleep_duration", 1.0))]
     return apply_features(out, specs)
 
 
@@ -234,7 +217,8 @@ def preset_bundle(df: DataFrame) -> DataFrame:
                 lambda: col("sleep_duration") * col("sleep_quality")),
     ] + FLAGS + [
         Feature("stress_sleep_ratio", ("stress_level", "sleep_duration"),
-                lambda: col("stress_level") / (col("sleep_duration") + F.lit(1.0))),
+                lambda: guarded_ratio("stress_level", "sleep_duration", 1.0)),
+        Feature("bmi_category", ("bmi",), bmi_bin_left_closed),
     ] + [Feature(f"{c}_diff_from_group_mean", (), lambda: F.lit(0.0), level=9)
          for c in ["heart_rate", "bmi", "step_count", "calorie_expenditure"]]
     out = apply_features(df, specs)
@@ -257,7 +241,6 @@ AGG_MASTER = AGG_ULTRA + ["risk_index"]
 AGG_ULTIMATE = AGG_ULTRA + ["risk_index", "wellness_index"]
 
 _ALL = {f.name: f for f in ORDINALS + RATIOS + EXTRA_RATIOS + NONLINEAR + COMPOSITES + FLAGS + EXTRA_FLAGS}
-_HIGH_STRESS = "is_high_stress"
 
 
 def _pick(names: Sequence[str]) -> list[Feature]:
@@ -273,7 +256,7 @@ def _wide_preset(df: DataFrame, names: Sequence[str], key_sets, agg_cols) -> Dat
 
 
 _RATIO6 = [f.name for f in RATIOS] + ["calorie_per_step"]
-_FLAGS8 = [f.name for f in FLAGS] + [_HIGH_STRESS]
+_FLAGS8 = [f.name for f in FLAGS] + ["is_high_stress"]
 
 
 def preset_ultra(df: DataFrame) -> DataFrame:
@@ -296,7 +279,7 @@ def preset_ultimate(df: DataFrame) -> DataFrame:
              + ["bmi_sq", "heart_rate_sq", "log_steps", "log_calorie", "log_exercise", "sqrt_bmi"]
              + ["sleep_quality_index", "stress_bmi_load", "cardio_strain", "risk_index", "wellness_index",
                 "recovery_index", "cardio_fitness"]
-             + [f.name for f in FLAGS] + ["is_overweight", "is_underweight", "is_very_active", _HIGH_STRESS,
+             + [f.name for f in FLAGS] + ["is_overweight", "is_underweight", "is_very_active", "is_high_stress",
                                           "is_smoker", "is_excellent_sleep", "is_poor_sleep"]
              + ["stress_smoke_bmi", "active_sleep_stress", "risk_activity_combo"])
     return _wide_preset(df, names, KEYSETS_ULTIMATE, AGG_ULTIMATE)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabrisk.operators.clean import nan_as_null
 from tabrisk.operators.joins import join_small
 
 Z_EPS = 1e-6
@@ -32,6 +33,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     """
     aggs = []
     decimal_scale = decimal_scale or {}
+    df = nan_as_null(df, cols)
     for c in cols:
         if c in decimal_scale:
             exact = F.sum(F.col(c).cast(f"decimal(38,{decimal_scale[c]})")).cast("double")

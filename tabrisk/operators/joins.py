@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, null-safe key joins."""
+"""Join helpers: broadcast by size in bytes, null-safe key joins."""
 
 from __future__ import annotations
 
@@ -7,21 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension-like side is broadcast only when its row count is at most this.
-BROADCAST_MAX_ROWS = 100_000
+from tabrisk.session import scratch_path
 
 
 def join_small(fact: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS, null_safe: bool = False) -> DataFrame:
+               null_safe: bool = False) -> DataFrame:
     """Join ``small`` (a fitted statistic / vocabulary table) onto ``fact``.
 
-    ``small`` is persisted and counted first: only a side with a proven row
-    bound is broadcast; otherwise the join is left to a shuffle (sort-merge)
-    join, which also works when the "small" side turns out to be large.
+    ``small`` is written to the shared folder first, so Spark knows its size in bytes when it plans:
+    it is broadcast under ``spark.sql.autoBroadcastJoinThreshold`` and shuffled beyond it, and
+    nothing stays cached.
     """
-    small = small.persist()
-    n = small.count()
-    right = F.broadcast(small) if n <= max_rows else small
+    path = scratch_path(fact.sparkSession, "small")
+    small.write.parquet(path)
+    right = fact.sparkSession.read.schema(small.schema).parquet(path)
     if not null_safe:
         return fact.join(right, list(on), how)
     renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in on],

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
@@ -23,7 +24,14 @@ from pyspark.sql import functions as F
 from tabrisk.operators.score import ScoreBundle, predict_proba
 from tabrisk.session import scratch_path
 
-MAX_TREE_DEPTH = 30  # MLlib limit; "no depth limit" maps here
+MAX_CONCURRENT_FITS = 4  # folds or members fitted at the same time
+MAX_TREE_DEPTH = 30  # MLlib's limit; a caller that wants no limit asks for this
+
+
+def _depth(max_depth: int) -> int:
+    if not 0 <= max_depth <= MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {max_depth}: MLlib trees have a depth of 0 to {MAX_TREE_DEPTH}")
+    return max_depth
 
 
 def logistic_regression(label: str = "label", weight: str | None = "weight", max_iter: int = 200,
@@ -38,7 +46,7 @@ def logistic_regression(label: str = "label", weight: str | None = "weight", max
 
 def decision_tree(label: str = "label", weight: str | None = "weight", max_depth: int = 10,
                   min_instances: int = 10, seed: int = 42) -> DecisionTreeClassifier:
-    dt = DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=min(max_depth, MAX_TREE_DEPTH),
+    dt = DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=_depth(max_depth),
                                 minInstancesPerNode=min_instances, seed=seed, cacheNodeIds=True,
                                 maxMemoryInMB=1024, checkpointInterval=10)
     if weight:
@@ -53,7 +61,7 @@ def random_forest(label: str = "label", weight: str | None = "weight", num_trees
     no-resampling variant (MLlib offers no random cut-points, so not 'extra trees')."""
     # Deep trees: cache node ids (no re-descent per level), larger node batches per pass.
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
-                                maxDepth=min(max_depth, MAX_TREE_DEPTH), minInstancesPerNode=min_instances,
+                                maxDepth=_depth(max_depth), minInstancesPerNode=min_instances,
                                 featureSubsetStrategy="sqrt", bootstrap=bootstrap, seed=seed,
                                 cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     if weight:
@@ -69,14 +77,17 @@ def fit_boosted_members(df: DataFrame, k: int, label: str = "label", weight: str
     The binary members keep their probability columns, so class probabilities are
     ``p_c / Σ p`` with no Python in the plan, and the members also run on streams.
     """
-    members = []
-    for c in range(k):
+    def member(c: int):
         g = GBTClassifier(labelCol="__bin", featuresCol="features", maxIter=max_iter, stepSize=step,
-                          maxDepth=max_depth, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
+                          maxDepth=_depth(max_depth), subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
                           seed=seed, cacheNodeIds=True, checkpointInterval=10)
         if weight:
             g.setWeightCol(weight)
-        members.append(g.fit(df.withColumn("__bin", (F.col(label) == c).cast("double"))))
+        return g.fit(df.withColumn("__bin", (F.col(label) == c).cast("double")))
+
+    # The members don't depend on each other: their jobs share the cluster.
+    with ThreadPool(min(k, MAX_CONCURRENT_FITS)) as pool:
+        members = pool.map(member, range(k))
     return ScoreBundle(feature_names=(), classes=tuple(str(c) for c in range(k)), members=tuple(members))
 
 
@@ -107,17 +118,22 @@ def oof_predictions(df: DataFrame, fit: Callable[[DataFrame], object], k_folds:
                     fold_col: str = "fold", name: str = "model") -> DataFrame:
     """Out-of-fold predictions: fit on folds ≠ f, predict fold f, for every fold.
 
-    Each fold's predictions are appended to a Parquet stage table in the shared
+    Each fold's predictions are written to its own part of a Parquet stage table in the shared
     checkpoint folder; the returned frame reads it back (every row predicted once).
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"oof_{name}")
-    for f in range(k_folds):
+
+    def one(f: int) -> str:
         model = fit(df.where(F.col(fold_col) != f))
         held = df.where(F.col(fold_col) == f)
         pf = proba_frame(model, held, [*keep, fold_col]).withColumn("model", F.lit(name))
-        pf.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        pf.write.parquet(f"{path}/part={f}")
+        return f"{path}/part={f}"
+
+    with ThreadPool(min(k_folds, MAX_CONCURRENT_FITS)) as pool:
+        paths = pool.map(one, range(k_folds))
+    return spark.read.parquet(*paths)
 
 
 def cross_validate(df: DataFrame, fit: Callable[[DataFrame], object], k_folds: int, keep: Sequence[str],

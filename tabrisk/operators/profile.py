@@ -10,14 +10,17 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrisk.operators.clean import mode_table
+from tabrisk.operators.clean import mode_table, nan_as_null
 from tabrisk.operators.joins import join_small
 from tabrisk.operators.ranking import exact_quantiles, quantile_wide
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
-    """``df.describe()``: count, mean, sample std, min, 25/50/75 %, max per column (long form)."""
+    """``df.describe()``: count, mean, sample std, min, 25/50/75 %, max per column (long form).
+
+    NaN is skipped like NULL."""
     cols = list(cols)
+    df = nan_as_null(df, cols)
     wide = df.agg(*[F.count(c).alias(f"count__{c}") for c in cols],
                   *[F.avg(c).alias(f"mean__{c}") for c in cols],
                   *[F.stddev_samp(c).alias(f"std__{c}") for c in cols],
@@ -56,8 +59,11 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, flag_pct: float = 5.0,
                  method: str = "exact") -> DataFrame:
-    """Per column: Q1, Q3, IQR, bounds, outlier count / pct, and a flag when pct > ``flag_pct``."""
+    """Per column: Q1, Q3, IQR, bounds, outlier count / pct, and a flag when pct > ``flag_pct``.
+
+    NaN is missing: never an outlier, but counted among the rows."""
     cols = list(cols)
+    df = nan_as_null(df, cols)
     q = quantile_wide(exact_quantiles(df, cols, [0.25, 0.75], method=method), ["column_name"],
                       {0.25: "q1", 0.75: "q3"}).collect()
     bounds = {row["column_name"]: (row["q1"], row["q3"]) for row in q}
@@ -97,7 +103,8 @@ def histogram_bins(df: DataFrame, col: str, bins: int = 40, by: str | None = Non
     rng = src.agg(F.min(F.col(col).cast("double")).alias("mn"), F.max(F.col(col).cast("double")).alias("mx")).first()
     mn, mx = rng["mn"], rng["mx"]
     if mn is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, n long")
+        key = f"{by} {dict(df.dtypes)[by]}, " if by else ""
+        return df.sparkSession.createDataFrame([], f"{key}bin int, bin_lo double, bin_hi double, n long")
     keys = [by] if by else []
     counts = src.groupBy(*keys, _bin_expr(F.col(col).cast("double"), F.lit(mn), F.lit(mx), bins).alias("bin")) \
         .agg(F.count(F.lit(1)).alias("n"))
@@ -121,6 +128,7 @@ def _grid_by(groups: DataFrame, by: str, bins: int) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, col: str, by: str, method: str = "exact") -> DataFrame:
     """Per group: n, min, Q1, median, Q3, max, 1.5·IQR whiskers and outlier count."""
+    df = nan_as_null(df, [col])
     src = df.where(F.col(col).isNotNull())
     q = quantile_wide(exact_quantiles(src, [col], [0.0, 0.25, 0.5, 0.75, 1.0], by=[by], method=method),
                       [by], {0.0: "min", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "max"})

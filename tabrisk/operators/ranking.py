@@ -32,7 +32,6 @@ def exact_row_number(df: DataFrame, order: Sequence[str | Column], by: Sequence[
     ``total`` (optional) adds the group size as a column.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = list(by)
     order_cols = [_order_col(o) for o in order]
     # The partition id must be identical for the counting pass and the numbering pass;
@@ -42,7 +41,9 @@ def exact_row_number(df: DataFrame, order: Sequence[str | Column], by: Sequence[
     # The range bounds are sampled from the input in a separate job; keep the input
     # persisted for that job and the shuffle so it is computed once.
     src = df.persist()
-    ranged = (src.repartitionByRange(n, *[F.col(b).asc() for b in by], *order_cols)
+    cols = [*[F.col(b).asc() for b in by], *order_cols]
+    # Without a number, Spark sizes the partitions from the data.
+    ranged = ((src.repartitionByRange(num_partitions, *cols) if num_partitions else src.repartitionByRange(*cols))
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     src.unpersist()
@@ -68,8 +69,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """Linear-interpolated quantiles (pandas ``quantile`` / DuckDB ``quantile_cont``).
 
     Returns long rows ``(*by, column, p, value)``; NULL and NaN are skipped.
-    ``method='exact'``: one distributed sort of the unpivoted ``(column, value)``
-    table. ``method='approx'``: ``percentile_approx`` (bounded memory, one pass).
+    ``method='exact'``: distinct values are counted, then sorted and numbered by range. ``method='approx'``: ``percentile_approx`` (bounded memory, one pass).
     """
     by = list(by)
     long = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
@@ -83,17 +83,29 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return (agg.select(*keys, F.posexplode("_q").alias("_i", "value"))
                 .withColumn("p", F.element_at(F.array(*[F.lit(p) for p in plist]), F.col("_i") + 1))
                 .select(*keys, "p", "value"))
-    ranked = exact_row_number(long, ["value"], by=keys, name="_rn", total="_n")
+    # Copies of a value are counted before anything is sorted: a frequent value is one row.
+    counts = long.groupBy(*keys, F.when(F.col("value") == 0, 0.0).otherwise(F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("_c"))
+    checkpoint_dir(df.sparkSession)
+    ranged = (counts.repartitionByRange(*[F.col(k).asc() for k in keys], F.col("value").asc())
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    per_part = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select("_pid", *keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                              F.sum("_cnt").over(Window.partitionBy(*keys)).alias("_n"))
+    inside = Window.partitionBy("_pid", *keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_small(ranged.withColumn("_upto", F.sum("_c").over(inside)), offsets, ["_pid", *keys], how="inner", null_safe=True)
+    # The value holds the positions first..last of its key's sorted rows.
+    last = F.col("_off") + F.col("_upto")
+    first = last - F.col("_c") + 1
     parr = F.array(*[F.lit(p) for p in plist])
     h = lambda p: (F.col("_n") - 1).cast("double") * p
-    pick = F.filter(parr, lambda p: (F.col("_rn") == F.floor(h(p)) + 1) | (F.col("_rn") == F.ceil(h(p)) + 1))
-    sel = (ranked.withColumn("_sel", pick).where(F.size("_sel") > 0)
-           .select(*keys, "_rn", "_n", "value", F.explode("_sel").alias("p")))
+    holds = lambda pos: (first <= pos) & (pos <= last)
+    pick = F.filter(parr, lambda p: holds(F.floor(h(p)) + 1) | holds(F.ceil(h(p)) + 1))
+    sel = (ranked.withColumn("_first", first).withColumn("_last", last).withColumn("_sel", pick).where(F.size("_sel") > 0)
+           .select(*keys, "_first", "_last", "_n", "value", F.explode("_sel").alias("p")))
     hp = (F.col("_n") - 1).cast("double") * F.col("p")
-    agg = sel.groupBy(*keys, "p").agg(
-        F.first(hp).alias("_h"),
-        F.max(F.when(F.col("_rn") == F.floor(hp) + 1, F.col("value"))).alias("_lo"),
-        F.max(F.when(F.col("_rn") == F.ceil(hp) + 1, F.col("value"))).alias("_hi"))
+    at = lambda pos: F.max(F.when((F.col("_first") <= pos) & (pos <= F.col("_last")), F.col("value")))
+    agg = sel.groupBy(*keys, "p").agg(F.first(hp).alias("_h"), at(F.floor(hp) + 1).alias("_lo"), at(F.ceil(hp) + 1).alias("_hi"))
     frac = F.col("_h") - F.floor("_h")
     return agg.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"))
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrisk.functions.columns import argmax_first
+from tabrisk.functions.columns import argmax_first, nan_to_null
+from tabrisk.session import scratch_path
 
 
 def validate_submission(sub: DataFrame, template: DataFrame, id_col: str, label_col: str,
@@ -93,14 +95,13 @@ def trace_json(df: DataFrame, id_col: str, groups: dict[str, Sequence[str]]) ->
     return df.select(id_col, F.to_json(st).alias("trace"))
 
 
-VOCAB_LITERAL_MAX = 10_000  # larger vocabularies are joined as tables instead of map literals
-
-
 @dataclass(frozen=True)
 class FittedPrep:
-    """Fitted, literal-only preprocessing: the same projection serves batch and stream.
+    """Fitted preprocessing: the same projection and table joins serve batch and stream.
 
-    mode fill → lower/strip → median fill → label codes (unseen → 0) → standard scale.
+    mode fill → lower/strip → median fill → label codes (unseen → 0) → standard scale. A
+    vocabulary is a written ``(value, code)`` table of any size; it is joined, and Spark broadcasts
+    it only if its files are small.
     """
     numeric: tuple
     categorical: tuple
@@ -115,37 +116,43 @@ class FittedPrep:
         return tuple(f"{c}_scaled" for c in self.numeric) + tuple(f"{c}_code" for c in self.categorical)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        from tabrisk.functions.columns import nan_to_null, ordinal_map, strip_ws
-        cols = {}
+        from tabrisk.functions.columns import nan_to_null, strip_ws
+        out = df.withColumns({c: F.lower(strip_ws(F.coalesce(F.col(c), F.lit(self.modes[c])))) for c in self.categorical})
+        out = out.withColumns({c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(float(self.medians[c])))
+                               for c in self.numeric})
         for c in self.categorical:
-            norm = F.lower(strip_ws(F.coalesce(F.col(c), F.lit(self.modes[c]))))
-            cols[c] = norm
-        out = df.withColumns(cols)
-        num = {c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(float(self.medians[c])))
-               for c in self.numeric}
-        out = out.withColumns(num)
-        derived = {}
+            codes = self.vocab[c].select(F.col("value").alias(f"__{c}"), F.col("code").alias(f"__{c}_code"))
+            out = out.join(codes, out[c] == codes[f"__{c}"], "left").drop(f"__{c}")
+            out = out.withColumn(f"{c}_code", F.coalesce(F.col(f"__{c}_code"), F.lit(0)).cast("double")).drop(f"__{c}_code")
+        return out.withColumns({f"{c}_scaled": (F.col(c) - F.lit(self.mean[c])) / F.lit(self.std[c] or 1.0) for c in self.numeric})
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Literals as one JSON line, every vocabulary as a Parquet table."""
+        meta = {k: getattr(self, k) for k in ("numeric", "categorical", "medians", "modes", "mean", "std")}
+        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/literals")
         for c in self.categorical:
-            derived[f"{c}_code"] = ordinal_map(c, self.vocab[c], 0).cast("double")
-        for c in self.numeric:
-            s = self.std[c]
-            derived[f"{c}_scaled"] = (F.col(c) - F.lit(self.mean[c])) / F.lit(1.0 if not s else s)
-        return out.withColumns(derived)
+            self.vocab[c].write.mode("overwrite").parquet(f"{path}/vocab/{c}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FittedPrep:
+        meta = json.loads(spark.read.text(f"{path}/literals").first()["value"])
+        missing = {"numeric", "categorical", "medians", "modes", "mean", "std"} - meta.keys()
+        if missing:
+            raise ValueError(f"{path} lacks {sorted(missing)}")
+        vocab = {c: spark.read.schema("value string, code int").parquet(f"{path}/vocab/{c}") for c in meta["categorical"]}
+        return cls(tuple(meta["numeric"]), tuple(meta["categorical"]), meta["medians"], meta["modes"], vocab, meta["mean"], meta["std"])
 
 
 def fit_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FittedPrep:
     from tabrisk.operators.clean import fit_imputer, normalize_notebook
-    from tabrisk.operators.encode import fit_scaler
+    from tabrisk.operators.encode import fit_scaler, fit_vocabulary
     imp = fit_imputer(train, numeric, categorical)
     t = normalize_notebook(train, categorical, imp.modes)
-    t = t.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(imp.medians[c]))) for c in numeric})
-    vocab = {}
+    t = t.withColumns({c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(float(imp.medians[c]))) for c in numeric})
+    spark, vocab = train.sparkSession, {}
     for c in categorical:
-        # bounded: fetch at most VOCAB_LITERAL_MAX + 1 distinct values, refuse larger vocabularies
-        vals = [r[0] for r in t.select(F.col(c).cast("string")).where(F.col(c).isNotNull()).distinct()
-                .limit(VOCAB_LITERAL_MAX + 1).collect()]
-        if len(vals) > VOCAB_LITERAL_MAX:
-            raise ValueError(f"vocabulary of {c} too large for a literal map; encode with encode.label_encode")
-        vocab[c] = {v: i for i, v in enumerate(sorted(vals))}
+        path = scratch_path(spark, f"vocab_{c}")
+        fit_vocabulary(t, c).write.parquet(path)
+        vocab[c] = spark.read.schema("value string, code int").parquet(path)
     sc = fit_scaler(t, numeric)
     return FittedPrep(tuple(numeric), tuple(categorical), imp.medians, imp.modes, vocab, sc.mean, sc.std)

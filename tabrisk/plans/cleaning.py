@@ -98,7 +98,7 @@ FROM part""")
 def q_coerce_numeric(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", coerce_double("p_name").alias("name_num"),
-                    coerce_double(F.substring("p_brand", 7, 1 << 20)).alias("brand_num"),
+                    coerce_double(F.expr("substring(p_brand, 7)")).alias("brand_num"),
                     coerce_double("p_size").alias("size_num"), coerce_double("p_retailprice").alias("price_num"))
 
 

@@ -180,9 +180,9 @@ def q_feat_flags(spark, sf_dir):
     p = prepared(spark, sf_dir)
     return p.select(ID, fc.interval_flag("avg_disc", 0.02, 0.06).alias("is_mid_discount"),
                     fc.interval_flag("n_lines", 3, 5, hi_closed=False).alias("is_mid_lines"),
-                    fc.flag(F.col("o_totalprice") > 200000).alias("is_large_order"),
-                    fc.flag(F.col("sum_qty") >= 100).alias("is_bulk"),
-                    fc.flag(F.col("c_acctbal") < 0).alias("is_negative_balance"),
+                    fc.threshold_flag("o_totalprice", ">", 200000).alias("is_large_order"),
+                    fc.threshold_flag("sum_qty", ">=", 100).alias("is_bulk"),
+                    fc.threshold_flag("c_acctbal", "<", 0).alias("is_negative_balance"),
                     fc.flag(F.col("o_orderpriority") == "1-urgent").alias("is_urgent"))
 
 

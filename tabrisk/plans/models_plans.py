@@ -161,8 +161,7 @@ def q_meta_learner(spark, sf_dir):
     long = _oof_stack(spark, sf_dir)
     wide = long_to_wide(long, ID, ["logreg", "tree"], K)
     stack_cols = [c for c in wide.columns if c != ID]
-    meta = (wide.join(long.select(ID, "label", "fold").distinct(), ID)
-            .withColumn("weight", F.lit(1.0)))
+    meta = split.balanced_weights(wide.join(long.select(ID, "label", "fold").distinct(), ID), "label")
     meta = encode.assemble(meta, stack_cols)
     # cross-fitted: the meta model that scores fold f never saw fold f
     oof = models.oof_predictions(meta, models.logistic_regression(max_iter=100).fit, 5, [ID, "label"],

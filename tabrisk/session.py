@@ -41,8 +41,8 @@ def build_session(master: str | None = None, app: str = "tabrisk",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system); only
-    when it is unset (local tests) do we create a private folder.
+    On a cluster this is set by the deployment (a shared file system) and required; a
+    private folder is made only for a local master (tests), where all tasks share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tabrisk-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -11,22 +11,23 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Header CSV with a declared schema; string cells equal to an NA token become NULL.
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True) -> DataFrame:
+    """Header CSV with a declared schema; cells equal to an NA token become NULL in any column.
 
-    Spark accepts one ``nullValue``; numeric columns see the others as unparsable
-    (NULL in permissive mode), string columns are mapped explicitly.
-    """
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("nanValue", "NaN").csv(path))
-    fixes = {f.name: F.when(~F.col(f.name).isin(NA_TOKENS), F.col(f.name))
-             for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.withColumns(fixes) if fixes else df
+    RFC 4180 quoting: a quote inside a quoted cell is doubled, cells may hold newlines. Every cell
+    is read as text first, so only NA tokens turn into NULL: a row with the wrong number of
+    cells, or a cell that isn't of the declared type, fails the read. ``multi_line=False`` lets
+    Spark split files that have no newlines inside cells."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    df = (spark.read.schema(raw).option("header", True).option("mode", "FAILFAST").option("quote", '"').option("escape", '"')
+          .option("multiLine", multi_line).csv(path))
+    return df.select(*[F.when(~F.col(f.name).isin(NA_TOKENS), F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """``to_csv(index=False)``: header row, no index, overwrite."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """``to_csv(index=False)``: header row, no index, quotes doubled inside quoted cells, overwrite."""
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -40,4 +41,4 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def write_stamped(df: DataFrame, base_path: str, stamp_col: str = "run_ts") -> None:
     """Prediction file under ``base_path/run_ts=<yyyyMMdd_HHmmss>/`` for the current run."""
     (df.withColumn(stamp_col, F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss"))
-     .write.mode("append").partitionBy(stamp_col).option("header", True).csv(base_path))
+     .write.mode("append").partitionBy(stamp_col).option("header", True).option("escape", '"').csv(base_path))
