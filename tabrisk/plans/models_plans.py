@@ -71,20 +71,20 @@ def q_train_tree(spark, sf_dir):
 @register("train_forest")
 def q_train_forest(spark, sf_dir):
     train, valid, _ = _train_valid(spark, sf_dir)
-    return _proba_out(models.random_forest(num_trees=100, max_depth=15, min_instances=5).fit(train), valid)
+    return _proba_out(models.random_forest(num_trees=200, max_depth=15, min_instances=5).fit(train), valid)
 
 
 @register("train_forest_nobootstrap")
 def q_train_forest_nobootstrap(spark, sf_dir):
     train, valid, _ = _train_valid(spark, sf_dir)
-    rf = models.random_forest(num_trees=50, max_depth=16, min_instances=5, bootstrap=False)
+    rf = models.random_forest(num_trees=150, max_depth=16, min_instances=5, bootstrap=False)
     return _proba_out(rf.fit(train), valid)
 
 
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
     train, valid, _ = _train_valid(spark, sf_dir)
-    bundle = models.fit_boosted_members(train, K, max_iter=20, step=0.1, max_depth=5)
+    bundle = models.fit_boosted_members(train, K, max_iter=100, step=0.1, max_depth=5)
     return _proba_out(bundle, valid)
 
 

@@ -96,6 +96,32 @@ def q_describe_numeric(spark, sf_dir):
                     *[r(c).alias(c) for c in ["mean", "std", "min", "max", "p25", "p50", "p75"]])
 
 
+# --- NaN is missing -----------------------------------------------------------
+_NAN_SQL = """
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END AS price,
+                  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS cust FROM orders),
+q AS (SELECT quantile_cont(price, 0.25) AS p1, quantile_cont(price, 0.75) AS p3, quantile_cont(cust, 0.25) AS c1, quantile_cont(cust, 0.75) AS c3 FROM s)
+""" + _union([f"""
+SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS missing, CAST(count({c}) AS BIGINT) AS count, {rs(f'avg({c})', 2)} AS mean,
+       {rs(f'max({c})', 2)} AS max, {rs(f'quantile_cont({c}, 0.5)', 2)} AS p50,
+       CAST(count(*) FILTER (WHERE {c} < {k}1 - 1.5 * ({k}3 - {k}1) OR {c} > {k}3 + 1.5 * ({k}3 - {k}1)) AS BIGINT) AS n_outliers
+FROM s, q""" for c, k in (("price", "p"), ("cust", "c"))])
+
+
+@register("nan_profile", _NAN_SQL)
+def q_nan_profile(spark, sf_dir):
+    """Missing counts, describe and outliers of columns with NaN put in by key."""
+    nan = F.lit(float("nan"))
+    s = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 11 == 0, nan).otherwise(F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_orderkey") % 4 == 0, nan).otherwise(F.col("o_custkey").cast("double")).alias("cust"))
+    d = profile.describe_numeric(s, ["price", "cust"])
+    out = profile.iqr_outliers(s, ["price", "cust"]).select("column_name", "n_outliers")
+    miss = clean.null_counts(s).select("column_name", F.col("n_null").cast("long").alias("missing"))
+    return (d.join(out, "column_name").join(miss, "column_name")
+            .select("column_name", "missing", F.col("count").cast("long"), r("mean", 2).alias("mean"), r("max", 2).alias("max"), r("p50", 2).alias("p50"), "n_outliers"))
+
+
 # --- G3 categorical describe --------------------------------------------------
 _DESC_CAT = ["o_orderpriority", "c_mktsegment", LABEL]
 
