@@ -17,8 +17,11 @@ from tabrisk.operators.ranking import exact_row_number
 
 
 def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, seeded, without replacement (top-n by hash key)."""
-    return df.orderBy(hash_key(id_col, seed), F.col(id_col)).limit(n)
+    """Exactly ``min(n, rows)`` rows, seeded, without replacement: the n first by hash key.
+
+    Positions come from ``exact_row_number``, so the sample never meets in one task."""
+    keyed = df.withColumn("_hk", hash_key(id_col, seed))
+    return exact_row_number(keyed, ["_hk", id_col], name="_pos").where(F.col("_pos") <= n).select(*df.columns)
 
 
 def class_positions(df: DataFrame, label: str, id_col: str, seed: int = 42,

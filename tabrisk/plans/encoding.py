@@ -35,27 +35,25 @@ def q_label_encode_unseen(spark, sf_dir):
     return encode.label_encode(b.select(ID, "o_orderpriority"), "o_orderpriority", vocab, unseen_code=0)
 
 
-# U4 / J3 report: part types sold in test orders that never occur in train orders.
+# U4 / J3 report: part-supplier pairs sold in test orders that never occur in train orders.
 _UNSEEN_SQL = sql_with(BASE_SQL) + """,
-lt AS (SELECT p.p_type, b.is_train FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-       JOIN base b ON b.o_orderkey = l.l_orderkey),
-v AS (SELECT DISTINCT p_type AS value FROM lt WHERE is_train = 1)
-SELECT lt.p_type AS value, CAST(count(*) AS BIGINT) AS n FROM lt
-WHERE lt.is_train = 0 AND lt.p_type NOT IN (SELECT value FROM v) GROUP BY lt.p_type"""
+lt AS (SELECT l.l_partkey || '-' || l.l_suppkey AS pair, b.is_train FROM lineitem l JOIN base b ON b.o_orderkey = l.l_orderkey),
+v AS (SELECT DISTINCT pair AS value FROM lt WHERE is_train = 1)
+SELECT lt.pair AS value, CAST(count(*) AS BIGINT) AS n FROM lt
+WHERE lt.is_train = 0 AND lt.pair NOT IN (SELECT value FROM v) GROUP BY lt.pair"""
 
 
 def _part_lines(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat_ws("-", "l_partkey", "l_suppkey").alias("pair"))
     flags = base(spark, sf_dir).select(F.col(ID).alias("l_orderkey"), "is_train")
-    return li.join(part, li.l_partkey == part.p_partkey).join(flags, "l_orderkey").select("p_type", "is_train")
+    return li.join(flags, "l_orderkey").select("pair", "is_train")
 
 
 @register("unseen_categories", _UNSEEN_SQL)
 def q_unseen_categories(spark, sf_dir):
     lt = _part_lines(spark, sf_dir)
-    vocab = encode.fit_vocabulary(lt.where(F.col("is_train") == 1), "p_type")
-    return encode.unseen_values(lt.where(F.col("is_train") == 0), "p_type", vocab).select(
+    vocab = encode.fit_vocabulary(lt.where(F.col("is_train") == 1), "pair")
+    return encode.unseen_values(lt.where(F.col("is_train") == 0), "pair", vocab).select(
         "value", F.col("n").cast("long"))
 
 
