@@ -36,8 +36,8 @@ from tabrisk.llm.common import crc_fold, raw_texts, record, slices, sum_arrays,
 WORDS = 1024  # words that the model predicts one by one
 CLASSES = 1024  # classes of other words
 DIM = 32
-NOISE = 128  # noise words per batch, shared by its tokens
-BATCH = 2048
+NOISE = 64  # noise words per batch, shared by its tokens
+BATCH = 512
 RATE = 0.2
 ROUNDS = 3
 LEXICON = 200_000  # words whose counts every task knows
@@ -187,9 +187,14 @@ class Prepared:
 def prepare(counts: DataFrame) -> Prepared:
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"])
-    # The end first, then words by count: at most LEXICON rows reach the driver.
-    top = counts.orderBy((F.col("word") == F.lit(END)).desc(), F.desc("c"), "word").limit(LEXICON).toPandas()
-    words, c = [bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)
+    # The least count whose words, with those of all higher counts, are LEXICON at most. Counts are
+    # compared in steps of a sixteenth of a power of two, so the histogram has a thousand rows at most.
+    step = F.floor(F.log2("c") * 16).cast("int")
+    sizes = counts.groupBy(step.alias("s")).agg(F.count("*").alias("k")).toPandas().sort_values("s", ascending=False)
+    fits = sizes["s"][sizes["k"].cumsum() < LEXICON]
+    top = counts.where((step >= int(fits.min() if len(fits) else 1 << 20)) | (F.col("word") == F.lit(END))).toPandas()
+    order = sorted(zip(top["word"].map(bytes), top["c"]), key=lambda x: (x[0] != END, -x[1], x[0]))
+    words, c = [w for w, _ in order], np.array([n for _, n in order], np.int64)
     if not words:
         words, c = [END], np.zeros(1, np.int64)
     own = frozenset(words[:WORDS])
