@@ -35,7 +35,7 @@ CAPACITY = 2048
 GROUPS = (160, 60, 20)
 SMALL = 900  # pieces up to here are best fitted only
 END_ID = 0
-KEEP = 120_000  # words in each of two memo generations
+KEEP = 80_000  # words in each of two memo generations
 SEPARATOR = "<|startoftext|>"  # a special token of the vocabulary: its id marks borders in one long call
 
 

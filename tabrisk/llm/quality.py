@@ -207,9 +207,16 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that a model of its labelled rows predicts as good."""
-    names = docs.columns
-    got = apply(with_stats(docs, names), learned(docs, labels), names)
-    return got.where("predicted = 1").select(*names)
+    shared = docs.sparkSession.sparkContext.broadcast(learned(docs, labels))
+
+    def run(batches):
+        # Statistics, score and choice in one pass, so that a task keeps one Python worker.
+        for b in slices(batches, "text", 1 << 20):
+            x = np.array([stats(t) for t in texts(b)], np.float64)
+            good = shared.value.score(x) >= CUT if shared.value is not None else np.ones(len(x), bool)
+            yield b.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
