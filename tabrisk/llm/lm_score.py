@@ -132,9 +132,16 @@ class Trainer:
         self.log_noise = np.log(NOISE * model.noise).astype(np.float32)
         self.sum = [np.full(p.shape, 1e-6, np.float32) for p in model.parameters()]
 
-    def _scatter(self, rows: np.ndarray, grad: np.ndarray) -> np.ndarray:
-        at = (rows[:, None] * DIM + np.arange(DIM)).ravel()
-        return np.bincount(at, weights=grad.ravel(), minlength=len(self.m.bias) * DIM).reshape(-1, DIM)
+    def _ascend(self, k: int, rows: np.ndarray, grad: np.ndarray, n: int) -> None:
+        """AdaGrad step of the rows of parameter ``k`` that a batch of ``n`` tokens touches."""
+        own, at = np.unique(rows, return_inverse=True)
+        width = grad.shape[1]
+        flat = (at[:, None] * width + np.arange(width)).ravel()
+        g = (np.bincount(flat, weights=grad.ravel(), minlength=len(own) * width) / n).astype(np.float32).reshape(-1, width)
+        p, s = self.m.parameters()[k].reshape(-1, width), self.sum[k].reshape(-1, width)
+        seen = s[own] + g * g
+        s[own] = seen
+        p[own] += RATE * g / np.sqrt(seen)
 
     def step(self, word: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
         m, n, v = self.m, len(word), len(self.m.bias)
@@ -147,15 +154,12 @@ class Trainer:
         up = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - P(true is data)
         down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
         dh = up[:, None] * rw + down @ rn
-        target = self._scatter(word, up[:, None] * h)
-        np.add.at(target, noise, down.T @ h)
-        bias = np.bincount(word, weights=up, minlength=v) + np.bincount(noise, weights=down.sum(axis=0), minlength=v)
-        context = self._scatter(np.concatenate([near, far]), np.concatenate([dh * m.near, dh * m.far]))
-        grads = [target, context, (dh * qn).sum(axis=0), (dh * qf).sum(axis=0), bias]
-        for p, g, s in zip(m.parameters(), grads, self.sum):
-            g = (g / n).astype(np.float32)
-            s += g * g
-            p += RATE * g / np.sqrt(s)
+        both = np.concatenate([word, noise])
+        self._ascend(0, both, np.concatenate([up[:, None] * h, down.T @ h]), n)
+        self._ascend(4, both, np.concatenate([up, down.sum(axis=0)])[:, None], n)
+        self._ascend(1, np.concatenate([near, far]), np.concatenate([dh * m.near, dh * m.far]), n)
+        self._ascend(2, np.zeros(1, np.int64), (dh * qn).sum(axis=0, keepdims=True), n)
+        self._ascend(3, np.zeros(1, np.int64), (dh * qf).sum(axis=0, keepdims=True), n)
 
 
 class Prepared:
