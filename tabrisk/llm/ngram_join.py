@@ -39,7 +39,7 @@ CELLS = 1 << 20  # of the count sketch
 SKETCH_PARTS = 1024
 SEEDS = 4  # minimum hashes per node for the first round
 RUN = 512  # nodes that share a shingle and are paired in one go
-PIECE = 1 << 20  # bytes hashed at once
+PIECE = 1 << 18  # bytes hashed at once
 MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256])
 
 _SPACE = np.zeros(256, bool)
