@@ -44,6 +44,20 @@ def q_csv_quoted_na(spark, sf_dir):
     return files.read_csv(spark, path, "doc_id bigint, note string, tag string, half double")
 
 
+_NA_SQL = ", ".join(f"'{t}'" for t in files.NA_TOKENS)
+
+
+@register("csv_quoted_text", f"""
+SELECT doc_id, CASE WHEN text NOT IN ({_NA_SQL}) THEN text END AS text, 'say "' || text || '", ok' || chr(10) || 'line 2, ' || coalesce(lang, '') AS note
+FROM documents""")
+def q_csv_quoted_text(spark, sf_dir):
+    """Every text whole, as a cell of its own and between quotes, commas and newlines, written and read back."""
+    path = scratch_path(spark, "quoted_text_csv")
+    note = F.concat(F.lit('say "'), "text", F.lit('", ok\nline 2, '), F.coalesce("lang", F.lit("")))
+    files.write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", note.alias("note")), path)
+    return files.read_csv(spark, path, "doc_id bigint, text string, note string")
+
+
 @register("scan_ids", "SELECT o_orderkey FROM orders")
 def q_scan_ids(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey")

@@ -26,8 +26,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, multi_l
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """``to_csv(index=False)``: header row, no index, quotes doubled inside quoted cells, overwrite."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """``to_csv(index=False)``: header row, no index, quotes doubled inside quoted cells, white space kept, overwrite."""
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -10,7 +10,12 @@ from tabrisk.functions import columns as fc
 from tabrisk.operators import clean, encode, models, profile
 from tabrisk.operators.ranking import exact_quantiles
 from tabrisk.operators.score import FittedPrep, fit_prep
+from tabrisk.plans.registry import QUERIES, load_all
 from tabrisk.sources import files
+from tabrisk.sources.tables import table
+from tests.conftest import SF_SMALL
+
+load_all()
 
 NAN = float("nan")
 
@@ -49,6 +54,21 @@ def test_csv_quotes_newlines_and_bad_cells(spark, tmpdir_fresh):
         bad.collect()
 
 
+def test_csv_keeps_whole_texts(spark, tmpdir_fresh):
+    texts = ["  lead", "trail \t", "\r", "two\r\nlines", "a\\", 'a\\"b"', '"', "é, " * 100_000 + '"tail"\n\\', None]
+    rows = list(enumerate(texts))
+    path = os.path.join(tmpdir_fresh, "csv")
+    files.write_csv(spark.createDataFrame(rows, "id int, s string"), path)
+    assert sorted(tuple(r) for r in files.read_csv(spark, path, "id int, s string").collect()) == rows
+
+
+def test_csv_quoted_text_covers_every_character(spark):
+    got = dict(QUERIES["csv_quoted_text"](spark, SF_SMALL).select("doc_id", "text").collect())
+    want = dict(table(spark, SF_SMALL, "documents").select("doc_id", "text").collect())
+    assert max(len(t) for t in want.values() if t) > 10_000
+    assert got == {k: None if t in files.NA_TOKENS else t for k, t in want.items()}
+
+
 def test_hot_value_is_one_row_of_the_sort(spark, monkeypatch):
     df = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("x"))
     got = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [0.0, 0.05, 0.5, 0.999, 1.0]).collect()}
