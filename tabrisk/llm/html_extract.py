@@ -3,8 +3,10 @@
 Every block's own text is a paragraph. It earns points for its length and commas and passes
 them to its ancestors, less with every step up; a container's sum is discounted by its share
 of link text. The best container is kept, with those siblings that score well beside it.
-Menus, sidebars, notices, adverts, forms, scripts, styles and reader comments are removed
-first, by tag, role, class or id.
+Menus, sidebars, notices, adverts, forms, scripts, styles and reader comments are removed:
+by tag, role or the hidden attribute first; by whole class names and ids, and forms, after
+scoring, where they lower the score. These stay if they hold an article or main element or
+the best container; names that often stand on real text go only if short or full of links.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined in page order by one space. Null, empty and text-free pages give an empty string.
@@ -25,7 +27,7 @@ from tabrisk.llm.common import map_slices, table, texts
 
 # HTML element classes.
 RAW = "script style noscript template svg math iframe object textarea select title head audio video canvas".split()
-DROP = set(RAW) | set("nav footer aside form button input dialog menu".split())
+DROP = set(RAW) | set("nav footer aside button input dialog menu".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br caption""".split())
@@ -33,39 +35,55 @@ h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summar
 ENDS_P = BLOCKS - {"br", "html", "body"}
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "main", "td", "th", "blockquote"}
+_SURE = (r"ads?|adverts?|advertisements?|sponsored|cookies?|consent|gdpr|popup|navbar|navigation|breadcrumbs?|sidebar|masthead|"
+         r"comments|comment-list|disqus|replies|respond|newsletter|pagination|pager|toolbar")
+_OFTEN = (r"sponsor|promo(?:tion)?|banner|notice|modal|overlay|nav|menu|side|widget|footer|foot|comment|related|recommended|share|sharing|"
+          r"social|subscribe|signup|login")
+# A whole class name or id.
 BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|foot|masthead|comments?|comment-list|disqus|replies|"
-    r"respond|related|recommended|share|sharing|social|subscribe|newsletter|signup|login|pagination|pager|toolbar)(?:$|[\s_-])", re.I)
+    rf"(?:(?:site|page|post|entry|main|top|left|right|social|cookie)[_-])?(?:(?P<sure>{_SURE})|{_OFTEN})"
+    r"(?:[_-](?:area|bar|box|banner|buttons?|consent|form|icons?|items?|links?|list|notice|posts?|slot|unit|\d+))?", re.I)
+NEVER_BAD = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
+SHORT = 200
 BAD_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 
 _RAW = "|".join(RAW)
 TOKEN = re.compile(
     rf"""<!--(?:.*?-->|.*)|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+>(?:.*?</(?P=raw)\s*>|.*)|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-z][^>]*>|<[!?/][^>]*>""",
     re.I | re.S)
-ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/>"']|$)""", re.I)
+ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "score", "chars", "links", "order", "dropped", "blocks")
+    __slots__ = ("tag", "up", "score", "chars", "links", "order", "dropped", "suspect", "holds", "mark", "blocks")
 
-    def __init__(self, tag: str, up: Node | None, order: int, dropped: bool):
-        self.tag, self.up, self.order, self.dropped = tag, up, order, dropped
+    def __init__(self, tag: str, up: Node | None, order: int, dropped: bool, suspect: int = 0):
+        self.tag, self.up, self.order, self.dropped, self.suspect = tag, up, order, dropped, suspect
         self.score, self.chars, self.links = 0.0, 0, 0
+        self.holds, self.mark = False, (0, 0, 0)
         self.blocks: list[int] = []
 
 
-def unwanted(tag: str, attrs: str, in_article: bool) -> bool:
+def signs(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
+    """Whether an element is removed at once, and how suspect it is: 0, 1 (goes if short or full of links) or 2."""
     if tag in DROP or tag == "header" and not in_article:
-        return True
+        return True, 0
+    suspect, seen = 2 if tag == "form" else 0, set()
     for name, *values in ATTR.findall(attrs) if attrs else ():
         name, value = name.lower(), next((v for v in values if v), "")
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and BAD_NAME.search(value):
-            return True
-        if name == "role" and value.lower() in BAD_ROLE or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+        if name in seen:
+            continue
+        seen.add(name)
+        if name in ("class", "id") and tag not in NEVER_BAD:
+            for word in value.split():
+                if m := BAD_NAME.fullmatch(word):
+                    suspect = max(suspect, 2 if m["sure"] else 1)
+        elif tag in ("html", "body", "article", "main"):
+            continue
+        elif name == "role" and value.lower() in BAD_ROLE or name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
+            return True, 0
+    return False, suspect
 
 
 def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
@@ -74,10 +92,11 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     nodes, blocks = [root], []
     stack = [root]
     text: list[str] = []
-    linked, in_link, articles = 0, 0, 0
+    linked, in_link, articles, flushes = 0, 0, 0, 0
 
     def flush():
-        nonlocal linked
+        nonlocal linked, flushes
+        flushes += 1
         if text:
             t = SPACE.sub(" ", unescape("".join(text))).strip()
             if t:
@@ -104,6 +123,16 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             if in_link:
                 linked += len(piece.strip())
 
+    def drop_inline(x: Node):
+        """Take back the text of a suspect inline element that began in this block, under the rules for blocks."""
+        nonlocal linked
+        pieces, links, n = x.mark
+        if x.suspect and n == flushes:
+            size = len("".join(text[pieces:]))
+            if x.suspect == 2 or size < SHORT or 2 * (linked - links) > size:
+                del text[pieces:]
+                linked = links
+
     at = 0
     for m in TOKEN.finditer(html):
         words(html[at:m.start()])
@@ -118,6 +147,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
                         close(k)
                     else:  # an inline end tag closes only inline elements above it
                         if all(x.tag not in BLOCKS for x in stack[k:]):
+                            drop_inline(stack[k])
                             in_link -= sum(x.tag == "a" for x in stack[k:])
                             del stack[k:]
                     break
@@ -145,7 +175,9 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
                     break
         if tag in VOID or (m["attrs"] or "").endswith("/") and tag not in BLOCKS:
             continue
-        node = Node(tag, stack[-1], len(nodes), stack[-1].dropped or unwanted(tag, m["attrs"], articles > 0))
+        gone, suspect = signs(tag, m["attrs"], articles > 0)
+        node = Node(tag, stack[-1], len(nodes), stack[-1].dropped or gone, suspect)
+        node.mark = len(text), linked, flushes
         if node.dropped and not stack[-1].dropped:
             flush()
         if tag in BLOCKS and not node.dropped:
@@ -159,14 +191,32 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     return nodes, blocks
 
 
+def hold(n: Node | None) -> None:
+    """Mark an element and all around it as not to be removed for their names."""
+    while n is not None and not n.holds:
+        n.holds = True
+        n = n.up
+
+
 def extract(html: str) -> str:
     """The main text of a page."""
     nodes, blocks = parse(html)
     if not blocks:
         return ""
+    for n in nodes:
+        if n.tag in ("article", "main"):
+            hold(n)
+
+    def is_suspect(n):
+        while n is not None:
+            if n.suspect and not n.holds and n.tag in BLOCKS:
+                return True
+            n = n.up
+        return False
+
     for k, (own, t, linked) in enumerate(blocks):
         own.blocks.append(k)
-        points = 1.0 + t.count(",") + min(len(t) / 100.0, 3.0)
+        points = (1.0 + t.count(",") + min(len(t) / 100.0, 3.0)) * (0.2 if is_suspect(own) else 1.0)
         step, node = 0, own if own.tag not in ("p", "br", "li", "td", "th", "pre") and not own.tag.startswith("h") or own.up is None else own.up
         while node is not None:
             if step < 4:
@@ -176,6 +226,7 @@ def extract(html: str) -> str:
             step, node = step + 1, node.up
     worth = lambda n: n.score * (1 - n.links / max(n.chars, 1))
     best = max(nodes, key=lambda n: (worth(n), -n.order))
+    hold(best)
     # An article element around the best container is its natural bound.
     top = best
     while top is not None and top.tag not in ("article", "main"):
@@ -191,11 +242,13 @@ def extract(html: str) -> str:
                 kept.add(own)
 
     def inside(n):
+        found = False
         while n is not None:
-            if n in kept:
-                return True
+            if n.suspect and not n.holds and n.tag in BLOCKS and (n.suspect == 2 or n.chars < SHORT or 2 * n.links > n.chars):
+                return False
+            found = found or n in kept
             n = n.up
-        return False
+        return found
 
     known: dict[Node, bool] = {}
     out = []

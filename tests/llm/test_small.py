@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,6 +197,30 @@ def test_html():
     assert html_extract.extract("text only") == "text only"
 
 
+PROSE = "Real text, with commas, that goes on for a while, as texts do. " * 6
+
+
+@pytest.mark.parametrize("mark", [
+    'style="overflow:hidden"', 'data-state="hidden"', 'data-id="login"', 'data-role="banner"', 'title="id=comments"', 'class="content has-sidebar"',
+    'class="no-sidebar"', 'id="side-effects"', 'class="sidebar"', 'id="comments"', 'class="login"'])
+def test_wrapper_with_the_article_stays(mark):
+    want = " ".join(("Head " + PROSE).split())
+    for a, b in (("<article>", "</article>"), ("<main>", "</main>"), ("", "")):
+        assert html_extract.extract(f"<body><div {mark}>{a}<h1>Head</h1><p>{PROSE}</p>{b}</div></body>") == want
+
+
+def test_names_inside_the_article():
+    page = f"""<article><p>{PROSE}</p><h2 id="side-effects">Effects</h2><h2 id="related">Kin</h2><section id="related-work"><p>{PROSE}</p></section>
+<p id="share-prices">Prices rose.</p><p>See <a href="?id=comments">these</a> now<a class="share" href="/s">Share</a>.</p><section class="menu"><p>{PROSE}</p></section>
+<div class="share-buttons">Tell friends</div><ul class="related"><li><a href=x>{PROSE}</a></li></ul><div id="comments"><p>{PROSE}</p></div><form>Your mail</form></article>"""
+    want = f"{PROSE} Effects Kin {PROSE} Prices rose. See these now. {PROSE}"
+    assert html_extract.extract(page) == " ".join(want.split())
+
+
+def test_form_around_the_page():
+    assert html_extract.extract(f'<body><form id="aspnetForm"><p>{PROSE}</p></form></body>') == PROSE.strip()
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (2, "v", "<p>a</p>", "y"), (2, "v", "<p>a</p>", "y"), (None, None, "", "z")], "page_id bigint, url string, html string, text string")
     out = sorted(html_extract.extract_pages(df, ["page_id", "url"]).collect(), key=str)
