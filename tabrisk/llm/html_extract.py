@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from tabrisk.llm.common import map_slices, table, texts
 
 # HTML element classes.
-RAW = "script style noscript template svg math iframe object textarea select title head audio video canvas".split()
-DROP = set(RAW) | set("nav footer aside button input dialog menu".split())
+# No tags are read inside RAW; SKIP elements go from the start tag to their own end tag, nested ones with them.
+RAW = "script style noscript textarea title iframe".split()
+SKIP = "template svg object select audio video canvas".split()
+DROP = set("nav footer aside button input dialog menu".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br caption""".split())
@@ -47,10 +49,11 @@ NEVER_BAD = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h
 SHORT = 200
 BAD_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 
-_RAW = "|".join(RAW)
+_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 TOKEN = re.compile(
-    rf"""<!--(?:.*?-->|.*)|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+>(?:.*?</(?P=raw)\s*>|.*)|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-z][^>]*>|<[!?/][^>]*>""",
-    re.I | re.S)
+    rf"""<!--(?:.*?-->|.*)|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>{_ATTRS})>|</?[a-z][^>]*>|<[!?/][^>]*>""", re.I | re.S)
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
+SKIPPED = {t: re.compile(rf"""<!--.*?-->|<(?P<close>/?){t}(?=[\s/>])(?P<attrs>{_ATTRS})>""", re.I | re.S) for t in SKIP}
 ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACE = re.compile(r"\s+")
 
@@ -86,6 +89,20 @@ def signs(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
     return False, suspect
 
 
+def spans(html: str, tag: str) -> dict[int, int]:
+    """End of every element of one kind that has its own end tag, by the end of its start tag."""
+    found, opened = {}, []
+    for m in SKIPPED[tag].finditer(html):
+        if m["close"] is None:
+            continue
+        if m["close"]:
+            if opened:
+                found[opened.pop()] = m.end()
+        elif not m["attrs"].endswith("/"):
+            opened.append(m.end())
+    return found
+
+
 def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     """All kept elements in page order and all kept blocks: (element, text, characters in links)."""
     root = Node("html", None, 0, False)
@@ -134,11 +151,31 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
                 linked = links
 
     at = 0
-    for m in TOKEN.finditer(html):
+    ends: dict[str, dict[int, int]] = {}  # of SKIP elements
+    open_ended: set[str] = set()  # RAW elements without an end tag in the rest of the page
+    while m := TOKEN.search(html, at):
         words(html[at:m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
-        if not tag:
+        if not tag or tag == "head":  # what is shown in a head belongs to the body
+            continue
+        if tag in RAW_END:
+            if not m["close"]:
+                end = None if tag in open_ended else RAW_END[tag].search(html, at)
+                if end:
+                    at = end.end()
+                elif tag in ("script", "style"):
+                    at = len(html)
+                else:  # without an end tag, up to the next tag
+                    open_ended.add(tag)
+                    after = html.find("<", at)
+                    at = after if after >= 0 else len(html)
+            continue
+        if tag in SKIPPED:
+            if not m["close"]:
+                if tag not in ends:
+                    ends[tag] = spans(html, tag)
+                at = ends[tag].get(at, at)
             continue
         if m["close"]:
             for k in range(len(stack) - 1, 0, -1):

@@ -221,6 +221,23 @@ def test_form_around_the_page():
     assert html_extract.extract(f'<body><form id="aspnetForm"><p>{PROSE}</p></form></body>') == PROSE.strip()
 
 
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><meta charset=utf-8><body>{a}", "<head><title>T</title><article>{0}</article>",
+    "<body><article><svg viewBox='0 0 1 1'/>{0}</article><svg><text>Not this</text></svg>", "<article><object data=x>{0}</article><p>",
+    "<article><audio src=x>{0}</article>", "<article><video src=x>{0}</article><video><p>Not this</p></video>", "<article><canvas>{0}</article>",
+    "<article><select>{0}</article>", "<article><iframe src=x>{0}</article>", "<title>T<article>{0}</article>", "<article><textarea>T{0}</article>",
+    "<article><object>No<object>No</object>no, not this</object>{0}</article>", "<article><svg><svg>No</svg><title>No</title>no</svg>{0}</article>",
+    "<article><template><p>No</p><template>No</template>no</template>{0}</article>", "<article><script>var s='<svg><video>'</script>{0}</article>",
+    "<article>{0}<script>var s='{0}'"])
+def test_elements_left_open_or_nested(page):
+    body = f"<p>{PROSE}</p><p>More, of it, here.</p>"
+    assert html_extract.extract(page.replace("{a}", "<article>{0}</article>").replace("{0}", body)) == f"{PROSE}More, of it, here."
+
+
+def test_math_is_text():
+    assert html_extract.extract(f"<article><p>{PROSE}<math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></math>, so.</p></article>") == f"{PROSE}x=2, so."
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (2, "v", "<p>a</p>", "y"), (2, "v", "<p>a</p>", "y"), (None, None, "", "z")], "page_id bigint, url string, html string, text string")
     out = sorted(html_extract.extract_pages(df, ["page_id", "url"]).collect(), key=str)
