@@ -2,7 +2,8 @@
 
 Every block's own text is a paragraph. It earns points for its length and commas and passes
 them to its ancestors, less with every step up; a container's sum is discounted by its share
-of link text. The best container is kept, with those siblings that score well beside it.
+of link text. The article or main element around the best container is kept; where there is
+none, the best container and all other text of the page but containers mostly of links.
 Menus, sidebars, notices, adverts, forms, scripts, styles and reader comments are removed:
 by tag, role or the hidden attribute first; by whole class names and ids, and forms, after
 scoring, where they lower the score. These stay if they hold an article or main element or
@@ -30,6 +31,8 @@ from tabrisk.llm.common import map_slices, table, texts
 RAW = "script style noscript textarea title iframe".split()
 SKIP = "template svg object select audio video canvas".split()
 DROP = set("nav footer aside button input dialog menu".split())
+# Blocks that are parts of a container.
+PARTS = set("p pre li dt dd td th tr tbody thead tfoot caption h1 h2 h3 h4 h5 h6 br hr summary figcaption".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br caption""".split())
@@ -268,31 +271,31 @@ def extract(html: str) -> str:
     top = best
     while top is not None and top.tag not in ("article", "main"):
         top = top.up
-    kept = {top or best}
-    if top is None and best.up is not None:
-        level = max(10.0, 0.2 * worth(best))
-        for n in nodes:
-            if n.up is best.up and n is not best and (worth(n) >= level or n.tag in ("p", "h1", "h2", "h3") and n.chars > 0 and (n.chars > 80 or n.tag != "p") and n.links < 0.25 * n.chars):
-                kept.add(n)
-        for own, t, linked in blocks:  # paragraphs that stand beside it as leaves
-            if own.up is best.up and own.tag in ("p", "blockquote", "pre") and len(t) > 80 and linked < 0.25 * len(t):
-                kept.add(own)
+    whole = top or best
+    around: set[Node] = set()  # without an article element, the rest of the page is judged by its links
+    n = best.up if top is None else None
+    while n is not None:
+        around.add(n)
+        n = n.up
 
     def inside(n):
-        found = False
+        found, group = False, None  # the smallest container of this text that the best one is not in
         while n is not None:
             if n.suspect and not n.holds and n.tag in BLOCKS and (n.suspect == 2 or n.chars < SHORT or 2 * n.links > n.chars):
                 return False
-            found = found or n in kept
+            if n is whole:
+                found = True
+            elif n not in around and (group is None or group.tag in PARTS):
+                group = n if n.tag in BLOCKS else group
             n = n.up
-        return found
+        return found or bool(around) and (group is None or 2 * group.links <= group.chars)
 
     known: dict[Node, bool] = {}
     out = []
-    for own, t, _ in blocks:
+    for own, t, linked in blocks:
         if own not in known:
             known[own] = inside(own)
-        if known[own]:
+        if known[own] and (own not in around or 2 * linked <= len(t)):
             out.append(t)
     return " ".join(out)
 

@@ -234,6 +234,17 @@ def test_elements_left_open_or_nested(page):
     assert html_extract.extract(page.replace("{a}", "<article>{0}</article>").replace("{0}", body)) == f"{PROSE}More, of it, here."
 
 
+@pytest.mark.parametrize("open_, close", [("<section>", "</section>"), ("<div><section>", "</section></div>"), ("<div><div><div>", "</div></div></div>")])
+def test_short_sections_without_an_article(open_, close):
+    short = "A paragraph of about a hundred characters stands here, it is a real part of the text of this page."
+    menu = "<ul><li><a href=a>Home, home</a></li><li><a href=b>About, us</a></li></ul>"
+    page = f"""<body><div>{menu}<h3>Elsewhere</h3>{open_}<h1>Head</h1>{f'<p>{PROSE}</p>' * 4}{close}{open_}<h2>Two</h2><p>{short}</p><p>{short}</p>{close}
+{open_}<p>Three.</p><ul><li>An item</li><li>See <a href=c>this</a></li></ul>{close}<div><h3>Categories</h3>{menu}</div><p>The end.</p></div>
+<div class="sidebar"><p>{short}</p></div><div>{menu}</div></body>"""
+    want = f"Elsewhere Head {PROSE * 4}Two {short} {short} Three. An item See this The end."
+    assert html_extract.extract(page) == want
+
+
 def test_math_is_text():
     assert html_extract.extract(f"<article><p>{PROSE}<math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></math>, so.</p></article>") == f"{PROSE}x=2, so."
 
