@@ -114,6 +114,11 @@ def test_language_model(docs, data, no_docs):
     assert lm_score.score(no_docs, F.lit(False)).count() == 0
 
 
+def test_held_out_score_beats_base_score(spark):
+    rows = lm_score.op3(spark, "/root/testdata/sf0.001").where("held_out").collect()
+    assert len(rows) > 20 and sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
 def test_token_probabilities_sum_to_one():
     m = lm_score.Model(np.arange(1.0, 60.0))
     t = lm_score.Trainer(m, 1)
