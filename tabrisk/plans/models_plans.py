@@ -6,6 +6,8 @@ so the work grows with the data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,32 @@ from tabrisk.sources.tables import CLASSES
 
 K = len(CLASSES)
 
+# The reference's settings. MLlib's boosting has no leaf limit (63 leaves: depth 6) and its trees have no least
+# size of a node to split, so the searches try these sizes as least sizes of a leaf.
+LGBM = dict(max_iter=450, step=0.03, max_depth=7, subsample=0.85, feature_subset="0.85")
+XGB = dict(max_iter=400, step=0.03, max_depth=6, subsample=0.85, feature_subset="0.85")
+HIST = dict(max_iter=350, step=0.03, max_depth=6)
+CATBOOST = dict(max_iter=300, step=0.05, max_depth=7)
+NO_BOOTSTRAP = dict(num_trees=150, max_depth=16, min_instances=5, bootstrap=False)
+FOREST = dict(num_trees=200, max_depth=15, min_instances=5)
+BOOSTED = dict(max_iter=200, step=0.1, max_depth=5, weight=None)
+STACK = {"lightgbm": LGBM, "xgboost": XGB, "histgb": HIST, "forest": NO_BOOTSTRAP, "catboost": CATBOOST}
+COMPARED = {"logreg": dict(max_iter=1000), "tree": dict(max_depth=10, min_instances=10), "forest": FOREST, "boosting": BOOSTED}
+META_ITER = 1000
+FOREST_GRID = dict(numTrees=[100, 200], maxDepth=[10, 15, models.MAX_TREE_DEPTH], minInstancesPerNode=[1, 2, 5, 10])
+BOOSTED_GRID = [dict(max_iter=n, step=s, max_depth=d, weight=None) for n in (100, 150) for s in (0.05, 0.1) for d in (3, 5)]
+DRAWN_GRID = dict(numTrees=[100, 150, 200], maxDepth=[10, 12, 15, 20], minInstancesPerNode=[1, 2, 4, 5, 10, 15])
+DRAWS = 15
+
+
+def _fitter(settings: dict):
+    """Fit function of one of the settings above."""
+    if "step" in settings:
+        return lambda df: models.fit_boosted_members(df, K, **settings)
+    if "num_trees" in settings:
+        return models.random_forest(**settings).fit
+    return (models.decision_tree if "max_depth" in settings else models.logistic_regression)(**settings).fit
+
 
 def model_table(spark, sf_dir, with_folds: bool = False) -> tuple[DataFrame, tuple]:
     """Features (scaled numerics + codes), label code, balanced weight, fold and split.
@@ -84,15 +112,7 @@ def q_train_forest_nobootstrap(spark, sf_dir):
 @register("train_gbt")
 def q_train_gbt(spark, sf_dir):
     train, valid, _ = _train_valid(spark, sf_dir)
-    bundle = models.fit_boosted_members(train, K, max_iter=100, step=0.1, max_depth=5)
-    return _proba_out(bundle, valid)
-
-
-@register("ovr_probabilities")
-def q_ovr_probabilities(spark, sf_dir):
-    train, valid, _ = _train_valid(spark, sf_dir)
-    bundle = models.fit_boosted_members(train, K, max_iter=10, step=0.1, max_depth=4, subsample=0.85,
-                                        feature_subset="0.85")
+    bundle = _fitter(LGBM)(train)
     out = _proba_out(bundle, valid)
     return out.withColumn("p_sum", F.col("p0") + F.col("p1") + F.col("p2"))
 
@@ -100,53 +120,63 @@ def q_ovr_probabilities(spark, sf_dir):
 @register("top_features")
 def q_top_features(spark, sf_dir):
     train, _, names = _train_valid(spark, sf_dir)
-    rf = models.random_forest(num_trees=50, max_depth=10).fit(train)
+    rf = _fitter(FOREST)(train)
     return models.feature_importances(rf, names, spark, top=5)
 
 
 @register("cross_validate")
 def q_cross_validate(spark, sf_dir):
     train, _, _ = _train_valid(spark, sf_dir, with_folds=True)
-    lr = models.logistic_regression(max_iter=100)
-    oof, per_fold = models.cross_validate(train, lr.fit, 5, [ID, "label"], name="logreg")
-    summ = per_fold.agg(F.lit(-1).alias("fold"), F.avg("f1_w").alias("f1_w"),
-                        F.stddev_pop("f1_w").alias("f1_std"))
-    return per_fold.withColumn("f1_std", F.lit(None).cast("double")).unionByName(summ)
+    per_model = []
+    for name, settings in COMPARED.items():
+        _, per_fold = models.cross_validate(train, _fitter(settings), 5, [ID, "label"], name=name)
+        summ = per_fold.agg(F.lit(-1).alias("fold"), F.avg("f1_w").alias("f1_w"),
+                            F.stddev_pop("f1_w").alias("f1_std"))
+        both = per_fold.withColumn("f1_std", F.lit(None).cast("double")).unionByName(summ)
+        per_model.append(both.withColumn("model", F.lit(name)))
+    return reduce(DataFrame.unionByName, per_model)
+
+
+_TUNED = "model string, n_trees int, max_depth int, min_instances int, step double, mean_f1 double, is_best int, best_valid_f1 double"
+
+
+def _tuned_rows(name: str, points: list[tuple], f1: list[float], best, valid: DataFrame) -> list[tuple]:
+    """One row per point: settings, mean F1 of the folds, and the held-out F1 of the best point's model, ``best(k)``."""
+    k = max(range(len(f1)), key=lambda i: (f1[i], -i))
+    held = float(models.weighted_f1(models.proba_frame(best(k), valid, ["label"])))
+    return [(name, *p, float(f), int(i == k), held) for i, (p, f) in enumerate(zip(points, f1))]
+
+
+def _forest_points(rf, grid: list) -> list[tuple]:
+    return [(*(int(pm[rf.getParam(x)]) for x in ("numTrees", "maxDepth", "minInstancesPerNode")), None) for pm in grid]
 
 
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
     train, valid, _ = _train_valid(spark, sf_dir, with_folds=True)
-    dt = models.decision_tree(max_depth=5, min_instances=1)
-    grid = models.param_grid(dt, maxDepth=[4, 8], minInstancesPerNode=[1, 20])
-    cvm = models.grid_search(train, dt, grid)
-    rows = [(int(pm[dt.getParam("maxDepth")]), int(pm[dt.getParam("minInstancesPerNode")]), float(m))
-            for pm, m in zip(grid, cvm.avgMetrics)]
-    res = spark.createDataFrame(rows, "max_depth int, min_instances int, mean_f1 double")
-    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
-    held = models.weighted_f1(models.proba_frame(cvm.bestModel, valid, ["label"]))
-    return res.withColumn("is_best", ((F.col("max_depth") == rows[best][0]) &
-                                      (F.col("min_instances") == rows[best][1])).cast("int")) \
-        .withColumn("best_valid_f1", F.lit(held))
+    rf = models.random_forest()
+    grid = models.param_grid(rf, **FOREST_GRID)
+    cvm = models.grid_search(train, rf, grid)
+    rows = _tuned_rows("forest", _forest_points(rf, grid), cvm.avgMetrics, lambda k: cvm.bestModel, valid)
+    f1 = [models.cross_validate(train, _fitter(s), 5, [ID, "label"], name="boosting")[1].agg(F.avg("f1_w")).first()[0] for s in BOOSTED_GRID]
+    rows += _tuned_rows("boosting", [(s["max_iter"], s["max_depth"], None, s["step"]) for s in BOOSTED_GRID], f1,
+                        lambda k: _fitter(BOOSTED_GRID[k])(train), valid)
+    return spark.createDataFrame(rows, _TUNED)
 
 
 @register("random_search")
 def q_random_search(spark, sf_dir):
-    train, _, _ = _train_valid(spark, sf_dir, with_folds=True)
-    dt = models.decision_tree()
-    grid = models.param_grid(dt, maxDepth=[3, 5, 7, 9], minInstancesPerNode=[1, 5, 20])
-    cvm, picked = models.random_search(train, dt, grid, n_iter=4, seed=42)
-    rows = [(int(pm[dt.getParam("maxDepth")]), int(pm[dt.getParam("minInstancesPerNode")]), float(m))
-            for pm, m in zip(picked, cvm.avgMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, min_instances int, mean_f1 double")
+    train, valid, _ = _train_valid(spark, sf_dir, with_folds=True)
+    rf = models.random_forest()
+    grid = models.param_grid(rf, **DRAWN_GRID)
+    cvm, picked = models.random_search(train, rf, grid, n_iter=DRAWS, seed=42)
+    return spark.createDataFrame(_tuned_rows("forest", _forest_points(rf, picked), cvm.avgMetrics, lambda k: cvm.bestModel, valid), _TUNED)
 
 
 def _oof_stack(spark, sf_dir):
     train, _, _ = _train_valid(spark, sf_dir, with_folds=True)
-    lr = models.oof_predictions(train, models.logistic_regression(max_iter=100).fit, 5, [ID, "label"],
-                                name="logreg")
-    dt = models.oof_predictions(train, models.decision_tree(max_depth=6).fit, 5, [ID, "label"], name="tree")
-    both = lr.unionByName(dt)
+    members = [models.oof_predictions(train, _fitter(settings), 5, [ID, "label"], name=name) for name, settings in STACK.items()]
+    both = reduce(DataFrame.unionByName, members)
     return both.select(ID, "label", "fold", "model", F.posexplode("proba").alias("class", "prob"))
 
 
@@ -159,12 +189,12 @@ def q_oof_stack(spark, sf_dir):
 def q_meta_learner(spark, sf_dir):
     from tabrisk.operators.ensemble import long_to_wide
     long = _oof_stack(spark, sf_dir)
-    wide = long_to_wide(long, ID, ["logreg", "tree"], K)
+    wide = long_to_wide(long, ID, list(STACK), K)
     stack_cols = [c for c in wide.columns if c != ID]
     meta = split.balanced_weights(wide.join(long.select(ID, "label", "fold").distinct(), ID), "label")
     meta = encode.assemble(meta, stack_cols)
     # cross-fitted: the meta model that scores fold f never saw fold f
-    oof = models.oof_predictions(meta, models.logistic_regression(max_iter=100).fit, 5, [ID, "label"],
+    oof = models.oof_predictions(meta, models.logistic_regression(max_iter=META_ITER).fit, 5, [ID, "label"],
                                  name="meta")
     return oof.select(ID, F.col("label").cast("int"), "fold", F.col("pred").cast("int"),
                       *[F.col("proba")[c].alias(f"p{c}") for c in range(K)])

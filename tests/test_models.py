@@ -62,3 +62,24 @@ def test_entry_smoke(spark):
     rows = out.collect()
     assert len(rows) == 3
     assert math.isclose(sum(r["pct"] for r in rows), 100.0, abs_tol=0.02)
+
+
+def test_model_queries_have_the_reference_settings():
+    from tabrisk.plans import models_plans as p
+    from tabrisk.plans import scoring
+    assert [(m.get("max_iter"), m["max_depth"]) for m in p.STACK.values()] == [(450, 7), (400, 6), (350, 6), (None, 16), (300, 7)]
+    assert p.STACK["forest"]["num_trees"] == 150 and set(p.COMPARED) == {"logreg", "tree", "forest", "boosting"}
+    assert math.prod(map(len, p.FOREST_GRID.values())) == 24 and len(p.BOOSTED_GRID) == 8 and p.DRAWS == 15
+    assert (p.FOREST["num_trees"], p.FOREST["max_depth"]) == (200, 15) == (scoring.SCORER["num_trees"], scoring.SCORER["max_depth"])
+
+
+def test_searches_and_comparison_run_every_member(spark, monkeypatch):
+    from tabrisk.plans import models_plans as p
+    got = p._train_valid(spark, SF_SMALL, True)
+    monkeypatch.setattr(p, "_train_valid", lambda *a, **k: got)
+    monkeypatch.setattr(p, "COMPARED", {"logreg": dict(max_iter=2), "tree": dict(max_depth=2, min_instances=1)})
+    monkeypatch.setattr(p, "DRAWN_GRID", dict(numTrees=[1, 2], maxDepth=[2], minInstancesPerNode=[1]))
+    monkeypatch.setattr(p, "DRAWS", 2)
+    rows = p.q_random_search(spark, SF_SMALL).collect()
+    assert len(rows) == 2 and sum(r["is_best"] for r in rows) == 1 and all(0 < r["best_valid_f1"] <= 1 for r in rows)
+    assert {(r["model"], r["fold"]) for r in p.q_cross_validate(spark, SF_SMALL).collect()} == {(m, f) for m in p.COMPARED for f in range(-1, 5)}
