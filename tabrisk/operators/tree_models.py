@@ -100,7 +100,7 @@ def _spread(rows: DataFrame, keys: Sequence[int]) -> DataFrame:
 
 
 def fit_predict(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray, stops: Sequence[int] = (), depths: Sequence[int] = (0,)) -> DataFrame:
-    """(fit, name, held, part, stop, depth, id, proba) of the rows that each fit predicts.
+    """(fit, name, held, part, stop, depth, id, y, fold, proba) of the rows that each fit predicts.
 
     ``part`` is "oof" for the rows of the fold left out and "new" for rows outside training. ``stops``: also the
     predictions after so many rounds or trees; ``depths``: those of a forest cut off at these
@@ -117,7 +117,7 @@ def fit_predict(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray,
             jobs += [(i, a, b) for a, b in zip([0, *ends], ends)]
     n_features = len(edges)
 
-    def one(key, p: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         i, first, last = jobs[key[0]]
         f = fits[i]
         p = p.sort_values("id", kind="stable")  # sums of doubles in one order
@@ -163,8 +163,8 @@ def _labelled(rows: DataFrame, got: DataFrame, fits: Sequence[Fit]) -> DataFrame
     names = F.array(*[F.lit(f.name) for f in fits])
     held = F.array(*[F.lit(f.held) for f in fits])
     out = got.withColumn("name", F.element_at(names, F.col("fit") + 1)).withColumn("held", F.element_at(held, F.col("fit") + 1))
-    return out.join(rows.select("id", "learn"), "id").select(
-        "fit", "name", "held", F.when(F.col("learn"), "oof").otherwise("new").alias("part"), "stop", "depth", "id", "proba")
+    return out.join(rows.select("id", "learn", "y", "fold"), "id").select(
+        "fit", "name", "held", F.when(F.col("learn"), "oof").otherwise("new").alias("part"), "stop", "depth", "id", "y", "fold", "proba")
 
 
 # --- one job per level ---------------------------------------------------------------------------------
@@ -243,7 +243,7 @@ def _level(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, ed
                 hist = source.histograms(where[at[take]], take, trees.candidates(growth, columns, tree.path[front]))
                 held[i] = held[i] + hist if i in held else hist
         for i, h in held.items():
-            used = np.flatnonzero(h[..., -1].any(axis=(1, 2)))
+            used = np.flatnonzero(h[:, :, -1].any(axis=(1, 2)))
             for lo in range(0, len(used), 64):
                 part = used[lo:lo + 64]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), i), pa.int32()), pa.array(now[i][6][part], pa.int32()), pa.array([h[s].tobytes() for s in part], pa.binary())], schema=_HIST)
@@ -254,13 +254,13 @@ def _level(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, ed
             out += np.frombuffer(h)
         return out
 
-    def choose(key, p: pd.DataFrame) -> pd.DataFrame:
+    def choose(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         *now, _ = pickle.loads(state.value)
         _, _, growth, gini, columns, tree, front = now[key[0]]
         nodes = np.sort(p["node"].unique())
         cand = trees.candidates(growth, columns, tree.path[nodes])
         by_node = dict(tuple(p.groupby("node")))
-        hist = np.stack([total(by_node[n]) for n in nodes]).reshape(len(nodes), cand.shape[1], BINS, -1)
+        hist = np.stack([total(by_node[n]) for n in nodes]).reshape(len(nodes), cand.shape[1], -1, BINS)
         got = trees.best_splits(hist, cand, tree.path[nodes], growth, gini, edges)
         return pd.DataFrame({"tree": key[0], "node": nodes, "gain": got["gain"], "feature": got["feature"], "cut": got["cut"], "lt": list(got["left"]), "rt": list(got["right"])})
 
@@ -457,7 +457,7 @@ def mean_importances(rows: DataFrame, fit: Fit, k: int, edges: np.ndarray) -> li
         return trees.importances(found, n_features).tolist()
     starts = list(range(0, s.trees, TREES_PER_GROUP))
 
-    def one(key, p: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         p = p[p["learn"] & (p["y"] >= 0)].sort_values("id", kind="stable")
         bins, y, w, ids = unpack(p, n_features), p["y"].to_numpy(), p["w"].fillna(0.0).to_numpy() if s.balanced else np.ones(len(p)), p["id"].to_numpy()
         lo = starts[key[0]]

@@ -130,14 +130,15 @@ class Tree:
 # --- choosing splits -----------------------------------------------------------------------------------
 
 def worth(s: np.ndarray, growth: Growth, gini: bool) -> np.ndarray:
-    """What a node's totals are worth: channels are class weights and rows, or gradient, hessian and rows."""
-    with np.errstate(divide="ignore", invalid="ignore"):
-        if gini:
-            w = s[..., :-1]
-            v = (w * w).sum(axis=-1) / w.sum(axis=-1)
-        else:
-            v = s[..., 0] ** 2 / (s[..., 1] + growth.l2)
-    return np.where(np.isfinite(v), v, 0.0)
+    """What totals (..., channel, bin) are worth: channels are class weights and rows, or gradient, hessian and rows."""
+    if gini:
+        top, low = s[..., 0, :] ** 2, s[..., 0, :].copy()
+        for c in range(1, s.shape[-2] - 1):
+            top += s[..., c, :] ** 2
+            low += s[..., c, :]
+    else:
+        top, low = s[..., 0, :] ** 2, s[..., 1, :] + growth.l2
+    return top / np.maximum(low, 1e-300)  # without hessian or weight the numerator is 0
 
 
 def tree_columns(growth: Growth, n_features: int, seed: int) -> np.ndarray:
@@ -154,18 +155,21 @@ def candidates(growth: Growth, columns: np.ndarray, paths: np.ndarray) -> np.nda
 
 
 def best_splits(hist: np.ndarray, cand: np.ndarray, paths: np.ndarray, growth: Growth, gini: bool, edges: np.ndarray) -> dict[str, np.ndarray]:
-    """The best split of every node from histograms (node, candidate, bin, channel); gain 0 where there is none."""
+    """The best split of every node from histograms (node, candidate, channel, bin); gain 0 where there is none."""
     n, m = hist.shape[:2]
-    left = np.cumsum(hist, axis=2)
-    total = left[:, :1, -1:, :]
-    left = left[:, :, :-1, :]
+    left = np.cumsum(hist, axis=-1)
+    total = left[:, :, :, -1:]
+    left = left[..., :-1]
     right = total - left
-    gain = worth(left, growth, gini) + worth(right, growth, gini) - worth(total, growth, gini)
-    ok = (left[..., -1] >= growth.least) & (right[..., -1] >= growth.least) & (left[..., -1] > 0) & (right[..., -1] > 0)
+    gain = worth(left, growth, gini)
+    gain += worth(right, growth, gini)
+    gain -= worth(total, growth, gini)
+    least = max(growth.least, 1)
+    ok = (left[:, :, -1] >= least) & (right[:, :, -1] >= least)
     if not gini and growth.hessian:
-        ok &= (left[..., 1] >= growth.hessian) & (right[..., 1] >= growth.hessian)
+        ok &= (left[:, :, 1] >= growth.hessian) & (right[:, :, 1] >= growth.hessian)
     if growth.random_cuts:
-        used = hist[..., -1] > 0
+        used = hist[:, :, -1] > 0
         lo, hi = used.argmax(axis=2), BINS - 1 - used[:, :, ::-1].argmax(axis=2)
         draw = np.empty((n, m))
         at = np.zeros((n, m), np.int64)
@@ -184,7 +188,7 @@ def best_splits(hist: np.ndarray, cand: np.ndarray, paths: np.ndarray, growth: G
     best = flat.argmax(axis=1)
     j, cut = np.divmod(best, BINS - 1)
     rows = np.arange(n)
-    return {"gain": flat[rows, best], "feature": cand[rows, j], "cut": cut, "left": left[rows, j, cut], "right": right[rows, j, cut]}
+    return {"gain": flat[rows, best], "feature": cand[rows, j], "cut": cut, "left": left[rows, j, :, cut], "right": right[rows, j, :, cut]}
 
 
 def grow(growth: Growth, seed: int, total: np.ndarray, gini: bool) -> Generator[tuple[Tree, np.ndarray], dict[str, np.ndarray], Tree]:
@@ -229,7 +233,7 @@ class LocalRows:
 
     def histograms(self, slot: np.ndarray, rows: np.ndarray, cand: np.ndarray) -> np.ndarray:
         n, m = cand.shape
-        out = np.empty((n, m, BINS, len(self.channels)))
+        out = np.empty((n, m, len(self.channels), BINS))
         same = bool((cand == cand[:1]).all())
         base = slot.astype(np.int64) * BINS
         values = [c[rows] for c in self.channels]
@@ -237,7 +241,7 @@ class LocalRows:
             b = self.columns[cand[0, j]][rows] if same else self.bins[rows, cand[slot, j]]
             at = base + b
             for k, v in enumerate(values):
-                out[:, j, :, k] = np.bincount(at, weights=v, minlength=n * BINS).reshape(n, BINS)
+                out[:, j, k, :] = np.bincount(at, weights=v, minlength=n * BINS).reshape(n, BINS)
         return out
 
     def splits(self, tree: Tree, front: np.ndarray, columns: np.ndarray) -> dict[str, np.ndarray]:
@@ -262,7 +266,7 @@ class LocalRows:
                 parts.append(best_splits(self.histograms(slot[a:b] - lo, rows[a:b], c), c, tree.path[front[lo:lo + step]], self.growth, self.gini, self.edges))
             return {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
         # Of two open children, count the one with fewer rows and subtract it from the parent.
-        hist = np.empty((len(front), cand.shape[1], BINS, len(self.channels)))
+        hist = np.empty((len(front), cand.shape[1], len(self.channels), BINS))
         counted = np.ones(len(front), bool)
         if self.kept is not None and len(front):
             parents, old = self.kept

@@ -67,19 +67,82 @@ def test_entry_smoke(spark):
 def test_model_queries_have_the_reference_settings():
     from tabrisk.plans import models_plans as p
     from tabrisk.plans import scoring
-    assert [(m.get("max_iter"), m["max_depth"]) for m in p.STACK.values()] == [(450, 7), (400, 6), (350, 6), (None, 16), (300, 7)]
-    assert p.STACK["forest"]["num_trees"] == 150 and set(p.COMPARED) == {"logreg", "tree", "forest", "boosting"}
-    assert math.prod(map(len, p.FOREST_GRID.values())) == 24 and len(p.BOOSTED_GRID) == 8 and p.DRAWS == 15
-    assert (p.FOREST["num_trees"], p.FOREST["max_depth"]) == (200, 15) == (scoring.SCORER["num_trees"], scoring.SCORER["max_depth"])
+    assert {n: (getattr(m, "rounds", None), getattr(m, "trees", None), m.growth.depth, m.growth.leaves) for n, m in p.STACK.items()} == {
+        "lightgbm": (450, None, 7, 63), "xgboost": (400, None, 6, 0), "histgb": (350, None, 0, 63), "extratrees": (None, 150, 16, 0), "catboost": (300, None, 7, 0)}
+    assert set(p.COMPARED) == {"logreg", "tree", "forest", "boosting"}  # and k-NN and the tuned model
+    assert len(p._forest_points(p.FOREST_GRID)) == 24 and math.prod(map(len, p.BOOSTED_GRID.values())) == 8 and p.DRAWS == 15
+    assert (p.FOREST.trees, p.FOREST.growth.depth) == (200, 15) == (scoring.SCORER["num_trees"], scoring.SCORER["max_depth"])
 
 
-def test_searches_and_comparison_run_every_member(spark, monkeypatch):
+def _small_settings(monkeypatch):
+    from tabrisk.operators.trees import Boosting, Forest, Growth
     from tabrisk.plans import models_plans as p
-    got = p._train_valid(spark, SF_SMALL, True)
-    monkeypatch.setattr(p, "_train_valid", lambda *a, **k: got)
-    monkeypatch.setattr(p, "COMPARED", {"logreg": dict(max_iter=2), "tree": dict(max_depth=2, min_instances=1)})
-    monkeypatch.setattr(p, "DRAWN_GRID", dict(numTrees=[1, 2], maxDepth=[2], minInstancesPerNode=[1]))
+    monkeypatch.setattr(p, "COMPARED", {"logreg": dict(max_iter=2), "tree": dict(max_depth=2, min_instances=1), "forest": Forest(2, Growth(depth=3))})
+    monkeypatch.setattr(p, "STACK", {"a": Boosting(3, 0.3, Growth(depth=2)), "b": Forest(2, Growth(depth=3, random_cuts=True), bootstrap=False)})
+    monkeypatch.setattr(p, "FOREST_GRID", dict(trees=[1, 2], depth=[2, 0], split=[5], least=[1]))
+    monkeypatch.setattr(p, "BOOSTED_GRID", dict(rounds=[1, 2], step=[0.3], depth=[2]))
+    monkeypatch.setattr(p, "DRAWN_GRID", dict(trees=[1, 2], depth=[2], split=[5], least=[1]))
     monkeypatch.setattr(p, "DRAWS", 2)
+    return p
+
+
+def test_searches_and_comparison_run_every_member(spark, monkeypatch):
+    p = _small_settings(monkeypatch)
     rows = p.q_random_search(spark, SF_SMALL).collect()
     assert len(rows) == 2 and sum(r["is_best"] for r in rows) == 1 and all(0 < r["best_valid_f1"] <= 1 for r in rows)
-    assert {(r["model"], r["fold"]) for r in p.q_cross_validate(spark, SF_SMALL).collect()} == {(m, f) for m in p.COMPARED for f in range(-1, 5)}
+    rows = p.q_grid_search(spark, SF_SMALL).collect()
+    assert len(rows) == 6 and sum(r["is_best"] for r in rows) == 2
+    assert {(r["model"], r["fold"]) for r in p.q_cross_validate(spark, SF_SMALL).collect()} == {(m, f) for m in [*p.COMPARED, "tuned", "knn"] for f in range(-1, 5)}
+
+
+def test_searched_points_equal_separate_fits(spark, monkeypatch):
+    from tabrisk.operators import cube, tree_models
+    p = _small_settings(monkeypatch)
+    rows, edges, _ = p.hist_rows(spark, SF_SMALL)
+    forest, boosted = p.search_forest(rows, edges, p._forest_points(p.FOREST_GRID)), p.search_boosting(rows, edges)
+    alone = {"f": p._forest_point(1, 2, 5, 1), "b": p._boosted_point(1, 0.3, 2)}
+    oof = tree_models.fit_predict(rows, [tree_models.Fit(n, s, f) for n, s in alone.items() for f in range(p.FOLDS)], p.K, edges).where("part = 'oof'")
+    mean = {r["name"]: r["f1"] for r in p._fold_f1(oof, ["name", "fold"]).groupBy("name").agg(F.avg("f1_w").alias("f1")).collect()}
+    assert math.isclose(mean["f"], forest[1, 2, 5, 1]) and math.isclose(mean["b"], boosted[1, 0.3, 2])
+    assert cube.published(spark, cube.cube_root(spark))
+
+
+def test_stack_reaches_the_unlabelled_rows(spark, monkeypatch):
+    p = _small_settings(monkeypatch)
+    got = p.stack_cube(spark, SF_SMALL)
+    oof, new = p.stack_wide(got, "oof"), p.stack_wide(got, "new")
+    assert len(oof.columns) == 3 + len(p.STACK) * p.K == len(new.columns)
+    assert oof.count() + new.count() == table(spark, SF_SMALL, "orders").count()
+    assert new.where("abs(c0_a + c1_a + c2_a - 1) > 1e-9").count() == 0
+    rows = p.q_meta_learner(spark, SF_SMALL).collect()
+    assert len(rows) == oof.count() and all(math.isclose(r["p0"] + r["p1"] + r["p2"], 1, rel_tol=1e-9) for r in rows)
+
+
+def test_cube_resumes_after_a_stop(spark, monkeypatch, tmp_path):
+    from tabrisk.operators import cube, tree_models
+    from tabrisk.operators.trees import Boosting, Growth
+    p = _small_settings(monkeypatch)
+    monkeypatch.setattr(cube, "cube_root", lambda spark: f"{tmp_path}/cubes")
+    monkeypatch.setattr(cube, "PARALLEL", 1)
+    rows, edges, _ = p.hist_rows(spark, SF_SMALL)
+    fits = [tree_models.Fit("m", Boosting(2, 0.3, Growth(depth=2)), f) for f in range(5)]
+    done = []
+
+    def fit(rows, some, *a):
+        if len(done) == 2:
+            raise RuntimeError("stopped")
+        done.append(some[0].held)
+        return tree_models.fit_predict(rows, some, *a)
+
+    monkeypatch.setattr(cube, "fit_predict", fit)
+    try:
+        cube.resumable(rows, fits, p.K, edges)
+        raise AssertionError
+    except RuntimeError:
+        assert done == [0, 1]
+    again = []
+    monkeypatch.setattr(cube, "fit_predict", lambda rows, some, *a: (again.append(some[0].held), tree_models.fit_predict(rows, some, *a))[1])
+    got = cube.resumable(rows, fits, p.K, edges)
+    assert again == [2, 3, 4] and got.where("part = 'oof'").count() == rows.where("learn").count()
+    cube.resumable(rows, fits, p.K, edges)
+    assert again == [2, 3, 4]
