@@ -10,8 +10,10 @@ sizes and both prefix lengths, by the same rule with the overlap that the pair i
 
 Only components are asked for, so pairs inside a component that is already known are never
 made. Equal sets are one node. A first round verifies every node against one leader per
-minimum hash, which joins large groups of copies in linear work. The prefix join then makes
-pairs across components only. A shingle that very many nodes share is split: its rows are dealt
+minimum hash, the node whose shingles are the most shared, which joins large groups of copies in
+linear work. The prefix join then makes pairs across components only, and of these only pairs that could
+link by size and by parity bits: 256 bits a node, each the parity of the shingles that fall there, so that
+two nodes' bits never differ in more places than their sets differ in shingles. A shingle that very many nodes share is split: its rows are dealt
 to chunks, and only rows outside its most common component visit all chunks.
 
 Defined results: a text with 1 to 4 words has one shingle, the whole; null texts and texts
@@ -40,6 +42,8 @@ SKETCH_PARTS = 1024
 SEEDS = 4  # minimum hashes per node for the first round
 RUN = 512  # nodes that share a shingle and are paired in one go
 PIECE = 1 << 18  # bytes hashed at once
+PARITY = 256  # bits that hold the parity of a set's shingles
+_BITS = [f"b{i}" for i in range(PARITY // 64)]
 MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256])
 
 _SPACE = np.zeros(256, bool)
@@ -156,6 +160,12 @@ def prefix(s: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[i
     return best, s[:n - t + best]
 
 
+def parity(s: np.ndarray) -> list[int]:
+    """Bit by bit whether an odd number of shingles falls there. Two sets' bits differ in no more places than the sets differ in shingles."""
+    odd = np.bincount((s.view(np.uint64) >> np.uint64(32)).astype(np.int64) & (PARITY - 1), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def base_rows(df: DataFrame) -> DataFrame:
     """(doc_id, node, n) per row; node is null for an empty set."""
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
@@ -175,8 +185,11 @@ def _cut(df: DataFrame, fn, schema: str) -> DataFrame:
 
 
 def nodes(df: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(node, n, match, mins, prefix) of every distinct set."""
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("match", pa.int32()), ("mins", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
+    """(node, n, match, central, parity bits, mins, prefix) of every distinct set.
+
+    ``central``: how many sets share one of its shingles, by the sketch, on average."""
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("match", pa.int32()), ("central", pa.float64()), *[(c, pa.int64()) for c in _BITS],
+                        ("mins", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
     shared = df.sparkSession.sparkContext.broadcast(counts)  # 4 MB whatever the corpus
 
     def run(batches):
@@ -188,12 +201,12 @@ def nodes(df: DataFrame, counts: np.ndarray) -> DataFrame:
                     seen.add(k)
                     mins = [int(mix64(s.view(np.uint64) ^ _ODD[20 + j]).min().view(np.int64)) for j in range(SEEDS)]
                     match, p = prefix(s, shared.value)
-                    rows.append((k, len(s), match, mins, p))
+                    rows.append((k, len(s), match, float(shared.value[s & (CELLS - 1)].mean()), *parity(s), mins, p))
             if rows:
                 yield record(schema, list(map(list, zip(*rows))))
 
-    got = df.select("text").mapInArrow(run, "node bigint, n int, match int, mins array<bigint>, prefix array<bigint>")
-    return got.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "match", "mins", "prefix")])
+    got = df.select("text").mapInArrow(run, f"node bigint, n int, match int, central double, {', '.join(f'{c} bigint' for c in _BITS)}, mins array<bigint>, prefix array<bigint>")
+    return got.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "match", "central", *_BITS, "mins", "prefix")])
 
 
 def sets_of(df: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -241,20 +254,25 @@ def verified(df: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def leader_pairs(known: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Every node with the smallest node of equal minimum hash, if it is that for two seeds and their sizes allow a link."""
-    mins = known.select("node", "n", F.posexplode("mins").alias("seed", "h"))
-    lead = mins.groupBy("seed", "h").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("c")).where("c > 1")
+    """Every node with the most central node of equal minimum hash, where sizes and parity bits allow a link."""
+    mins = known.select("node", "n", "central", *_BITS, F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(SEEDS - 1)).alias("seed"), F.col("mins").alias("h"))).alias("m"))
+    mins = mins.select("node", "n", "central", *_BITS, "m.seed", "m.h")
+    lead = mins.groupBy("seed", "h").agg(F.max(F.struct("central", "node", "n", *_BITS)).alias("lead"), F.count("*").alias("c")).where("c > 1").drop("c")
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"lead.{c}"))) for c in _BITS), F.lit(0))
+    total = F.col("n") + F.col("lead.n")
     return (mins.join(lead, ["seed", "h"]).where("node <> lead.node")
             .where(f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")
-            .groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b")).agg(F.count("*").alias("c")).where("c > 1").select("a", "b"))
+            .where(differ <= total - 2 * F.ceil(total * percent / (100.0 + percent)))
+            .select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct())
 
 
-_ROWS = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("comp", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("match", pa.int32())])
-_ROWS_SQL = "token bigint, node bigint, meta bigint, comp bigint, a bigint, b bigint, match int"
+_CARRIED = ("token", "node", "meta", "comp", *_BITS)
+_ROWS = pa.schema([*[(c, pa.int64()) for c in _CARRIED], ("a", pa.int64()), ("b", pa.int64()), ("match", pa.int32())])
+_ROWS_SQL = ", ".join(f"{c} bigint" for c in _CARRIED) + ", a bigint, b bigint, match int"
 
 
-def _pairs(i: np.ndarray, j: np.ndarray, node: np.ndarray, meta: np.ndarray, comp: np.ndarray, percent: int):
-    """(a, b, match) of index pairs that cross components and fit in size.
+def _pairs(i: np.ndarray, j: np.ndarray, node: np.ndarray, meta: np.ndarray, comp: np.ndarray, bits: list[np.ndarray], percent: int):
+    """(a, b, match) of index pairs that cross components and fit in size and parity bits.
 
     Both prefixes are long enough for more than the chosen numbers: sets of sizes n and m need an
     overlap of at least o = ceil(percent (n + m) / (100 + percent)), so prefixes of n - o + k and
@@ -264,26 +282,30 @@ def _pairs(i: np.ndarray, j: np.ndarray, node: np.ndarray, meta: np.ndarray, com
     x, y = n[i], n[j]
     ok = (comp[i] != comp[j]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
     i, j = i[ok], j[ok]
-    k = -(-(n[i] + n[j]) * percent // (100 + percent)) - np.maximum(left_out[i], left_out[j])
+    overlap = -(-(n[i] + n[j]) * percent // (100 + percent))
+    differ = sum(np.bitwise_count(c[i] ^ c[j]).astype(np.int64) for c in bits)
+    ok = differ <= n[i] + n[j] - 2 * overlap
+    i, j, overlap = i[ok], j[ok], overlap[ok]
+    k = overlap - np.maximum(left_out[i], left_out[j])
     a, b = node[i], node[j]
     return np.minimum(a, b), np.maximum(a, b), k.astype(np.int32)
 
 
 def _out_pairs(a, b, match) -> pa.RecordBatch:
     none = pa.nulls(len(a), pa.int64())
-    return record(_ROWS, [none, none, none, none, a, b, match])
+    return record(_ROWS, [none] * len(_CARRIED) + [a, b, match])
 
 
 def shared_shingles(known: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of nodes per shared prefix shingle, and the rows of shingles that too many share (a is null)."""
-    rows = known.select(F.explode("prefix").alias("token"), "node", F.expr("shiftleft(cast(n as bigint), 12) | cast(match as bigint)").alias("meta"), "comp")
+    rows = known.select(F.explode("prefix").alias("token"), "node", F.expr("shiftleft(cast(n as bigint), 12) | cast(match as bigint)").alias("meta"), "comp", *_BITS)
     rows = rows.repartition("token").sortWithinPartitions("token")
 
-    def pass_on(token, node, meta, comp):
-        none = pa.nulls(len(token), pa.int64())
-        return record(_ROWS, [token, node, meta, comp, none, none, pa.nulls(len(token), pa.int32())])
+    def pass_on(*cols):
+        none = pa.nulls(len(cols[0]), pa.int64())
+        return record(_ROWS, [*cols, none, none, pa.nulls(len(cols[0]), pa.int32())])
 
-    def settle(token, node, meta, comp):
+    def settle(token, node, meta, comp, *bits):
         """Whole runs of equal shingles; the arrays are sorted by shingle."""
         start = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1])
         size = np.diff(np.concatenate([start, [len(token)]]))
@@ -297,20 +319,20 @@ def shared_shingles(known: DataFrame, percent: int = PERCENT) -> DataFrame:
             at = start[size == s]
             if s > RUN:
                 for x in at.tolist():
-                    yield pass_on(*[v[x:x + s] for v in (token, node, meta, comp)])
+                    yield pass_on(*[v[x:x + s] for v in (token, node, meta, comp, *bits)])
                 continue
             u, v = np.triu_indices(s, 1)
             step = max(1, 1_000_000 // len(u))
             for k in range(0, len(at), step):
                 base = at[k:k + step, None]
-                a, b, match = _pairs((base + u).ravel(), (base + v).ravel(), node, meta, comp, percent)
+                a, b, match = _pairs((base + u).ravel(), (base + v).ravel(), node, meta, comp, list(bits), percent)
                 if len(a):
                     yield _out_pairs(a, b, match)
 
     def run(batches):
         held, common = None, None
         for batch in batches:
-            new = [np.asarray(batch.column(c)) for c in ("token", "node", "meta", "comp")]
+            new = [np.asarray(batch.column(c)) for c in _CARRIED]
             if common is not None:  # the rest of a shingle whose rows are being passed on
                 end = int(np.searchsorted(new[0], common, side="right"))
                 if end:
@@ -339,27 +361,27 @@ def split_shingles(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     by_comp = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
     main = (by_comp.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("total"), F.count("*").alias("comps")).where("comps > 1")
             .select("token", F.col("m.comp").alias("main"), F.ceil(F.col("total") / RUN).cast("int").alias("chunks")))
-    dealt = rows.select("token", "node", "meta", "comp").join(main, "token")
-    own = dealt.select("token", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("probe"), "node", "meta", "comp", "main")
-    visit = (dealt.where("comp <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("probe"), "node", "meta", "comp", "main"))
+    dealt = rows.select(*_CARRIED).join(main, "token")
+    own = dealt.select("token", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("probe"), "node", "meta", "comp", "main", *_BITS)
+    visit = (dealt.where("comp <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("probe"), "node", "meta", "comp", "main", *_BITS))
     blocks = own.union(visit).repartition("token", "chunk").sortWithinPartitions("token", "chunk", "probe")
 
     def settle(cols):
-        _, _, probe, node, meta, comp, main = cols
+        _, _, probe, node, meta, comp, main, *bits = cols
         base, visitors = np.flatnonzero(probe == 0), np.flatnonzero(probe == 1)
         for k in range(0, len(visitors), max(1, 500_000 // max(1, len(base)))):
             v = visitors[k:k + max(1, 500_000 // max(1, len(base)))]
             i, j = np.repeat(v, len(base)), np.tile(base, len(v))
             # Two rows that both visit meet twice: keep one.
             keep = (comp[j] == main[j]) | (node[i] < node[j])
-            a, b, match = _pairs(i[keep], j[keep], node, meta, comp, percent)
+            a, b, match = _pairs(i[keep], j[keep], node, meta, comp, bits, percent)
             if len(a):
                 yield _out_pairs(a, b, match)
 
     def run(batches):
         held = None
         for batch in batches:
-            new = [np.asarray(batch.column(c)) for c in ("token", "chunk", "probe", "node", "meta", "comp", "main")]
+            new = [np.asarray(batch.column(c)) for c in ("token", "chunk", "probe", "node", "meta", "comp", "main", *_BITS)]
             if held is not None:
                 new = [np.concatenate(x) for x in zip(held, new)]
             cuts = [0, *(np.flatnonzero((np.diff(new[0]) != 0) | (np.diff(new[1]) != 0)) + 1).tolist()]
