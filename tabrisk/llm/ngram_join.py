@@ -42,6 +42,7 @@ SKETCH_PARTS = 1024
 SEEDS = 4  # minimum hashes per node for the first round
 RUN = 512  # nodes that share a shingle and are paired in one go
 PIECE = 1 << 18  # bytes hashed at once
+PAIRS = 200_000  # looked at in one go
 PARITY = 256  # bits that hold the parity of a set's shingles
 _BITS = [f"b{i}" for i in range(PARITY // 64)]
 MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256])
@@ -116,7 +117,7 @@ def sketch(df: DataFrame) -> np.ndarray:
                     seen.add(k)
                     new.append(s)
             if new:
-                cells += np.bincount(np.concatenate(new) & (CELLS - 1), minlength=CELLS).astype(np.int32)
+                np.add.at(cells, np.concatenate(new) & (CELLS - 1), 1)
         parts = cells.reshape(SKETCH_PARTS, -1)
         used = np.flatnonzero(parts.any(axis=1))
         if len(used):
@@ -322,7 +323,7 @@ def shared_shingles(known: DataFrame, percent: int = PERCENT) -> DataFrame:
                     yield pass_on(*[v[x:x + s] for v in (token, node, meta, comp, *bits)])
                 continue
             u, v = np.triu_indices(s, 1)
-            step = max(1, 1_000_000 // len(u))
+            step = max(1, PAIRS // len(u))
             for k in range(0, len(at), step):
                 base = at[k:k + step, None]
                 a, b, match = _pairs((base + u).ravel(), (base + v).ravel(), node, meta, comp, list(bits), percent)
@@ -369,8 +370,8 @@ def split_shingles(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     def settle(cols):
         _, _, probe, node, meta, comp, main, *bits = cols
         base, visitors = np.flatnonzero(probe == 0), np.flatnonzero(probe == 1)
-        for k in range(0, len(visitors), max(1, 500_000 // max(1, len(base)))):
-            v = visitors[k:k + max(1, 500_000 // max(1, len(base)))]
+        for k in range(0, len(visitors), max(1, PAIRS // max(1, len(base)))):
+            v = visitors[k:k + max(1, PAIRS // max(1, len(base)))]
             i, j = np.repeat(v, len(base)), np.tile(base, len(v))
             # Two rows that both visit meet twice: keep one.
             keep = (comp[j] == main[j]) | (node[i] < node[j])
@@ -434,22 +435,23 @@ def one_per_class(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     twice = judged.groupBy("doc_id").agg(F.sum("c").alias("c"), F.min("stays").alias("all")).where("c > 1 or not all").select("doc_id")
     special = df.sparkSession.sparkContext.broadcast(bloom(twice, _id_bit("doc_id")))  # 1 MB
 
-    @F.pandas_udf("boolean")
-    def listed(bit: pd.Series) -> pd.Series:
-        return pd.Series(bloom_hit(special.value, bit.to_numpy()))
-
     names = df.columns
-    marked = df.withColumn("_special", F.coalesce(listed(_id_bit("doc_id")), F.lit(False)))
-    clear = marked.where("not _special").select(*names)
-    rest = marked.where("_special").drop("_special")
-    schema = rest.select(*names, F.lit(0).cast("bigint").alias("_node")).schema
-
-    def with_node(b):
-        sets = shingle_sets(raw_texts(b))
-        return pa.RecordBatch.from_arrays([*b.columns, pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())],
-                                          names=[*b.schema.names, "_node"])
-
-    rest = _cut(rest, with_node, schema)
+    marked = df.withColumn("_bit", _id_bit("doc_id"))
+
+    def clear_rows(batches):
+        for b in batches:
+            hit = bloom_hit(special.value, np.asarray(b.column("_bit")))
+            yield b.select(names).filter(pa.array(~hit))
+
+    def with_node(batches):
+        for b in batches:
+            b = b.filter(pa.array(bloom_hit(special.value, np.asarray(b.column("_bit"))))).select(names)
+            for part in slices([b], "text", PIECE):
+                sets = shingle_sets(raw_texts(part))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], names=[*names, "_node"])
+
+    clear = marked.mapInArrow(clear_rows, df.schema)
+    rest = marked.mapInArrow(with_node, df.select(*names, F.lit(None).cast("bigint").alias("_node")).schema)
     verdict = judged.select(F.col("doc_id").alias("_id"), F.col("node").alias("_n"), "stays", F.col("c").alias("_c"))
     rest = rest.join(verdict, (F.col("doc_id").cast("bigint") == F.col("_id")) & (F.col("_node") == F.col("_n")), "left")
     stays = rest.where(F.coalesce("stays", F.lit(True)))
