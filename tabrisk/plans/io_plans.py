@@ -29,7 +29,7 @@ _NA = ["", "NA", "NaN", "null", "n/a", "-nan", "<NA>", "None"]
 
 
 @register("csv_quoted_na", """
-WITH s AS (SELECT doc_id, 'say "' || substr(text, 1, 60) || '", ok' || chr(10) || 'line 2, ' || coalesce(lang, '') AS note,
+WITH s AS (SELECT doc_id, 'say "' || text || '", ok' || chr(10) || 'line 2, ' || coalesce(lang, '') AS note,
   CASE WHEN doc_id % 9 = 0 THEN NULL ELSE 'v' || doc_id END AS tag, CASE WHEN doc_id % 7 < 3 THEN NULL ELSE n_chars * 0.5 END AS half FROM documents)
 SELECT doc_id, note, tag, half FROM s""")
 def q_csv_quoted_na(spark, sf_dir):
@@ -37,7 +37,7 @@ def q_csv_quoted_na(spark, sf_dir):
     path = scratch_path(spark, "quoted_csv")
     tokens = F.array(*[F.lit(t) for t in _NA])
     na = F.element_at(tokens, (F.col("doc_id") % len(_NA) + 1).cast("int"))
-    note = F.concat(F.lit('say "'), F.substring("text", 1, 60), F.lit('", ok\nline 2, '), F.coalesce("lang", F.lit("")))
+    note = F.concat(F.lit('say "'), F.col("text"), F.lit('", ok\nline 2, '), F.coalesce("lang", F.lit("")))
     files.write_csv(table(spark, sf_dir, "documents").select(
         "doc_id", note.alias("note"), F.when(F.col("doc_id") % 9 == 0, na).otherwise(F.concat(F.lit("v"), F.col("doc_id").cast("string"))).alias("tag"),
         F.when(F.col("doc_id") % 7 < 3, na).otherwise((F.col("n_chars") * 0.5).cast("string")).alias("half")), path)
