@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabrisk.functions.columns import argmax_first
-from tabrisk.operators import ensemble, metrics
+from tabrisk.operators import ensemble, metrics, weights
 from tabrisk.plans.common import r, rs, sql_with
 from tabrisk.plans.metrics_plans import PRED_SQL, metric_ctes
 from tabrisk.plans.registry import register
@@ -212,3 +212,40 @@ def q_validate_submission(spark, sf_dir):
     sub = _test_predictions(spark, sf_dir).join(li, "o_orderkey", "left_semi")
     tmpl = base(spark, sf_dir).where(F.col("is_train") == 0).select("o_orderkey")
     return validate_submission(sub, tmpl, "o_orderkey", "o_orderstatus", list(CLASSES))
+
+
+def _optimised_row(spark, kind: str, n: int, found: tuple, again: float):
+    w, score, start = found
+    return spark.createDataFrame([(kind, n, round(sum(w), 9), round(start, 9), bool(score >= start), bool(abs(score - again) < 1e-12))],
+                                 "kind string, n_weights int, total double, equal_score double, not_worse boolean, score_holds boolean")
+
+
+def _recall_sql(pred: str) -> str:
+    return f"(SELECT avg(r) FROM (SELECT avg(CASE WHEN {pred} = label THEN 1.0 ELSE 0.0 END) AS r FROM v GROUP BY label))"
+
+
+@register("blend_weights_optimised", sql_with(WIDE_SQL) + f""",
+v AS (SELECT label, {', '.join(f'CAST(1.0 AS DOUBLE) / 3 * m1_{c} + CAST(1.0 AS DOUBLE) / 3 * m2_{c} + CAST(1.0 AS DOUBLE) / 3 * m3_{c} AS b{c}' for c in range(K))} FROM sw)
+SELECT 'blend' AS kind, CAST(3 AS INTEGER) AS n_weights, CAST(1.0 AS DOUBLE) AS total, round({_recall_sql(_argmax_sql('b0', 'b1', 'b2'))}, 9) AS equal_score,
+       true AS not_worse, true AS score_holds""")
+def q_blend_weights_optimised(spark, sf_dir):
+    """Blend weights of greatest balanced accuracy; the score is counted again by the blend and metric operators."""
+    df, probs = scores_wide(spark, sf_dir), list(VOTE)
+    found = weights.optimise(df, "label", probs, K)
+    again = ensemble.soft_vote(df, dict(zip(probs, found[0])), K)
+    return _optimised_row(spark, "blend", len(probs), found, metrics.summary(metrics.confusion(again, "label", "blend_pred")).first()["balanced_accuracy"])
+
+
+@register("class_multipliers_optimised", sql_with(WIDE_SQL) + f""",
+v AS (SELECT label, {_argmax_sql('m1_0', 'm1_1', 'm1_2')} AS pred FROM sw),
+f AS (SELECT c.label, count(*) FILTER (WHERE v.label = c.label) AS support, 2.0 * count(*) FILTER (WHERE v.label = c.label AND v.pred = c.label)
+        / (count(*) FILTER (WHERE v.label = c.label) + count(*) FILTER (WHERE v.pred = c.label)) AS f1
+      FROM v CROSS JOIN (SELECT DISTINCT label FROM v) c GROUP BY c.label)
+SELECT 'multipliers' AS kind, CAST(3 AS INTEGER) AS n_weights, CAST(1.0 AS DOUBLE) AS total, round(sum(f1 * support) / sum(support), 9) AS equal_score,
+       true AS not_worse, true AS score_holds FROM f""")
+def q_class_multipliers_optimised(spark, sf_dir):
+    """Class multipliers of greatest weighted F1 for one model's probabilities."""
+    df = scores_wide(spark, sf_dir)
+    found = weights.optimise(df, "label", ["p_m1"], K, weights.weighted_f1)
+    pred = df.withColumn("pred", argmax_first(F.array(*[F.lit(w) * F.col("p_m1")[c] for c, w in enumerate(found[0])])))
+    return _optimised_row(spark, "multipliers", K, found, metrics.summary(metrics.confusion(pred, "label", "pred")).first()["f1_w"])

@@ -306,6 +306,71 @@ def q_meta_learner(spark, sf_dir):
                       *[F.col("proba")[c].alias(f"p{c}") for c in range(K)])
 
 
+SUBSET = list(STACK)[:4]
+_STRATEGY = "strategy string, score double, chosen int"
+
+
+def _meta(oof: DataFrame, new: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(id, label, pred) out of fold, and (id, pred) of the new rows, by logistic regression over ``cols``."""
+    est = models.logistic_regression(max_iter=META_ITER)
+    train = encode.assemble(split.balanced_weights(oof.withColumn("label", F.col("label").cast("double")), "label"), cols).select(ID, "label", "fold", "weight", "features")
+    crossed = models.oof_predictions(train, est.fit, FOLDS, [ID, "label"], name="meta")
+    return crossed, models.proba_frame(est.fit(train), encode.assemble(new, cols), [ID])
+
+
+def _members(wide: DataFrame, names: list[str]) -> DataFrame:
+    """One array of class probabilities per member."""
+    return wide.select(ID, "label", *[F.array(*[F.col(f"c{c}_{n}") for c in range(K)]).alias(n) for n in names])
+
+
+def stack_strategies(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(strategy, score, chosen) by out-of-fold balanced accuracy, and (id, pred) of the rows outside training by the chosen one.
+
+    Strategies: mean, cross-fitted logistic regression and optimised weights, each over all members and over the first four."""
+    from tabrisk.operators import ensemble, weights
+    got = stack_cube(spark, sf_dir)
+    oof, new = stack_wide(got, "oof"), stack_wide(got, "new").drop("label", "fold")
+    new = new.withColumn("label", F.lit(None).cast("int"))
+    scored = []
+    for tag, names in (("all", list(STACK)), ("subset", SUBSET)):
+        blend, blend_new = _members(oof, names).persist(), _members(new, names)
+        w, best, equal = weights.optimise(blend, "label", names, K)
+        blend.unpersist()
+        scored.append((f"mean_{tag}", equal, ensemble.soft_vote(blend_new, {n: 1.0 / len(names) for n in names}, K).select(ID, F.col("blend_pred").alias("pred"))))
+        scored.append((f"weights_{tag}", best, ensemble.soft_vote(blend_new, dict(zip(names, w)), K).select(ID, F.col("blend_pred").alias("pred"))))
+        crossed, meta_new = _meta(oof, new, [f"c{c}_{n}" for c in range(K) for n in names])
+        score = metrics.summary(metrics.confusion(crossed, "label", "pred")).first()["balanced_accuracy"]
+        scored.append((f"meta_{tag}", float(score), meta_new.select(ID, "pred")))
+    top = max(range(len(scored)), key=lambda i: (scored[i][1], -i))
+    table = spark.createDataFrame([(n, float(s), int(i == top)) for i, (n, s, _) in enumerate(scored)], _STRATEGY)
+    return table, scored[top][2]
+
+
+@register("stack_strategies")
+def q_stack_strategies(spark, sf_dir):
+    """Scores of the six strategies over the stack."""
+    return stack_strategies(spark, sf_dir)[0]
+
+
+@register("stack_submission")
+def q_stack_submission(spark, sf_dir):
+    """Labels of the rows outside training by the best strategy."""
+    table, pred = stack_strategies(spark, sf_dir)
+    names = F.array(*[F.lit(c) for c in CLASSES])
+    return pred.select(ID, F.element_at(names, F.col("pred").cast("int") + 1).alias("label"), F.lit(table.where("chosen = 1").first()["strategy"]).alias("strategy"))
+
+
+@register("stack_fold_scores")
+def q_stack_fold_scores(spark, sf_dir):
+    """Balanced accuracy of the averaged blend per fold; fold -1: mean and standard deviation."""
+    from tabrisk.operators.ensemble import mean_blend
+    wide = stack_wide(stack_cube(spark, sf_dir), "oof")
+    blend = _members(wide, list(STACK)).withColumn("pred", argmax_first(mean_blend(list(STACK), K))).join(wide.select(ID, "fold"), ID)
+    each = metrics.summary(metrics.confusion(blend, "label", "pred", by=["fold"]), by=["fold"]).select("fold", "balanced_accuracy")
+    mean = each.agg(F.lit(-1).alias("fold"), F.avg("balanced_accuracy").alias("balanced_accuracy"), F.stddev_pop("balanced_accuracy").alias("std"))
+    return each.withColumn("std", F.lit(None).cast("double")).unionByName(mean)
+
+
 @register("model_save_load")
 def q_model_save_load(spark, sf_dir):
     from tabrisk.session import scratch_path

@@ -146,3 +146,36 @@ def test_cube_resumes_after_a_stop(spark, monkeypatch, tmp_path):
     assert again == [2, 3, 4] and got.where("part = 'oof'").count() == rows.where("learn").count()
     cube.resumable(rows, fits, p.K, edges)
     assert again == [2, 3, 4]
+
+
+def test_stack_submission_uses_the_best_strategy(spark, monkeypatch):
+    p = _small_settings(monkeypatch)
+    monkeypatch.setattr(p, "META_ITER", 5)
+    monkeypatch.setattr(p, "SUBSET", ["a", "b"])
+    table_, pred = p.stack_strategies(spark, SF_SMALL)
+    rows = table_.collect()
+    assert len(rows) == 6 and sum(r["chosen"] for r in rows) == 1
+    assert max(r["score"] for r in rows) == next(r["score"] for r in rows if r["chosen"])
+    score = {r["strategy"]: r["score"] for r in rows}
+    assert score["weights_all"] >= score["mean_all"]
+    out = p.q_stack_submission(spark, SF_SMALL).collect()
+    assert len(out) == len({r["o_orderkey"] for r in out}) == pred.count() and {r["label"] for r in out} <= {"F", "O", "P"}
+    folds = p.q_stack_fold_scores(spark, SF_SMALL).collect()
+    assert {r["fold"] for r in folds} == {-1, 0, 1, 2, 3, 4}
+
+
+def test_weight_search(spark):
+    from tabrisk.operators import weights
+    rows = [(i % 3, [float(c == i % 3) for c in range(3)] if i % 5 else [0.4, 0.35, 0.25], [0.2, 0.2, 0.6] if i % 2 else [0.5, 0.3, 0.2]) for i in range(60)]
+    df = spark.createDataFrame(rows + [(None, [1.0, 0.0, 0.0], [1.0, 0.0, 0.0]), (1, None, [1.0, 0.0, 0.0])], "y int, a array<double>, b array<double>")
+    w, score, equal = weights.optimise(df, "y", ["a", "b"], 3)
+    assert score >= equal and math.isclose(sum(w), 1)
+    best = 0.0
+    for i in range(101):
+        hit = [[0, 0] for _ in range(3)]
+        for y, a, b in rows:
+            blend = [i / 100 * u + (1 - i / 100) * v for u, v in zip(a, b)]
+            hit[y][0] += blend.index(max(blend)) == y
+            hit[y][1] += 1
+        best = max(best, sum(h / n for h, n in hit) / 3)
+    assert score >= best - 1e-9
