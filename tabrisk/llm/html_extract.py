@@ -41,15 +41,16 @@ ENDS_P = BLOCKS - {"br", "html", "body"}
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "main", "td", "th", "blockquote"}
 _SURE = (r"ads?|adverts?|advertisements?|sponsored|cookies?|consent|gdpr|popup|navbar|navigation|breadcrumbs?|sidebar|masthead|"
-         r"comments|comment-list|disqus|replies|respond|newsletter|pagination|pager|toolbar")
-_OFTEN = (r"sponsor|promo(?:tion)?|banner|notice|modal|overlay|nav|menu|side|widget|footer|foot|comment|related|recommended|share|sharing|"
+         r"comments?|comment-list|disqus|replies|respond|newsletter|pagination|pager|toolbar")
+_OFTEN = (r"sponsor|promo(?:tion)?|banner|notice|modal|overlay|nav|menu|side|widget|footer|foot|related|recommended|share|sharing|"
           r"social|subscribe|signup|login")
 # A whole class name or id.
 BAD_NAME = re.compile(
-    rf"(?:(?:site|page|post|entry|main|top|left|right|social|cookie)[_-])?(?:(?P<sure>{_SURE})|{_OFTEN})"
+    rf"(?:(?:site|page|post|entry|main|top|left|right|social|cookie|user|reader)[_-])??(?:(?P<sure>{_SURE})|{_OFTEN})"
     r"(?:[_-](?:area|bar|box|banner|buttons?|consent|form|icons?|items?|links?|list|notice|posts?|slot|unit|\d+))?", re.I)
 NEVER_BAD = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
 SHORT = 200
+LITTLE = 80
 BAD_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 
 _ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
@@ -72,7 +73,7 @@ class Node:
 
 
 def signs(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
-    """Whether an element is removed at once, and how suspect it is: 0, 1 (goes if short or full of links) or 2."""
+    """Whether an element is removed at once, and how suspect it is: 0, 1 (goes if short or full of links), 2 or, by a sure name, 3."""
     if tag in DROP or tag == "header" and not in_article:
         return True, 0
     suspect, seen = 2 if tag == "form" else 0, set()
@@ -84,7 +85,7 @@ def signs(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
         if name in ("class", "id") and tag not in NEVER_BAD:
             for word in value.split():
                 if m := BAD_NAME.fullmatch(word):
-                    suspect = max(suspect, 2 if m["sure"] else 1)
+                    suspect = max(suspect, 3 if m["sure"] else 1)
         elif tag in ("html", "body", "article", "main"):
             continue
         elif name == "role" and value.lower() in BAD_ROLE or name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
@@ -254,8 +255,18 @@ def extract(html: str) -> str:
             n = n.up
         return False
 
+    def named(n):
+        """Inside an element that is surely no main text by its name, such as comments or a cookie notice."""
+        while n is not None:
+            if n.suspect == 3 and not n.holds and n.tag in BLOCKS:
+                return True
+            n = n.up
+        return False
+
+    clean = 0
     for k, (own, t, linked) in enumerate(blocks):
         own.blocks.append(k)
+        clean += 0 if named(own) else len(t)
         points = (1.0 + t.count(",") + min(len(t) / 100.0, 3.0)) * (0.2 if is_suspect(own) else 1.0)
         step, node = 0, own if own.tag not in ("p", "br", "li", "td", "th", "pre") and not own.tag.startswith("h") or own.up is None else own.up
         while node is not None:
@@ -265,7 +276,9 @@ def extract(html: str) -> str:
             node.links += linked
             step, node = step + 1, node.up
     worth = lambda n: n.score * (1 - n.links / max(n.chars, 1))
-    best = max(nodes, key=lambda n: (worth(n), -n.order))
+    # However long it is, such an element isn't the best container, unless the page has hardly any other text.
+    choice = [n for n in nodes if not named(n)] if clean >= LITTLE else nodes
+    best = max(choice, key=lambda n: (worth(n), -n.order))
     hold(best)
     # An article element around the best container is its natural bound.
     top = best
@@ -281,7 +294,7 @@ def extract(html: str) -> str:
     def inside(n):
         found, group = False, None  # the smallest container of this text that the best one is not in
         while n is not None:
-            if n.suspect and not n.holds and n.tag in BLOCKS and (n.suspect == 2 or n.chars < SHORT or 2 * n.links > n.chars):
+            if n.suspect and not n.holds and n.tag in BLOCKS and (n.suspect >= 2 or n.chars < SHORT or 2 * n.links > n.chars):
                 return False
             if n is whole:
                 found = True

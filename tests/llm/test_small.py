@@ -260,6 +260,29 @@ def test_pages(spark):
     assert [(r["page_id"], r["text"], r["n_chars"]) for r in out] == [(1, "", 0), (2, "a", 1), (2, "a", 1), (None, "", 0)]
 
 
+def test_html_reader_comments_go_however_long():
+    talk = "I read this twice, and then again, and I disagree with most of it. " * 12
+    for name in ("comment", "user-comments", "reader-comments", "comments"):
+        for tag in ("article", "div"):
+            page = f'<body><{tag}><h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p><div class="{name}"><p>{talk}</p></div></{tag}></body>'
+            assert html_extract.extract(page) == " ".join(f"Head {PROSE} {PROSE}".split())
+
+
+def test_html_named_notice_is_never_the_best_container():
+    legal = "<p>" + "We and our partners store cookies, measure visits, and share data, as our policy says. " * 6 + "</p>"
+    story = "<p>One day the river rose, slowly.</p><p>People went up the hill, and waited there.</p><p>In the morning the water had gone.</p>"
+    want = "One day the river rose, slowly. People went up the hill, and waited there. In the morning the water had gone."
+    for page in (f'<body><div class="cookie-notice">{legal * 3}</div><div>{story}</div></body>', f'<body><div>{story}</div><div id="consent">{legal * 3}</div></body>'):
+        assert html_extract.extract(page) == want
+    # A page whose whole text is inside such an element keeps it.
+    assert html_extract.extract(f'<body><div class="popup"><p>{PROSE}</p></div></body>') == " ".join(PROSE.split())
+
+
+def test_html_empty_table(spark):
+    df = spark.createDataFrame([], "page_id bigint, url string, html string, text int, n_chars string")
+    assert html_extract.extract_pages(df, ["page_id", "url"]).count() == 0
+
+
 # --- op6 -----------------------------------------------------------------------------------------------
 
 def brute_grams(text):
