@@ -60,6 +60,45 @@ def raw_texts(b: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return pc.fill_null(b.column(column), "").cast(pa.binary()).to_pylist()
 
 
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text or binary column (null as empty) in one array, and where each row starts (one more than rows)."""
+    col = pc.fill_null(column.cast(pa.binary()), b"")
+    if not len(col) or col.buffers()[2] is None:
+        return np.empty(0, np.uint8), np.zeros(len(col) + 1, np.int64)
+    off = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    return np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]], off - off[0]
+
+
+def cut_chunks(data: np.ndarray, off: np.ndarray, begins: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Rows cut before every byte that ``begins`` marks: distinct chunks with each chunk's code, and where each row's chunks start.
+
+    ``data`` and ``off`` are as ``flat_bytes`` gives them; a row's first byte always begins a chunk, so chunks
+    join up to the rows and only an empty row has none."""
+    begins[off[:-1][off[:-1] < off[1:]]] = True
+    starts = np.flatnonzero(begins)
+    at = np.append(starts, len(data)).astype(np.int32)
+    chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data))])
+    return chunks.dictionary_encode(), np.searchsorted(starts, off).astype(np.int32)
+
+
+WHITE = np.zeros(256, bool)  # ASCII white space
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def word_begins(data: np.ndarray) -> np.ndarray:
+    """Marks the first byte of every run without ASCII white space."""
+    white = WHITE[data]
+    got = ~white
+    got[1:] &= white[:-1]
+    return got
+
+
+def join_chunks(codes: pa.Array, first: np.ndarray, values: list[bytes], between: bytes) -> pa.Array:
+    """Per row, the values of its chunks' codes joined by ``between``."""
+    flat = pa.array(values, pa.binary()).take(codes)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(first, pa.int32()), flat), pa.scalar(between, pa.binary()))
+
+
 def record(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)

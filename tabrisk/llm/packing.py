@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabrisk.llm.bpe import byte_symbols
-from tabrisk.llm.common import raw_texts, record, slices, table, write_stage
+from tabrisk.llm.common import cut_chunks, flat_bytes, join_chunks, record, slices, table, word_begins, write_stage
 
 CAPACITY = 2048
 GROUPS = (160, 60, 20)
 SMALL = 900  # pieces up to here are best fitted only
 END_ID = 0
-KEEP = 80_000  # words in each of two memo generations
+KEEP = 32 << 20  # estimated bytes of the words in each of two memo generations
 SEPARATOR = "<|startoftext|>"  # a special token of the vocabulary: its id marks borders in one long call
 
 
@@ -64,6 +64,7 @@ class WordTokenizer:
         self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.size = 0
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
@@ -117,20 +118,27 @@ class WordTokenizer:
         for w, stem, tail in split:
             memo[w] = memo[stem] + memo[tail]
 
-    def encode(self, datas: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        lower = [d.lower() for d in datas]
-        # Special tokens are matched before lower-casing.
-        words = [(d if any(s in x for s in self.special) else x).split() for d, x in zip(datas, lower)]
-        if len(self.memo) > KEEP:
-            self.old, self.memo = self.memo, {}
-        missing: set[bytes] = set()
-        for ws in words:
-            missing.update(ws)
-        missing -= self.memo.keys()
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text. Distinct words are looked up once, rows are put together by number."""
+        data, off = flat_bytes(column)
+        raw = data.tobytes()
+        lower = raw.lower()
+        data = np.frombuffer(lower, np.uint8)
+        if any(s in lower for s in self.special):
+            # Special tokens are matched before lower-casing.
+            data = data.copy()
+            for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
+                if any(s in lower[a:b] for s in self.special):
+                    data[a:b] = np.frombuffer(raw[a:b], np.uint8)
+        cut, first = cut_chunks(data, off, word_begins(data))
+        words = [c.strip() for c in cut.dictionary.to_pylist()]
+        if self.size > KEEP:
+            self.old, self.memo, self.size = self.memo, {}, 0
+        missing = set(words) - self.memo.keys()
         self._learn(missing)
         memo = self.memo
-        return [b"".join([memo[w] for w in ws]) for ws in words]
+        self.size += sum([200 + len(w) + len(memo[w]) for w in missing])
+        return join_chunks(cut.indices, first, [memo[w] for w in words], b"").to_pylist()
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -153,9 +161,9 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text"):
             rows = []
-            for doc, data in zip(b.column("doc_id").to_pylist(), tokenizer(path).encode(raw_texts(b))):
+            for doc, data in zip(b.column("doc_id").to_pylist(), tokenizer(path).encode(b.column("text"))):
                 data += end
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at:at + 4 * capacity]
