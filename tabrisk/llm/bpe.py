@@ -7,7 +7,9 @@ merge across their border would have come before the merges that built them. Fol
 stored last tokens back from the end gives the ids.
 
 The vocabulary file is a parameter. Texts are cut at single spaces into chunks that the
-pre-tokenizer can't match across; results per chunk are kept in a memo of bounded size.
+pre-tokenizer can't match across. The chunks of a slice of rows are numbered, each distinct one
+is encoded once, and rows are put together again by number; results are kept in a memo of a
+bounded number of bytes.
 Null texts count as empty (no ids); special tokens' strings in a text become their ids, as
 the tokenizers library does by default. Repeated rows each give a row.
 """
@@ -19,12 +21,14 @@ import json
 import re
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrisk.llm.common import map_slices, record, table, texts
+from tabrisk.llm.common import WHITE, cut_chunks, flat_bytes, join_chunks, map_slices, record, table
 
 # White space (Unicode property) and the pre-tokenizer's pattern.
 WS = r"\t-\r \x85\xa0  -     　"
@@ -33,7 +37,13 @@ PRETOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{W
 CHUNK = re.compile(rf"(?<=[^{WS}])(?= [^{WS}])")
 ODD = re.compile(rf"[{WS}][{WS}]|^ | $")
 NEVER = 1 << 30
-KEEP = 150_000  # memo entries in each of two generations
+KEEP = 48 << 20  # estimated bytes of a memo in each of two generations
+
+# First bytes of all wide white space that Unicode has.
+_WIDE = np.zeros(256, bool)
+_WIDE[[0xE1, 0xE2, 0xE3]] = True
+_NEXT = WHITE | _WIDE
+_NEXT[0xC2] = True
 
 
 def byte_symbols() -> dict[str, int]:
@@ -43,20 +53,38 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def chunk_begins(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Marks single spaces between two characters of a row that aren't white space. A space beside a
+    character that might be wide white space, judged by its first byte, isn't marked, which is as right."""
+    got = data == 32
+    prev, after = np.zeros(len(data), bool), np.ones(len(data), bool)
+    prev[1:] = WHITE[data[:-1]]
+    prev[2:] |= data[:-2] == 0xC2
+    prev[3:] |= _WIDE[data[:-3]]
+    after[:-1] = _NEXT[data[1:]]
+    got &= ~(prev | after)
+    got[off[1:][off[1:] > 0] - 1] = False  # a row's last byte
+    return got
+
+
 class Memo(dict):
-    """A dict that computes missing values and forgets what a whole generation didn't use."""
+    """A dict that computes missing values and forgets what a whole generation didn't use; bounded by bytes."""
 
     def __init__(self, compute, keep: int = KEEP):
         super().__init__()
-        self.compute, self.keep, self.old = compute, keep, {}
+        self.compute, self.keep, self.old, self.size = compute, keep, {}, 0
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.keep:
-            self.old = dict(self)
+        cost = 280 + 10 * len(key)
+        if cost > self.keep >> 4:
+            return value
+        if self.size + cost > self.keep:
+            self.old, self.size = dict(self), 0
             self.clear()
+        self.size += cost
         self[key] = value
         return value
 
@@ -147,6 +175,8 @@ class Encoder:
 
     def chunk(self, text: str) -> tuple[str, bytes]:
         """Ids as decimal text, and the bytes that they decode to."""
+        if text.isascii() and text.removeprefix(" ").isalpha():
+            return self.pieces[text]
         parts = PRETOKEN.findall(text)
         if len(parts) == 1:
             return self.pieces[parts[0]]
@@ -182,6 +212,25 @@ class Encoder:
         return ",".join([g[0] for g in got]), b"".join([g[1] for g in got]).decode("utf-8", "replace")
 
 
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+        """Per row: number of ids, ids joined by commas, the bytes that they decode to."""
+        data, off = flat_bytes(column)
+        cut, first = cut_chunks(data, off, chunk_begins(data, off))
+        got = [self.chunks[c.decode()] for c in cut.dictionary.to_pylist()]
+        ids = [g[0].encode() for g in got]
+        # Every chunk holds a byte, so it has an id.
+        size = np.array([x.count(b",") + 1 for x in ids], np.int64).reshape(-1)
+        upto = np.concatenate([[0], np.cumsum(size[np.asarray(cut.indices)])])
+        n = upto[first[1:]] - upto[first[:-1]]
+        ids, raw = (join_chunks(cut.indices, first, x, sep).to_pylist() for x, sep in ((ids, b","), ([g[1] for g in got], b"")))
+        if self.special:
+            whole = pc.fill_null(column, "")
+            for i in np.flatnonzero(np.any([pc.match_substring(whole, s).to_numpy(zero_copy_only=False) for s in self.special], axis=0)).tolist():
+                text, back = self.encode(whole[i].as_py())
+                n[i], ids[i], raw[i] = text.count(",") + 1 if text else 0, text.encode(), back.encode()
+        return n, ids, raw
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -197,9 +246,8 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     schema = pa.schema([("id", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
 
     def run(b):
-        e = encoder(path)
-        got = [e.encode(t) for t in texts(b)]
-        return record(schema, [b.column("id"), [g[0] for g in got], [g[1] for g in got]])
+        _, ids, raw = encoder(path).encode_column(b.column("text"))
+        return record(schema, [b.column("id"), [x.decode() for x in ids], [x.decode("utf-8", "replace") for x in raw]])
 
     src = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     return map_slices(src, run, "id bigint, ids string, decoded string").withColumnRenamed("id", id_col)
@@ -210,12 +258,9 @@ def digests(df: DataFrame, path: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(b):
-        e = encoder(path)
-        rows = []
-        for t in texts(b):
-            ids, text = e.encode(t)
-            rows.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
-        return record(schema, [b.column("doc_id").cast(pa.int64()), *map(list, zip(*rows))])
+        n, ids, raw = encoder(path).encode_column(b.column("text"))
+        return record(schema, [b.column("doc_id"), n, [hashlib.sha256(x).hexdigest() for x in ids],
+                               [hashlib.sha256(x.decode("utf-8", "replace").encode()).hexdigest() for x in raw]])
 
     return map_slices(df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), run,
                       "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
