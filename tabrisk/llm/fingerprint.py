@@ -15,7 +15,6 @@ have equal fingerprints. Other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -28,18 +27,23 @@ from tabrisk.llm.common import mix64, record, table
 
 SAMPLES = 128
 KEEP = 150_000  # (term, weight) rows that a worker remembers, 512 bytes each
-PIECE = 1 << 18  # characters handled at once
+SPELL = 16 << 20  # characters of the words that it remembers
+PIECE = 1 << 19  # characters handled at once
 
 _SEEDS = mix64(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _unit(x: np.ndarray, shift: int) -> np.ndarray:
-    """Uniform in (0, 1) from 25 bits."""
-    return ((x >> np.uint64(shift)) & np.uint64((1 << 25) - 1)).astype(np.float64) / (1 << 25) + 0.5 / (1 << 25)
+    """Uniform in (0, 1) from 23 bits: they become the fraction of a float in [1, 2)."""
+    bits = (x >> np.uint64(shift)).astype(np.uint32)
+    bits &= np.uint32(0x7FFFFF)
+    bits |= np.uint32(0x3F800000)
+    return bits.view(np.float32) - np.float32(1 - 2.0**-24)
 
 
 def _r_and_b(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return -np.log(_unit(one, 0) * _unit(one, 25)), _unit(mix64(one + two), 10)
+    """Gamma(2, 1) and uniform variables; b takes the high bits of both that r and c leave."""
+    return -np.log(_unit(one, 0) * _unit(one, 23)), _unit(one >> np.uint64(46) | (two >> np.uint64(59)) << np.uint64(18), 0)
 
 
 def keys(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -47,10 +51,10 @@ def keys(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     h = terms[:, None]
     one, two = mix64(h ^ _SEEDS[:SAMPLES]), mix64(h ^ _SEEDS[SAMPLES:])
     r, b = _r_and_b(one, two)
-    log_c = np.log(-np.log(_unit(two, 0) * _unit(two, 25)))
+    log_c = np.log(-np.log(_unit(two, 0) * _unit(two, 23)))
     many = np.flatnonzero(weights > 1)  # the level of weight 1 is 0
     b[many] -= np.floor(np.log(weights[many])[:, None] / r[many] + b[many])
-    return (log_c - r * (1 - b)).astype(np.float32)
+    return log_c - r * (1 - b)
 
 
 def codes(terms: np.ndarray, weights: np.ndarray, draw: np.ndarray) -> np.ndarray:
@@ -69,6 +73,7 @@ class Sampler:
     def __init__(self, keep: int = KEEP):
         # A word itself stands for its weight 1.
         self.rows: dict[str | tuple[str, int], int] = {}
+        self.bytes = 0
         self._room(keep)
 
     def _room(self, size: int) -> None:
@@ -83,34 +88,44 @@ class Sampler:
             self.weight[at] = np.fromiter((1 if type(x) is str else x[1] for x in part), np.float64, len(part))
             self.key[at] = keys(self.hash[at], self.weight[at])
         self.rows.update(zip(terms, range(n, n + len(terms))))
+        self.bytes += sum([len(x if type(x) is str else x[0]) for x in terms])
 
     def signatures(self, texts: list[str]) -> np.ndarray:
         """One row of 16-bit draws per text; zeros for a text without words."""
-        bags = [[w if n == 1 else (w, n) for w, n in Counter(t.split()).items()] for t in texts]
-        every: set[str | tuple[str, int]] = set()
-        every.update(*bags)
-        missing = every - self.rows.keys()
-        if len(self.rows) + len(missing) > len(self.key):
+        # Words are numbered once; sorting (text, word) and then (word, weight) pairs counts and tells them apart.
+        words = [t.split() for t in texts]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        named = pa.array([w for ws in words for w in ws], pa.string()).dictionary_encode()
+        spell = named.dictionary.to_pylist()
+        pair, weight = np.unique(np.repeat(np.arange(len(texts)), sizes) * max(len(spell), 1) + np.asarray(named.indices), return_counts=True)
+        text_of, word = np.divmod(pair, max(len(spell), 1))
+        most = int(weight.max(initial=0)) + 1
+        kinds, which = np.unique(word * most + weight, return_inverse=True)
+        every = [spell[k] if n == 1 else (spell[k], n) for k, n in zip((kinds // most).tolist(), (kinds % most).tolist())]
+        del words, named, pair
+        missing = [x for x in every if x not in self.rows]
+        if len(self.rows) + len(missing) > len(self.key) or self.bytes > SPELL:
             # Full: start again with the terms of these texts.
-            self.rows = {}
+            self.rows, self.bytes = {}, 0
             missing = every
             if max(len(missing), KEEP) != len(self.key):
                 self._room(max(len(missing), KEEP))
         if missing:
-            self._add(list(missing))
-        rows, draw = self.rows, np.arange(SAMPLES)
+            self._add(missing)
+        rows, draw = np.array([self.rows[x] for x in every], np.int64)[which], np.arange(SAMPLES)
         out = np.zeros((len(texts), SAMPLES), np.uint16)
-        full = [i for i, bag in enumerate(bags) if bag]
+        border = np.searchsorted(text_of, np.arange(len(texts) + 1))
+        full = np.flatnonzero(border[1:] > border[:-1]).tolist()
         taken = np.empty((len(full), SAMPLES), np.int64)
         for n, i in enumerate(full):
-            at = np.array([rows[x] for x in bags[i]], np.int64)
+            at = rows[border[i]:border[i + 1]]
             best = None
             for k in range(0, len(at), 4096):
                 part = at[k:k + 4096]
                 own = part[self.key.take(part, axis=0).argmin(axis=0)]
                 best = own if best is None else np.where(self.key[own, draw] < self.key[best, draw], own, best)
             taken[n] = best
-        if full:
+        if len(full):
             flat = taken.ravel()
             out[full] = codes(self.hash[flat], self.weight[flat], np.tile(draw, len(full))).reshape(-1, SAMPLES)
         return out
@@ -142,7 +157,7 @@ def with_next(df: DataFrame, parts: int | None = None) -> DataFrame:
 
     Order: ``doc_id`` descending (null last, repeated ids by text), around to the first again.
     Split points come from approximate quantiles of the ids, so every part has about as many
-    rows; each part's first row is sent to the part before it, too. Texts are shuffled once.
+    rows; each part's first row is sent to the part before it, too. Texts are shuffled once, every part to a task of its own.
     Columns: part, foreign (1: belongs to the following part), doc_id, text."""
     src = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     key = F.coalesce(F.col("doc_id"), F.lit(LOWEST))
@@ -169,7 +184,7 @@ def with_next(df: DataFrame, parts: int | None = None) -> DataFrame:
         return pd.Series([[x, before[x]] if head[x] == i else [x] for x, i in zip(p, k.tolist())])
 
     return (src.select("doc_id", "text", places(key).alias("to")).select("doc_id", "text", F.posexplode("to").alias("foreign", "part"))
-            .select("part", "foreign", "doc_id", "text").repartition("part")
+            .select("part", "foreign", "doc_id", "text").repartitionById(len(cuts) + 1, "part")
             .sortWithinPartitions("part", "foreign", F.desc_nulls_last("doc_id"), "text"))
 
 
