@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrisk.llm.common import crc_fold, raw_texts, record, slices, sum_arrays, table, write_stage
+from tabrisk.llm.common import crc_fold, cut_chunks, flat_bytes, record, slices, sum_arrays, table, word_begins, write_stage
 
 WORDS = 1024  # words that the model predicts one by one
 CLASSES = 1024  # classes of other words
@@ -46,8 +46,20 @@ END = b"\n"  # no word holds white space
 PARTS = 64
 
 
-def tokens(data: bytes) -> list[bytes]:
-    return [*data.lower().split(), END]
+def words_of(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of a slice of texts, and for every word in order its number among them and its row."""
+    data, off = flat_bytes(column)
+    data = np.frombuffer(data.tobytes().lower(), np.uint8)
+    cut, first = cut_chunks(data, off, word_begins(data))
+    words: dict[bytes, int] = {}
+    number = np.array([words.setdefault(c.strip(), len(words)) for c in cut.dictionary.to_pylist()], np.int64).reshape(-1)
+    own, row = number[np.asarray(cut.indices)], np.repeat(np.arange(len(column)), np.diff(first))
+    blank = words.get(b"")
+    if blank is not None:
+        # White space before a row's first word.
+        real = own != blank
+        own, row = own[real], row[real]
+    return list(words), own, row
 
 
 def class_of(word: bytes) -> int:
@@ -61,8 +73,11 @@ def word_counts(df: DataFrame) -> DataFrame:
     def run(batches):
         held: Counter = Counter()
         for b in slices(batches, "text"):
-            for data in raw_texts(b):
-                held.update(tokens(data))
+            words, own, _ = words_of(b.column("text"))
+            for w, n in zip(words, np.bincount(own, minlength=len(words)).tolist()):
+                if n:
+                    held[w] += n
+            held[END] += b.num_rows
             if len(held) > HELD:
                 yield record(schema, [list(held), list(held.values())])
                 held = Counter()
@@ -134,11 +149,14 @@ class Trainer:
 
     def _ascend(self, k: int, rows: np.ndarray, grad: np.ndarray, n: int) -> None:
         """AdaGrad step of the rows of parameter ``k`` that a batch of ``n`` tokens touches."""
-        own, at = np.unique(rows, return_inverse=True)
         width = grad.shape[1]
-        flat = (at[:, None] * width + np.arange(width)).ravel()
-        g = (np.bincount(flat, weights=grad.ravel(), minlength=len(own) * width) / n).astype(np.float32).reshape(-1, width)
         p, s = self.m.parameters()[k].reshape(-1, width), self.sum[k].reshape(-1, width)
+        if len(rows) == 1:
+            own, g = rows, (grad / n).astype(np.float32)
+        else:
+            own, at = np.unique(rows, return_inverse=True)
+            flat = (at[:, None] * width + np.arange(width)).ravel()
+            g = (np.bincount(flat, weights=grad.ravel(), minlength=len(own) * width) / n).astype(np.float32).reshape(-1, width)
         seen = s[own] + g * g
         s[own] = seen
         p[own] += RATE * g / np.sqrt(seen)
@@ -229,32 +247,26 @@ def tokenized(df: DataFrame, p: Prepared) -> DataFrame:
     def run(batches):
         p = shared.value
         index, classes = p.index().get, p.model_words
-        for b in slices(batches, "text", 1 << 20):
-            ids, size, known, base, share, rare_at = [], [], [], [], [], [0]
-            words: list[bytes] = []
-            tfs: list[int] = []
-            cls: list[int] = []
-            for data in raw_texts(b):
-                ws = tokens(data)
-                at = np.array([index(w, -1) for w in ws], np.int64)
-                own = p.ids[at]
-                out = np.flatnonzero(at < 0)
-                if len(out):
-                    for w, n in Counter([ws[i] for i in out.tolist()]).items():
-                        words.append(w)
-                        tfs.append(n)
-                        cls.append(class_of(w))
-                    own[out] = [classes + class_of(ws[i]) for i in out.tolist()]
-                    at = at[at >= 0]
-                ids.append(own)
-                size.append(len(own))
-                known.append(int((p.counts[at] > 0).sum()))
-                base.append(float(p.base[at].sum()))
-                share.append(float(p.share[at].sum()))
-                rare_at.append(len(words))
-            flat = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), pa.array(np.concatenate(ids), pa.int16()))
-            found = pa.ListArray.from_arrays(pa.array(rare_at, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(tfs, pa.int32()), pa.array(cls, pa.int32())], fields=list(rare)))
+        for b in slices(batches, "text"):
+            words, own, row = words_of(b.column("text"))
+            rows, words = b.num_rows, [*words, END]
+            at = np.array([index(w, -1) for w in words], np.int64)
+            cls = np.array([0 if k >= 0 else class_of(w) for w, k in zip(words, at.tolist())], np.int64)
+            # Every row's words, then its end.
+            size = np.bincount(row, minlength=rows) + 1
+            upto = np.concatenate([[0], np.cumsum(size)])
+            token, owner = np.full(upto[-1], len(words) - 1), np.repeat(np.arange(rows), size)
+            token[np.arange(len(own)) + row] = own
+            out = at < 0
+            ids = np.where(out, classes + cls, p.ids[at])[token]
+            known, base, share = (np.bincount(owner, weights=np.where(out, 0, x[at])[token], minlength=rows) for x in (p.counts > 0, p.base, p.share))
+            rare_row = owner[out[token]]
+            pair, tf = np.unique(rare_row * len(words) + token[out[token]], return_counts=True)
+            pair_row, word = np.divmod(pair, len(words))
+            flat = pa.ListArray.from_arrays(upto.astype(np.int32), pa.array(ids, pa.int16()))
+            found = pa.ListArray.from_arrays(pa.array(np.searchsorted(pair_row, np.arange(rows + 1)), pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(words, pa.binary()).take(pa.array(word)), pa.array(tf, pa.int32()), pa.array(cls[word], pa.int32())], fields=list(rare)))
+            known = known.astype(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), b.column("held_out"), *[pa.array(x, t) for x, t in
                                              ((size, pa.int64()), (known, pa.int64()), (base, pa.float64()), (share, pa.float64()))], flat, found], schema=schema)
 
@@ -312,9 +324,11 @@ def train(rows: DataFrame, p: Prepared) -> Model:
 
 
 def context_scores(rows: DataFrame, model: Model, end: int) -> DataFrame:
-    """(uid, ctx): log10 probability of a row's ids."""
+    """Rows without ids, but with ctx: log10 probability of the ids."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("uid", pa.int64()), ("ctx", pa.float64())])
+    kept = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "share"]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    schema = pa.schema([*zip(kept, types), ("ctx", pa.float64())])
 
     def run(batches):
         a = None
@@ -326,9 +340,9 @@ def context_scores(rows: DataFrame, model: Model, end: int) -> DataFrame:
             ids, first = _flat_ids(b)
             near, far = contexts(ids, first, end)
             logp = (a[near, ids] + far_part[far, ids] - z[near, far]).astype(np.float64) / math.log(10)
-            yield record(schema, [b.column("uid"), np.add.reduceat(logp, first)])
+            yield record(schema, [*map(b.column, kept), pa.array(np.add.reduceat(logp, first))])
 
-    return rows.select("uid", "ids").mapInArrow(run, "uid bigint, ctx double")
+    return rows.select(*kept, "ids").mapInArrow(run, "uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, share double, ctx double")
 
 
 def rare_scores(rows: DataFrame, counts: DataFrame, p: Prepared) -> DataFrame:
@@ -348,8 +362,7 @@ def score(df: DataFrame, held_out) -> DataFrame:
     rows = write_stage(tokenized(src.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "held_out", "text"), p), "token-ids")
     model = train(rows.where(~F.col("held_out")), p)
     zero = F.lit(0.0)
-    return (rows.select("uid", "doc_id", "held_out", "n_tokens", "known", "base", "share").join(context_scores(rows, model, p.end), "uid")
-            .join(rare_scores(rows, counts, p), "uid", "left")
+    return (context_scores(rows, model, p.end).join(rare_scores(rows, counts, p), "uid", "left")
             .select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("known2", F.lit(0))).cast("long").alias("n_known"), F.lit(p.n).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("base2", zero)).alias("base_score"), (F.col("ctx") + F.col("share") + F.coalesce("share2", zero)).alias("score")))
 
