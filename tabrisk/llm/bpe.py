@@ -109,14 +109,15 @@ class Encoder:
             self.merge[ia << 20 | ib] = r
             if self.rank[made] < 0:
                 self.rank[made], self.left[made], self.right[made] = r, ia, ib
-        self.pairs: dict[int, bool] = {}
+        self.good: set[int] = set()  # pairs of tokens that are compatible, and that are not
+        self.bad: set[int] = set()
         auto = ahocorasick.Automaton()
         self.whole: dict[str, int] = {}
-        good: dict[int, bool] = {}
+        sound: dict[int, bool] = {}
         for i in sorted(raw, key=self.rank.__getitem__):
             # A token counts if BPE of its own bytes gives it: its parts do, and nothing crosses their border earlier.
-            good[i] = len(raw[i]) == 1 or self.rank[i] >= 0 and good[self.left[i]] and good[self.right[i]] and self.uncrossed(self.left[i], self.right[i], True)
-            if good[i]:
+            sound[i] = len(raw[i]) == 1 or self.rank[i] >= 0 and sound[self.left[i]] and sound[self.right[i]] and self.uncrossed(self.left[i], self.right[i], True)
+            if sound[i]:
                 s = raw[i].decode("latin-1")
                 auto.add_word(s, (len(s), i))
                 self.whole[s] = i
@@ -149,27 +150,30 @@ class Encoder:
         one = self.whole.get(s)
         if one is not None:
             return [one]
-        n, pairs = len(s), self.pairs
-        last, start = [-1] * (n + 1), [0] * (n + 1)
+        good, bad = self.good, self.bad
+        # By a prefix's last character: its last token (moved left, so that a pair is one number), and where the prefix before it ends.
+        n = len(s) - 1
+        last, before = [-1] * (n + 1), [0] * (n + 1)
         for end, (size, tok) in self.auto.iter(s):
-            end += 1
-            if last[end] >= 0:
-                continue
-            at = end - size
-            if at:
-                key = last[at] << 20 | tok
-                ok = pairs.get(key)
-                if ok is None:
-                    if len(pairs) > 2_000_000:
-                        pairs.clear()
-                    ok = pairs[key] = self.uncrossed(last[at], tok)
-                if not ok:
-                    continue
-            last[end], start[end] = tok, at
+            if last[end] < 0:
+                at = end - size
+                if at >= 0:
+                    key = last[at] | tok
+                    if key not in good:
+                        if key in bad:
+                            continue
+                        if len(good) + len(bad) > 2_000_000:
+                            good.clear()
+                            bad.clear()
+                        if not self.uncrossed(last[at] >> 20, tok):
+                            bad.add(key)
+                            continue
+                        good.add(key)
+                last[end], before[end] = tok << 20, at
         ids: list[int] = []
-        while n:
-            ids.append(last[n])
-            n = start[n]
+        while n >= 0:
+            ids.append(last[n] >> 20)
+            n = before[n]
         ids.reverse()
         return ids
 
