@@ -8,7 +8,7 @@ which never routes a whole class through one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrisk.functions.columns import hash_key
@@ -17,11 +17,27 @@ from tabrisk.operators.ranking import exact_row_number
 
 
 def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, seeded, without replacement: the n first by hash key.
+    """Exactly ``min(n, rows)`` rows, seeded, without replacement: the n first by hash key."""
+    return first_by_hash(df, id_col, seed, F.lit(n))
 
-    Positions come from ``exact_row_number``, so the sample never meets in one task."""
-    keyed = df.withColumn("_hk", hash_key(id_col, seed))
-    return exact_row_number(keyed, ["_hk", id_col], name="_pos").where(F.col("_pos") <= n).select(*df.columns)
+
+def first_by_hash(df: DataFrame, id_col: str, seed: int, quota: Column, by: str | None = None) -> DataFrame:
+    """The first ``quota`` rows of every class by hash key (ties by id); ``quota`` may use ``_class_n``, the class's rows.
+
+    One pass counts rows by class and the first four digits of the key: at most 65,536 rows a
+    class, in which the digits of the last row that is wanted are found. Rows with lower digits are taken by a filter; only rows
+    that share these digits, about one in 65,536, are put in order. All rows without an id have one key."""
+    keyed = df.withColumn("_hk", hash_key(id_col, seed)).withColumn("_k", F.col(by) if by else F.lit(0))
+    keyed = keyed.withColumn("_digits", F.substring("_hk", 1, 4))
+    counts = keyed.groupBy("_k", "_digits").agg(F.count(F.lit(1)).alias("_n"))
+    one = Window.partitionBy("_k")
+    upto = counts.select("_k", "_digits", "_n", F.sum("_n").over(one.orderBy("_digits")).alias("_upto"), F.sum("_n").over(one).alias("_class_n"))
+    wanted = upto.withColumn("_want", F.least(quota.cast("long"), F.col("_class_n")))
+    last = (wanted.where((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
+            .select("_k", F.col("_digits").alias("_last"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_need")))
+    marked = join_small(keyed, last, ["_k"], how="inner", null_safe=True)
+    edge = exact_row_number(marked.where(F.col("_digits") == F.col("_last")), ["_hk", id_col], by=["_k"], name="_pos").where(F.col("_pos") <= F.col("_need"))
+    return marked.where(F.col("_digits") < F.col("_last")).select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def class_positions(df: DataFrame, label: str, id_col: str, seed: int = 42,
@@ -49,10 +65,9 @@ def stratified_holdout(df: DataFrame, label: str, id_col: str, test_frac: float
 
 def stratified_sample_n(df: DataFrame, label: str, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """Stratified fixed-size sub-sample: fraction ``min(n, rows)/rows`` of every class."""
-    pos = class_positions(df, label, id_col, seed)
     total = df.count()
     frac = min(n, total) / total if total else 0.0
-    return pos.where(F.col("_pos") <= _take(frac, "_class_n")).drop("_pos", "_class_n")
+    return first_by_hash(df, id_col, seed, _take(frac, "_class_n"), by=label)
 
 
 def stratified_kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabrisk.plans.registry import register
 from tabrisk.session import scratch_path
-from tabrisk.sources import files
+from tabrisk.sources import files, quoted_csv
 from tabrisk.sources.tables import table
 
 
@@ -58,6 +58,32 @@ def q_csv_quoted_text(spark, sf_dir):
     return files.read_csv(spark, path, "doc_id bigint, text string, note string")
 
 
+@register("csv_quoted_split", f"""
+SELECT doc_id, CASE WHEN text NOT IN ({_NA_SQL}) THEN text END AS text, 'say "' || text || '", ok' || chr(10) || 'line 2, ' || coalesce(lang, '') AS note
+FROM documents""")
+def q_csv_quoted_split(spark, sf_dir):
+    """The same cells, read by as many tasks as the files have splits."""
+    path = scratch_path(spark, "quoted_split_csv")
+    note = F.concat(F.lit('say "'), "text", F.lit('", ok\nline 2, '), F.coalesce("lang", F.lit("")))
+    files.write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", note.alias("note")), path)
+    return quoted_csv.read_quoted(spark, path, "doc_id bigint, text string, note string")
+
+
+@register("scan_csv_inferred", """
+SELECT o_orderkey::BIGINT AS o_orderkey, o_orderstatus, o_totalprice::DOUBLE AS o_totalprice,
+  (CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END)::DOUBLE AS some_key, o_totalprice > 100000 AS high, NULL::DOUBLE AS nothing,
+  CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'no key' END AS mixed FROM orders""")
+def q_scan_csv_inferred(spark, sf_dir):
+    """Columns of every kind, written as text and typed from their cells: whole numbers, numbers, missing cells, truth values, text."""
+    path = scratch_path(spark, "inferred_csv")
+    key = F.col("o_orderkey")
+    files.write_csv(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.when(key % 3 > 0, F.col("o_custkey")).alias("some_key"),
+        F.when(F.col("o_totalprice") > 100000, "True").otherwise("False").alias("high"), F.lit(None).cast("string").alias("nothing"),
+        F.when(key % 5 > 0, key.cast("string")).otherwise("no key").alias("mixed")), path)
+    return quoted_csv.read_inferred(spark, path)
+
+
 @register("scan_ids", "SELECT o_orderkey FROM orders")
 def q_scan_ids(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey")

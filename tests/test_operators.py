@@ -1,5 +1,6 @@
 """Operator unit tests on literal frames and invariants (property style)."""
 
+import hashlib
 import math
 
 from hypothesis import given, settings
@@ -139,3 +140,28 @@ def test_knn_exact_against_brute_force(spark):
         d = sorted((math.sqrt((qa - a) ** 2 + (qb - b) ** 2), rid) for rid, _, a, b in refs)
         assert got[qid] == {rid for _, rid in d[:7]}
     assert knn_vote(neigh, "id", "label").count() == 40
+
+
+def test_first_by_hash_with_ties_and_nulls(spark):
+    from tabrisk.operators import split
+
+    ids = [*range(300), *[7] * 50, None, None]
+    df = spark.createDataFrame([(i, "ab"[(i or 0) % 2]) for i in ids], "id int, cls string")
+
+    def key(i):
+        return hashlib.md5(("42" if i is None else f"{i}-42").encode()).hexdigest(), i or 0
+
+    want = sorted(map(key, ids))
+    for n in (0, 1, 3, 120, 352, 1000):
+        got = sorted(key(r.id) for r in split.sample_exact_n(df, n, "id").collect())
+        assert got == want[:n]
+    part = {r["cls"]: r["n"] for r in split.stratified_sample_n(df, "cls", "id", 176).groupBy("cls").agg(F.count("*").alias("n")).collect()}
+    assert part == {"a": 76, "b": 100}
+    assert split.sample_exact_n(df.limit(0), 5, "id").count() == 0
+
+
+def test_sample_sorts_no_table(spark):
+    from tabrisk.operators import split
+
+    plan = split.sample_exact_n(spark.range(100000).withColumnRenamed("id", "k"), 10, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
