@@ -118,7 +118,9 @@ class Ranker:
 
 
 def predict(df: DataFrame, profiles: dict[str, np.ndarray], top: int = PROFILE) -> DataFrame:
-    """``df`` (with a text column) plus lang_pred and score; other columns are kept."""
+    """``df`` (with a text column) plus lang_pred and score; other columns are kept, columns of these two names
+    replaced. Repeated rows each give a row."""
+    df = df.drop("lang_pred", "score")
     names = df.columns
     ranker = df.sparkSession.sparkContext.broadcast(Ranker(profiles, top))  # at most languages x top entries
 

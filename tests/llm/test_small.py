@@ -323,6 +323,23 @@ def test_language(docs, data, no_docs):
     assert {r["lang_pred"] for r in language.predict(docs.select("doc_id", "text"), {}).collect()} == {"und"}
 
 
+def test_language_distances_plain(docs, data):
+    """Every score again by the definition: rank differences summed, PROFILE for an n-gram that a profile lacks."""
+    profiles = language.fit(docs)
+    clash = docs.select("doc_id", "text").withColumn("score", F.lit("mine")).withColumn("lang_pred", F.lit(3))
+    rows = language.predict(clash, profiles).collect()
+    assert len(rows) == len(data)
+    place = {k: {g: i for i, g in enumerate(v.tolist())} for k, v in profiles.items()}
+    for r in rows:
+        own = language.ranked(language.ngrams(r["text"]), language.PROFILE).tolist() if r["text"] else []
+        if not own:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        far = {k: sum(abs(p[g] - i) if g in p else language.PROFILE for i, g in enumerate(own)) for k, p in place.items()}
+        best = min(sorted(far), key=far.get)
+        assert r["lang_pred"] == best and abs(r["score"] - (1 - far[best] / (language.PROFILE * len(own)))) < 1e-12
+
+
 def test_out_of_place_distance():
     a, b = language.ranked(language.ngrams("aa aa ab"), 400), language.ranked(language.ngrams("zz zy"), 400)
     r = language.Ranker({"a": a, "b": b})
