@@ -25,6 +25,14 @@ def fit_vocabulary(df: DataFrame, col: str) -> DataFrame:
         "value", (F.col("code") - 1).cast("int").alias("code"))
 
 
+def fit_vocabularies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column_name, value, code)``: the vocabularies of several columns from one pass over the rows."""
+    long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+            .unpivot([], list(cols), "column_name", "value").where(F.col("value").isNotNull()).distinct())
+    return exact_row_number(long, ["value"], by=["column_name"], name="code").select(
+        "column_name", "value", (F.col("code") - 1).cast("int").alias("code"))
+
+
 def fit_vocabulary_union(frames: Sequence[DataFrame], col: str) -> DataFrame:
     """Vocabulary of train ∪ test (competition scripts)."""
     u = frames[0].select(col)

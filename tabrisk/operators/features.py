@@ -8,7 +8,7 @@ is three projections, not 125 nested ``withColumn`` nodes.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,9 +84,9 @@ STRESS_MAP = {"low": 1, "medium": 2, "high": 3}
 SLEEP_Q_MAP = {"poor": 1, "fair": 2, "good": 3, "excellent": 4}
 ACTIVITY_MAP = {"sedentary": 1, "moderate": 2, "active": 3, "very active": 4}
 SMOKE_MAP = {"no": 0, "yes": 1}
-ORDINAL_DEFAULTS = {"stress_ord": 2, "sleep_q_ord": 2, "activity_ord": 2, "smoke_ord": 0}
+ORDINAL_DEFAULTS = {"stress_num": 2, "sleep_q_num": 2, "activity_num": 2, "smoke_num": 0}
 # Notebook variant of the sleep-quality and stress dictionaries.
-SLEEP_Q_MAP_NOTEBOOK = {"poor": 1, "average": 2, "good": 3}
+SLEEP_Q_MAP_NOTEBOOK = {"poor": 1, "average": 2, "good": 3, "excellent": 4}
 STRESS_MAP_NOTEBOOK = {"low": 1, "medium": 2, "high": 3}
 
 RATIOS = [
@@ -98,8 +98,8 @@ RATIOS = [
 ]
 EXTRA_RATIOS = [
     ratio("calorie_per_step", "calorie_expenditure", "step_count", 1.0, level=1),
-    ratio("sleep_per_stress", "sleep_duration", "stress_ord", 0.1, level=2),
-    ratio("bmi_per_activity", "bmi", "activity_ord", 0.1, level=2),
+    ratio("sleep_per_stress", "sleep_duration", "stress_num", 0.1, level=2),
+    ratio("bmi_per_activity", "bmi", "activity_num", 0.1, level=2),
 ]
 
 FLAGS = [
@@ -115,60 +115,60 @@ EXTRA_FLAGS = [
     Feature("is_overweight", ("bmi",), lambda: interval_flag("bmi", 25.0, 30.0, hi_closed=False)),
     Feature("is_underweight", ("bmi",), lambda: threshold_flag("bmi", "<", 18.5)),
     Feature("is_very_active", ("step_count",), lambda: threshold_flag("step_count", ">=", 12000)),
-    Feature("is_high_stress", ("stress_ord",), lambda: threshold_flag("stress_ord", "==", 3), level=2),
-    Feature("is_smoker", ("smoke_ord",), lambda: threshold_flag("smoke_ord", "==", 1), level=2),
-    Feature("is_excellent_sleep", ("sleep_q_ord",), lambda: threshold_flag("sleep_q_ord", "==", 4), level=2),
-    Feature("is_poor_sleep", ("sleep_q_ord",), lambda: threshold_flag("sleep_q_ord", "==", 1), level=2),
+    Feature("is_high_stress", ("stress_num",), lambda: threshold_flag("stress_num", "==", 3), level=2),
+    Feature("is_smoker", ("smoke_num",), lambda: threshold_flag("smoke_num", "==", 1), level=2),
+    Feature("is_excellent_sleep", ("sleep_q_num",), lambda: threshold_flag("sleep_q_num", "==", 4), level=2),
+    Feature("is_poor_sleep", ("sleep_q_num",), lambda: threshold_flag("sleep_q_num", "==", 1), level=2),
 ]
 
 ORDINALS = [
-    Feature("stress_ord", ("stress_level",), lambda: ordinal_map("stress_level", STRESS_MAP, 2)),
-    Feature("sleep_q_ord", ("sleep_quality",), lambda: ordinal_map("sleep_quality", SLEEP_Q_MAP, 2)),
-    Feature("activity_ord", ("physical_activity_level",),
+    Feature("stress_num", ("stress_level",), lambda: ordinal_map("stress_level", STRESS_MAP, 2)),
+    Feature("sleep_q_num", ("sleep_quality",), lambda: ordinal_map("sleep_quality", SLEEP_Q_MAP, 2)),
+    Feature("activity_num", ("physical_activity_level",),
             lambda: ordinal_map("physical_activity_level", ACTIVITY_MAP, 2)),
-    Feature("smoke_ord", ("smoking_alcohol",), lambda: ordinal_map("smoking_alcohol", SMOKE_MAP, 0)),
+    Feature("smoke_num", ("smoking_alcohol",), lambda: ordinal_map("smoking_alcohol", SMOKE_MAP, 0)),
 ]
 
 NONLINEAR = [
     Feature("bmi_sq", ("bmi",), lambda: col("bmi") * col("bmi")),
-    Feature("heart_rate_sq", ("heart_rate",), lambda: col("heart_rate") * col("heart_rate")),
-    Feature("sleep_sq", ("sleep_duration",), lambda: col("sleep_duration") * col("sleep_duration")),
-    Feature("log_steps", ("step_count",), lambda: F.log1p("step_count")),
-    Feature("log_calorie", ("calorie_expenditure",), lambda: F.log1p("calorie_expenditure")),
-    Feature("log_exercise", ("exercise_duration",), lambda: F.log1p("exercise_duration")),
-    Feature("sqrt_bmi", ("bmi",), lambda: F.sqrt(clip_lower("bmi", 0.0))),
+    Feature("hr_sq", ("heart_rate",), lambda: col("heart_rate") * col("heart_rate")),
+    Feature("sleep_duration_sq", ("sleep_duration",), lambda: col("sleep_duration") * col("sleep_duration")),
+    Feature("step_log", ("step_count",), lambda: F.log1p("step_count")),
+    Feature("calorie_log", ("calorie_expenditure",), lambda: F.log1p("calorie_expenditure")),
+    Feature("exercise_log", ("exercise_duration",), lambda: F.log1p("exercise_duration")),
+    Feature("bmi_sqrt", ("bmi",), lambda: F.sqrt(clip_lower("bmi", 0.0))),
 ]
 
 
-def _risk_index() -> Column:
-    weighted = weighted_sum({"bmi": 0.4, "heart_rate": 0.3, "stress_ord": 5.0, "smoke_ord": 10.0, "sleep_quality_index": -2.0})
+def _health_risk() -> Column:
+    weighted = weighted_sum({"bmi": 0.4, "heart_rate": 0.3, "stress_num": 5.0, "smoke_num": 10.0, "sleep_quality_index": -2.0})
     return weighted - col("step_count") / F.lit(1000.0)
 
 
-def _wellness_index() -> Column:
-    return weighted_sum({"sleep_q_ord": 3.0, "activity_ord": 2.0}) + F.log1p("step_count") + weighted_sum({"stress_ord": -2.0, "smoke_ord": -5.0})
+def _wellness() -> Column:
+    return weighted_sum({"sleep_q_num": 3.0, "activity_num": 2.0}) + F.log1p("step_count") + weighted_sum({"stress_num": -2.0, "smoke_num": -5.0})
 
 
 COMPOSITES = [
-    Feature("sleep_quality_index", ("sleep_duration", "sleep_q_ord"),
-            lambda: col("sleep_duration") * col("sleep_q_ord"), level=2),
-    Feature("stress_bmi_load", ("bmi", "stress_ord"), lambda: col("bmi") * col("stress_ord"), level=2),
-    Feature("cardio_strain", ("heart_rate", "stress_ord", "sleep_duration"),
-            lambda: guarded_ratio(col("heart_rate") * col("stress_ord"), "sleep_duration", 0.5), level=2),
-    Feature("recovery_index", ("sleep_duration", "sleep_q_ord", "stress_ord"),
-            lambda: guarded_ratio(col("sleep_duration") * col("sleep_q_ord"), "stress_ord", 0.1), level=2),
-    Feature("cardio_fitness", ("step_count", "heart_rate", "activity_ord"),
-            lambda: guarded_ratio("step_count", "heart_rate", 1.0) * col("activity_ord"), level=2),
-    Feature("risk_index", ("bmi", "heart_rate", "stress_ord", "smoke_ord", "step_count"),
-            _risk_index, level=3),
-    Feature("wellness_index", ("sleep_q_ord", "activity_ord", "step_count", "stress_ord", "smoke_ord"),
-            _wellness_index, level=2),
-    Feature("stress_smoke_bmi", ("stress_ord", "smoke_ord", "bmi"),
-            lambda: col("stress_ord") * col("smoke_ord") * col("bmi"), level=2),
-    Feature("active_sleep_stress", ("activity_ord", "sleep_q_ord", "stress_ord"),
-            lambda: guarded_ratio(col("activity_ord") * col("sleep_q_ord"), "stress_ord", 0.1), level=2),
-    Feature("risk_activity_combo", ("risk_index", "activity_ord"),
-            lambda: guarded_ratio("risk_index", "activity_ord", 0.1), level=4),
+    Feature("sleep_quality_index", ("sleep_duration", "sleep_q_num"),
+            lambda: col("sleep_duration") * col("sleep_q_num"), level=2),
+    Feature("stress_bmi_load", ("bmi", "stress_num"), lambda: col("bmi") * col("stress_num"), level=2),
+    Feature("cardio_strain", ("heart_rate", "stress_num", "sleep_duration"),
+            lambda: guarded_ratio(col("heart_rate") * col("stress_num"), "sleep_duration", 0.5), level=2),
+    Feature("recovery_index", ("sleep_duration", "sleep_q_num", "stress_num"),
+            lambda: guarded_ratio(col("sleep_duration") * col("sleep_q_num"), "stress_num", 0.1), level=2),
+    Feature("cardio_fitness", ("step_count", "heart_rate", "activity_num"),
+            lambda: guarded_ratio("step_count", "heart_rate", 1.0) * col("activity_num"), level=2),
+    Feature("health_risk_score", ("bmi", "heart_rate", "stress_num", "smoke_num", "step_count"),
+            _health_risk, level=3),
+    Feature("wellness_score", ("sleep_q_num", "activity_num", "step_count", "stress_num", "smoke_num"),
+            _wellness, level=2),
+    Feature("stress_smoke_bmi", ("stress_num", "smoke_num", "bmi"),
+            lambda: col("stress_num") * col("smoke_num") * col("bmi"), level=2),
+    Feature("active_sleep_stress", ("activity_num", "sleep_q_num", "stress_num"),
+            lambda: guarded_ratio(col("activity_num") * col("sleep_q_num"), "stress_num", 0.1), level=2),
+    Feature("risk_activity_combo", ("health_risk_score", "activity_num"),
+            lambda: guarded_ratio("health_risk_score", "activity_num", 0.1), level=4),
 ]
 
 
@@ -197,19 +197,38 @@ def preset_notebook(df: DataFrame, fitted_minmax: dict | None = None) -> DataFra
     specs = [RATIOS[0], RATIOS[1],
              Feature("sleep_score", ("sleep_duration", "sleep_quality"),
                      lambda: col("sleep_duration") * ordinal_map("sleep_quality", SLEEP_Q_MAP_NOTEBOOK, 2)),
-             Feature("bmi_category", ("bmi",), lambda: bmi_bin_right_closed().cast("string")),
+             Feature("bmi_category", ("bmi",), lambda: bin_right_closed("bmi", BMI_EDGES, BMI_NAMES)),
              Feature("stress_sleep_ratio", ("stress_level", "sleep_duration"),
                      lambda: guarded_ratio(ordinal_map("stress_level", STRESS_MAP_NOTEBOOK, 2), "sleep_duration", 1.0))]
     return apply_features(out, specs)
 
 
 def preset_champion(df: DataFrame) -> DataFrame:
-    """13 raw + 5 ratios + 7 flags (group deviations are added by ``groups``) = 25 (+4)."""
-    return apply_features(df, RATIOS + FLAGS)
+    """13 raw + 5 ratios + 7 flags + 4 group deviations = 29; without the group columns, these are left out."""
+    from tabrisk.operators.groups import group_diff
+    out = apply_features(df, RATIOS + FLAGS)
+    cols = [c for c in GROUP_DIFF_COLS if c in out.columns]
+    if not cols or not set(KEYSETS_ULTRA[0]) <= set(out.columns):
+        return out
+    return group_diff(out, KEYSETS_ULTRA[0], cols, decimal_scale=DECIMALS,
+                      diff_name="{col}_diff_from_group_mean")
+
+
+def code_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Each category replaced by its position among the column's sorted distinct values."""
+    from tabrisk.operators.encode import fit_vocabularies, label_encode
+    vocabularies = fit_vocabularies(df, cols)
+    out = df
+    for c in cols:
+        out = label_encode(out, c, vocabularies.where(col("column_name") == c), out=f"__code_{c}")
+    return out.select(*[col(f"__code_{c}").alias(c) if c in cols else col(c) for c in df.columns])
 
 
 def preset_bundle(df: DataFrame) -> DataFrame:
-    """Production bundle over label-coded categories: ratios, raw health_score, flags, 4 zero columns."""
+    """Production bundle: the BMI category is named first, the seven categories are coded (``df``'s own
+    vocabularies), then ratios, raw health_score, flags and 4 zero columns over the codes = 33."""
+    coded = apply_features(df, [Feature("bmi_category", ("bmi",), bmi_bin_left_closed)])
+    coded = code_categories(coded, [c for c in CATEGORIES + ["bmi_category"] if c in coded.columns])
     raw_sum = Feature("health_score", tuple(POSITIVE + NEGATIVE), lambda: (
         sum((col(c) for c in POSITIVE[1:]), col(POSITIVE[0])) - (col(NEGATIVE[0]) + col(NEGATIVE[1]))))
     specs = RATIOS + [raw_sum] + [
@@ -218,11 +237,8 @@ def preset_bundle(df: DataFrame) -> DataFrame:
     ] + FLAGS + [
         Feature("stress_sleep_ratio", ("stress_level", "sleep_duration"),
                 lambda: guarded_ratio("stress_level", "sleep_duration", 1.0)),
-        Feature("bmi_category", ("bmi",), bmi_bin_left_closed),
-    ] + [Feature(f"{c}_diff_from_group_mean", (), lambda: F.lit(0.0), level=9)
-         for c in ["heart_rate", "bmi", "step_count", "calorie_expenditure"]]
-    out = apply_features(df, specs)
-    return out
+    ] + [Feature(f"{c}_diff_from_group_mean", (), lambda: F.lit(0.0), level=9) for c in GROUP_DIFF_COLS]
+    return apply_features(coded, specs)
 
 
 def preset_extended(df: DataFrame) -> DataFrame:
@@ -231,28 +247,38 @@ def preset_extended(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Group key sets and aggregated columns of the wide competition sets.
+# Categories, group key sets, aggregated columns and output names of the competition sets.
 # ---------------------------------------------------------------------------
+CATEGORIES = ["gender", "diet_type", "smoking_alcohol", "sleep_quality", "stress_level", "physical_activity_level"]
+GROUP_DIFF_COLS = ["heart_rate", "bmi", "step_count", "calorie_expenditure"]
 KEYSETS_ULTRA = [["gender", "physical_activity_level"], ["gender", "diet_type"], ["stress_level", "sleep_quality"]]
 KEYSETS_MASTER = KEYSETS_ULTRA + [["gender", "smoking_alcohol"]]
 KEYSETS_ULTIMATE = KEYSETS_MASTER + [["physical_activity_level", "diet_type"]]
 AGG_ULTRA = ["heart_rate", "bmi", "step_count", "calorie_expenditure", "sleep_duration"]
-AGG_MASTER = AGG_ULTRA + ["risk_index"]
-AGG_ULTIMATE = AGG_ULTRA + ["risk_index", "wellness_index"]
+AGG_MASTER = AGG_ULTRA + ["unhealth_risk_index"]
+AGG_ULTIMATE = AGG_ULTRA + ["health_risk_score", "wellness_score"]
+MASTER_NAMES = {"bmi_sq": "bmi_squared", "hr_sq": "heart_rate_squared", "step_log": "step_count_log",
+                "health_risk_score": "unhealth_risk_index"}
+# Measured columns have at most two decimals and the risk score four: their group sums are exact.
+DECIMALS = {**{c: 2 for c in AGG_ULTRA}, "unhealth_risk_index": 4, "health_risk_score": 4}
 
 _ALL = {f.name: f for f in ORDINALS + RATIOS + EXTRA_RATIOS + NONLINEAR + COMPOSITES + FLAGS + EXTRA_FLAGS}
 
 
-def _pick(names: Sequence[str]) -> list[Feature]:
-    return [_ALL[n] for n in names]
+def _pick(names: Sequence[str], renamed: dict[str, str] | None = None) -> list[Feature]:
+    return [replace(_ALL[n], name=(renamed or {}).get(n, n)) for n in names]
 
 
-def _wide_preset(df: DataFrame, names: Sequence[str], key_sets, agg_cols) -> DataFrame:
+def _wide_preset(df: DataFrame, specs: Sequence[Feature], key_sets, agg_cols,
+                 diff_name: str = "{col}_diff_{keys}") -> DataFrame:
     from tabrisk.operators.groups import group_features_multi
-    out = apply_features(df, _pick(names))
+    out = apply_features(df, specs)
     present = [c for c in agg_cols if c in out.columns]
     sets = [ks for ks in key_sets if set(ks) <= set(out.columns)]
-    return group_features_multi(out, sets, present) if sets and present else out
+    if not sets or not present:
+        return out
+    return group_features_multi(out, sets, present, decimal_scale=DECIMALS,
+                                diff_name=diff_name, z_name="{col}_zscore_{keys}")
 
 
 _RATIO6 = [f.name for f in RATIOS] + ["calorie_per_step"]
@@ -261,28 +287,28 @@ _FLAGS8 = [f.name for f in FLAGS] + ["is_high_stress"]
 
 def preset_ultra(df: DataFrame) -> DataFrame:
     """13 raw + 3 ordinals + 6 ratios + 3 indices + 8 flags + 3 key sets × 5 columns × (diff, z) = 63."""
-    names = ["stress_ord", "sleep_q_ord", "activity_ord"] + _RATIO6 + [
+    names = ["stress_num", "sleep_q_num", "activity_num"] + _RATIO6 + [
         "sleep_quality_index", "stress_bmi_load", "cardio_strain"] + _FLAGS8
-    return _wide_preset(df, names, KEYSETS_ULTRA, AGG_ULTRA)
+    return _wide_preset(df, _pick(names), KEYSETS_ULTRA, AGG_ULTRA, diff_name="{col}_diff_from_{keys}")
 
 
 def preset_master(df: DataFrame) -> DataFrame:
     """13 raw + 4 ordinals + 6 ratios + 4 non-linear + 4 indices + 8 flags + 4 × 6 × 2 = 87."""
-    names = [f.name for f in ORDINALS] + _RATIO6 + ["bmi_sq", "heart_rate_sq", "sleep_sq", "log_steps"] + [
-        "sleep_quality_index", "stress_bmi_load", "cardio_strain", "risk_index"] + _FLAGS8
-    return _wide_preset(df, names, KEYSETS_MASTER, AGG_MASTER)
+    names = [f.name for f in ORDINALS] + _RATIO6 + ["bmi_sq", "hr_sq", "sleep_duration_sq", "step_log"] + [
+        "sleep_quality_index", "stress_bmi_load", "cardio_strain", "health_risk_score"] + _FLAGS8
+    return _wide_preset(df, _pick(names, MASTER_NAMES), KEYSETS_MASTER, AGG_MASTER)
 
 
 def preset_ultimate(df: DataFrame) -> DataFrame:
     """13 raw + 4 ordinals + 8 ratios + 6 non-linear + 7 indices + 14 flags + 3 triples + 5 × 7 × 2 = 125."""
     names = ([f.name for f in ORDINALS] + _RATIO6 + ["sleep_per_stress", "bmi_per_activity"]
-             + ["bmi_sq", "heart_rate_sq", "log_steps", "log_calorie", "log_exercise", "sqrt_bmi"]
-             + ["sleep_quality_index", "stress_bmi_load", "cardio_strain", "risk_index", "wellness_index",
+             + ["bmi_sq", "hr_sq", "step_log", "calorie_log", "exercise_log", "bmi_sqrt"]
+             + ["sleep_quality_index", "stress_bmi_load", "cardio_strain", "health_risk_score", "wellness_score",
                 "recovery_index", "cardio_fitness"]
              + [f.name for f in FLAGS] + ["is_overweight", "is_underweight", "is_very_active", "is_high_stress",
                                           "is_smoker", "is_excellent_sleep", "is_poor_sleep"]
              + ["stress_smoke_bmi", "active_sleep_stress", "risk_activity_combo"])
-    return _wide_preset(df, names, KEYSETS_ULTIMATE, AGG_ULTIMATE)
+    return _wide_preset(df, _pick(names), KEYSETS_ULTIMATE, AGG_ULTIMATE)
 
 
 PRESETS = {"fast": preset_fast, "notebook": preset_notebook, "champion": preset_champion,

@@ -21,12 +21,15 @@ def join_small(fact: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     path = scratch_path(fact.sparkSession, "small")
     small.write.parquet(path)
     right = fact.sparkSession.read.schema(small.schema).parquet(path)
-    if not null_safe:
-        return fact.join(right, list(on), how)
+    return null_safe_join(fact, right, on, how) if null_safe else fact.join(right, list(on), how)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``on`` in which NULL keys meet NULL keys; the key columns come from ``left``."""
     renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in on],
                            *[c for c in right.columns if c not in on])
     cond = None
     for k in on:
-        e = fact[k].eqNullSafe(renamed[f"__r_{k}"])
+        e = left[k].eqNullSafe(renamed[f"__r_{k}"])
         cond = e if cond is None else cond & e
-    return fact.join(renamed, cond, how).drop(*[f"__r_{k}" for k in on])
+    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in on])

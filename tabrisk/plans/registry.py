@@ -38,6 +38,7 @@ def load_all() -> None:
         features,
         io_plans,
         metrics_plans,
+        presets,
         models_plans,
         profiling,
         knn_plans,

@@ -58,7 +58,7 @@ def test_guarded_ratio(spark):
 def test_ordinal_defaults(spark):
     df = spark.createDataFrame([("average", "occasional")], "sleep_quality string, smoking_alcohol string")
     out = feat.apply_features(df, feat.ORDINALS).first()
-    assert out["sleep_q_ord"] == 2 and out["smoke_ord"] == 0
+    assert out["sleep_q_num"] == 2 and out["smoke_num"] == 0
 
 
 def test_argmax_first_on_ties(spark):
@@ -140,9 +140,21 @@ def _health(spark):
     return spark.createDataFrame(rows, HEALTH_COLS)
 
 
-@pytest.mark.parametrize("preset,total", [("ultra", 63), ("master", 87), ("ultimate", 125)])
+@pytest.mark.parametrize("preset,total", [("champion", 29), ("bundle", 33), ("ultra", 63), ("master", 87), ("ultimate", 125)])
 def test_wide_presets_feature_counts(spark, preset, total):
     df = _health(spark)
     out = feat.PRESETS[preset](df)
     assert len(out.columns) - 1 == total  # minus the id
     assert out.count() == 3
+
+
+def test_notebook_preset_maps_and_names(spark):
+    out = {r["id"]: r for r in feat.preset_notebook(_health(spark)).collect()}
+    assert out[3]["sleep_score"] == 8.0 * 4 and out[1]["bmi_category"] == "normal" and out[2]["bmi_category"] == "obese"
+    assert out[2]["stress_sleep_ratio"] == 3 / 6.0
+
+
+def test_bundle_preset_codes_sorted_categories(spark):
+    out = {r["id"]: r for r in feat.preset_bundle(_health(spark)).collect()}
+    assert [out[i]["sleep_quality"] for i in (1, 2, 3)] == [1, 2, 0]  # excellent < good < poor
+    assert out[2]["sleep_score"] == 10.0 and out[2]["bmi_category"] == 1 and out[2]["bmi_diff_from_group_mean"] == 0.0

@@ -26,6 +26,42 @@ def test_group_stats_broadcast_in_plan(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
 
 
+def test_shared_pass_group_features_equal_one_pass_per_key_set(spark):
+    """Null keys, null and NaN values, a singleton group and a large offset, against a join per key set."""
+    rows = [(i, None if i % 7 == 0 else f"a{i % 3}", f"b{i % 4}", None if i % 5 == 0 else "c",
+             float("nan") if i % 11 == 0 else (None if i % 13 == 0 else 1e9 + i * 0.25)) for i in range(300)]
+    df = spark.createDataFrame([*rows, (1000, "only", "b0", "c", 5.0)], "id long, a string, b string, c string, x double")
+    sets = [["a", "b"], ["c"], ["b", "c"]]
+    got = {r["id"]: r for r in groups.group_features_multi(df, sets, ["x"]).collect()}
+    want = {r["id"]: r for r in groups.group_features_multi(df, sets, ["x"], fit=df).collect()}
+    assert got.keys() == want.keys() and len(got) == 301
+    assert set(next(iter(got.values())).asDict()) == set(next(iter(want.values())).asDict())
+    for k, w in want.items():
+        for c, v in w.asDict().items():
+            g = got[k][c]
+            if isinstance(v, float) and c != "x":
+                assert g == v or (math.isnan(g) and math.isnan(v)) or math.isclose(g, v, rel_tol=1e-6, abs_tol=1e-5)
+            elif c != "x":
+                assert g == v
+    assert got[1000]["x_z_a_b"] == 0.0
+
+
+def test_shared_pass_group_features_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id long, a string, b string, x double")
+    out = groups.group_features_multi(df, [["a"], ["a", "b"]], ["x"])
+    assert out.columns == ["id", "a", "b", "x", "x_diff_a", "x_z_a", "x_diff_a_b", "x_z_a_b"] and out.count() == 0
+
+
+def test_shared_pass_reads_the_rows_twice(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(i, str(i % 2), str(i % 3), float(i)) for i in range(20)],
+                          "id long, a string, b string, x double").write.parquet(path)
+    out = groups.group_features_multi(spark.read.parquet(path), [["a"], ["b"], ["a", "b"]], ["x"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # One scan here; the other made the cells. All statistics come back by one join.
+    assert plan.count("Join") == 1 and "Expand" not in plan
+
+
 def test_standard_scale_population_std(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (8.0,)], "x double")
     sc = encode.fit_scaler(df, ["x"])
