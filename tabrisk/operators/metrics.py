@@ -31,6 +31,14 @@ def confusion(df: DataFrame, label: str, pred: str, by: Sequence[str] = (),
             .select(*by, "label", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
+def confusion_wide(conf: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """A row per true class, a column ``pred_{class}`` per predicted class, zeros included; from ``confusion``'s cells."""
+    names = F.array(*[F.lit(c) for c in classes])
+    return conf.groupBy(F.element_at(names, F.col("label") + 1).alias("label")).agg(*[
+        F.coalesce(F.sum(F.when(F.col("pred") == i, F.col("n"))), F.lit(0)).cast("long").alias(f"pred_{c}")
+        for i, c in enumerate(classes)])
+
+
 def per_class(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``(by, class, support, n_pred, tp, precision, recall, f1)`` for classes seen anywhere."""
     by = list(by)

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -351,7 +351,20 @@ def _finish(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, e
 
 
 def _fit_predict_by_level(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray, stops: tuple[int, ...], depths: tuple[int, ...]) -> DataFrame:
-    spark, n_features = rows.sparkSession, len(edges)
+    models, starts = _grow_by_level(rows, fits, k, edges)
+    parts = [_apply(rows, i, f, models[i], starts.get(i), k, len(edges), stops, depths) for i, f in enumerate(fits)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    spark = rows.sparkSession
+    path = scratch_path(spark, "fits")
+    out.write.parquet(path)
+    return _summed(spark.read.schema(_OUT).parquet(path), fits, k, stops)
+
+
+def _grow_by_level(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray) -> tuple[dict[int, list], dict[int, np.ndarray]]:
+    """Each fit's trees (a boosting fit's by round and class) and the boosting fits' starting scores."""
+    n_features = len(edges)
     boosted = [i for i, f in enumerate(fits) if isinstance(f.setting, Boosting)]
     slots = {i: s for s, i in enumerate(boosted)}
     models: dict[int, list] = {i: [] for i in range(len(fits))}
@@ -379,13 +392,7 @@ def _fit_predict_by_level(rows: DataFrame, fits: Sequence[Fit], k: int, edges: n
                 totals = _totals(rows, fits, which, k, n_features, 0, {}, {})
                 work = _start(fits, [(i, t, trees.tree_seed(f.seed, t, 0)) for _, t in which], totals, n_features)
                 models[i] += _finish(rows, fits, work, k, edges, 0, {}, {})
-    parts = [_apply(rows, i, f, models[i], starts.get(i), k, n_features, stops, depths) for i, f in enumerate(fits)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    path = scratch_path(spark, "fits")
-    out.write.parquet(path)
-    return _summed(spark.read.schema(_OUT).parquet(path), fits, k, stops)
+    return models, starts
 
 
 def _priors(rows: DataFrame, fits: Sequence[Fit], which: Sequence[int], k: int) -> dict[int, np.ndarray]:
@@ -445,6 +452,70 @@ def _apply(rows: DataFrame, i: int, f: Fit, model: list, start: np.ndarray | Non
     return asked.mapInArrow(run, _OUT)
 
 
+# --- models that are kept --------------------------------------------------------------------------------
+
+TREE_ROWS = "round int, class int, feature array<int>, cut array<int>, left array<int>, value array<double>"
+
+
+def _tree_row(t: Tree, setting: Boosting, round_no: int, c: int) -> dict:
+    return {"round": round_no, "class": c, "feature": t.feature.tolist(), "cut": t.cut.tolist(), "left": t.left.tolist(),
+            "value": trees.leaf_scores(t, setting).tolist()}
+
+
+def fit_boosting(rows: DataFrame, fit: Fit, k: int, edges: np.ndarray) -> tuple[DataFrame, list[float]]:
+    """A boosting model as a written table of trees (``TREE_ROWS``, a row per round and class) and its starting scores.
+
+    The table's size depends on the setting only."""
+    spark, s, n_features = rows.sparkSession, fit.setting, len(edges)
+    path = scratch_path(spark, "trees")
+    if fits_one_task(rows, n_features):
+        def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+            p = p.sort_values("id", kind="stable")
+            bins, y, ids = unpack(p, n_features), p["y"].to_numpy(), p["id"].to_numpy()
+            w = p["w"].fillna(0.0).to_numpy() if s.balanced else np.ones(len(p))
+            learn = _learns(fit, y, p["fold"].to_numpy(), p["learn"].to_numpy().astype(bool))
+            _, rounds, _ = trees.boost(bins, np.maximum(y, 0), w, ids, learn, k, s, fit.seed, edges)
+            return pd.DataFrame([_tree_row(t, s, r, c) for r, by_class in enumerate(rounds) for c, t in enumerate(by_class)])
+
+        start = _priors(rows, [fit], [0], k)[0]
+        _spread(rows, [0]).groupBy("fit").applyInPandas(one, TREE_ROWS).write.parquet(path)
+    else:
+        models, starts = _grow_by_level(rows, [fit], k, edges)
+        start = starts[0]
+        grown = [_tree_row(t, s, r, c) for r, by_class in enumerate(models[0]) for c, t in enumerate(by_class)]
+        spark.createDataFrame(grown, TREE_ROWS).write.parquet(path)
+    return spark.read.schema(TREE_ROWS).parquet(path), [float(v) for v in start]
+
+
+@dataclass(frozen=True)
+class BoostedModel:
+    """Kept boosting: cut points, starting scores and a table of trees; scores batches and streams alike."""
+    edges: np.ndarray
+    start: list
+    trees: DataFrame
+
+    def proba(self, features: Column) -> Column:
+        """Class probabilities of an array of features (null and NaN: last bin). The trees are collected and
+        broadcast once: rounds x classes of them, whatever the number of rows."""
+        rows = self.trees.orderBy("round", "class").collect()
+        made = [(r["class"], *(np.array(r[n]) for n in ("feature", "cut", "left", "value"))) for r in rows]
+        shared = self.trees.sparkSession.sparkContext.broadcast((made, self.edges, np.array(self.start)))
+
+        @F.pandas_udf("array<double>")
+        def run(x: pd.Series) -> pd.Series:
+            made, edges, start = shared.value
+            wide = np.array([[np.nan] * len(edges) if v is None else v for v in x], float).reshape(len(x), len(edges))
+            bins = np.stack([np.searchsorted(e, np.where(np.isnan(c), np.inf, c)) for e, c in zip(edges, wide.T)], axis=1)
+            raw = np.tile(start, (len(x), 1))
+            for c, feature, cut, left, value in made:
+                t = Tree(np.zeros(1), 0)
+                t.feature, t.cut, t.left = feature, cut, left
+                raw[:, c] += value[t.descend(bins)]
+            return pd.Series(list(trees.softmax(raw)))
+
+        return run(features)
+
+
 def mean_importances(rows: DataFrame, fit: Fit, k: int, edges: np.ndarray) -> list[float]:
     """Each feature's share of the gain of a forest, averaged over its trees (one group per few trees)."""
     s, n_features = fit.setting, len(edges)

@@ -31,6 +31,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so that its queries register themselves."""
     from tabrisk.plans import (  # noqa: F401
+        bundle_plans,
         checked_models,
         cleaning,
         encoding,

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tabrisk.operators import encode, score
+from tabrisk.operators.bundle import Bundle
 
 
 def score_stream_frame(stream: DataFrame, prep: score.FittedPrep, model, classes: Sequence[str],
@@ -35,3 +36,14 @@ def start_scoring(spark: SparkSession, source_dir: str, schema: T.StructType, pr
     scored = score_stream_frame(stream, prep, model, classes, id_col)
     return (scored.writeStream.format("parquet").option("path", sink_dir)
             .option("checkpointLocation", checkpoint_dir).outputMode("append").start())
+
+
+def start_bundle_scoring(spark: SparkSession, source_dir: str, schema: T.StructType, bundle_path: str, id_col: str,
+                         sink_dir: str, checkpoint_dir: str, max_files_per_trigger: int = 100) -> StreamingQuery:
+    """Score files that land in ``source_dir`` by the saved bundle, as a batch does (``Bundle.score``)."""
+    bundle = Bundle.load(spark, bundle_path)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(source_dir))
+    scored = bundle.score(stream).select(id_col, "pred_code", "pred_label", "proba")
+    return (scored.writeStream.format("parquet").option("path", sink_dir)
+            .option("checkpointLocation", checkpoint_dir).outputMode("append").start())
