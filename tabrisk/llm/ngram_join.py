@@ -284,7 +284,8 @@ def _pairs(i: np.ndarray, j: np.ndarray, node: np.ndarray, meta: np.ndarray, com
     ok = (comp[i] != comp[j]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
     i, j = i[ok], j[ok]
     overlap = -(-(n[i] + n[j]) * percent // (100 + percent))
-    differ = sum(np.bitwise_count(c[i] ^ c[j]).astype(np.int64) for c in bits)
+    # Of signed numbers numpy would count the bits of the absolute value.
+    differ = sum(np.bitwise_count((c[i] ^ c[j]).view(np.uint64)).astype(np.int64) for c in bits)
     ok = differ <= n[i] + n[j] - 2 * overlap
     i, j, overlap = i[ok], j[ok], overlap[ok]
     k = overlap - np.maximum(left_out[i], left_out[j])

@@ -153,6 +153,23 @@ def brute_classes(data):
     return sets, links, union_min(links, range(len(data)))
 
 
+def test_ngram_join_parity_counts_sign_bits(spark, monkeypatch):
+    """Pairs that differ in the highest bit of a parity word are no further apart than others."""
+    bits = [np.array([0, np.iinfo(np.int64).min + 1]), *[np.zeros(2, np.int64)] * 3]
+    a, _, _ = ngram_join._pairs(np.array([1]), np.array([0]), np.array([5, 9]), np.array([100 << 12 | 1] * 2), np.array([5, 9]), bits, 80)
+    assert a.tolist() == [5]
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for family in range(150):
+        words = [f"w{v}" for v in rng.integers(0, 10**9, 60)]
+        near = words[:59] + [f"w{family}x"] if family % 2 else words[:30] + ["z"] + words[31:]
+        rows += [(2 * family, " ".join(words)), (2 * family + 1, " ".join(near))]
+    monkeypatch.setattr(ngram_join, "SEEDS", 1)  # more pairs are left to the prefix join
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_ngram_join_matches_brute_force(docs, data, no_docs, monkeypatch):
     sets, links, comp = brute_classes(data)
     assert len(links) > 50
