@@ -147,3 +147,25 @@ def test_importances(spark, monkeypatch):
     assert sum(got) == pytest.approx(1) and got[0] == max(got) and got[3] == min(got)
     monkeypatch.setattr(tree_models, "GROUP_BYTES", 0)
     assert tree_models.mean_importances(rows, fit, 3, edges) == pytest.approx(got)
+
+
+def test_boosting_walks_down_only_rows_it_has_not_placed(monkeypatch):
+    """Growing a tree already places the rows that it uses; only other rows walk down from the root."""
+    rng = np.random.default_rng(4)
+    n = 400
+    bins = rng.integers(0, 30, (n, 3)).astype(np.uint8)
+    y, ids, learn = (bins[:, 0] > 9).astype(int) + (bins[:, 1] > 14), np.arange(n), np.arange(n) % 5 > 0
+    edges = np.tile(np.arange(255.0), (3, 1))
+    for setting in (trees.Boosting(6, 0.3, trees.Growth(leaves=5, least=3)), trees.Boosting(6, 0.3, trees.Growth(depth=3, symmetric=True)),
+                    trees.Boosting(6, 0.3, trees.Growth(depth=4, columns=0.7), rows=0.8)):
+        walked, descend = [], trees.Tree.descend
+        with monkeypatch.context() as m:
+            m.setattr(trees.Tree, "descend", lambda self, b, *rest: walked.append(len(b)) or descend(self, b, *rest))
+            scores, rounds, start = trees.boost(bins, y, np.ones(n), ids, learn, 3, setting, 1, edges)
+        unused = sum(int((trees.rows_of_round(ids[learn], setting, 1, r) == 0).sum()) for r in range(6))
+        assert sum(walked) == 3 * (6 * int((~learn).sum()) + unused)
+        raw = np.tile(start, (n, 1))
+        for by_class in rounds:
+            for c, t in enumerate(by_class):
+                raw[:, c] += trees.leaf_scores(t, setting)[t.descend(bins)]
+        assert (raw == scores[6]).all()
