@@ -179,3 +179,9 @@ def test_weight_search(spark):
             hit[y][1] += 1
         best = max(best, sum(h / n for h, n in hit) / 3)
     assert score >= best - 1e-9
+
+
+def test_forest_pass_holds_little_memory(spark):
+    """Each of an executor's tasks holds the node sums of a pass, and copies of them are merged."""
+    assert models.random_forest(num_trees=200, max_depth=15).getMaxMemoryInMB() <= 256
+    assert models.random_forest(num_trees=150, max_depth=16, bootstrap=False).getMaxMemoryInMB() <= 256
