@@ -88,6 +88,17 @@ def fits_one_task(rows: DataFrame, n_features: int) -> bool:
     return rows.count() * (n_features + ROW_BYTES) <= GROUP_BYTES
 
 
+def alike(rows: DataFrame) -> DataFrame:
+    """Rows alike in bins, label, weight, fold and use as one row with their number ``n``; written once.
+
+    Rounded gradients of equal rows are equal whole numbers, so that trees don't change. A table whose features take few
+    values shrinks to their combinations; any other stays as long as it was."""
+    path = scratch_path(rows.sparkSession, "alike")
+    got = rows.groupBy("bins", "y", "w", "fold", "learn").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    got.write.parquet(path)
+    return rows.sparkSession.read.schema(got.schema).parquet(path)
+
+
 # --- one group per fit ---------------------------------------------------------------------------------
 
 _OUT = "fit int, stop int, depth int, id bigint, proba array<double>"
@@ -468,17 +479,19 @@ def fit_boosting(rows: DataFrame, fit: Fit, k: int, edges: np.ndarray) -> tuple[
     The table's size depends on the setting only."""
     spark, s, n_features = rows.sparkSession, fit.setting, len(edges)
     path = scratch_path(spark, "trees")
-    if fits_one_task(rows, n_features):
+    held = rows if fits_one_task(rows, n_features) else alike(rows) if s.rows >= 1 else None
+    if held is not None and (held is rows or fits_one_task(held, n_features)):
         def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
             p = p.sort_values("id", kind="stable")
             bins, y, ids = unpack(p, n_features), p["y"].to_numpy(), p["id"].to_numpy()
             w = p["w"].fillna(0.0).to_numpy() if s.balanced else np.ones(len(p))
             learn = _learns(fit, y, p["fold"].to_numpy(), p["learn"].to_numpy().astype(bool))
-            _, rounds, _ = trees.boost(bins, np.maximum(y, 0), w, ids, learn, k, s, fit.seed, edges)
+            times = p["n"].to_numpy(float) if "n" in p else None
+            _, rounds, _ = trees.boost(bins, np.maximum(y, 0), w, ids, learn, k, s, fit.seed, edges, times=times)
             return pd.DataFrame([_tree_row(t, s, r, c) for r, by_class in enumerate(rounds) for c, t in enumerate(by_class)])
 
         start = _priors(rows, [fit], [0], k)[0]
-        _spread(rows, [0]).groupBy("fit").applyInPandas(one, TREE_ROWS).write.parquet(path)
+        _spread(held, [0]).groupBy("fit").applyInPandas(one, TREE_ROWS).write.parquet(path)
     else:
         models, starts = _grow_by_level(rows, [fit], k, edges)
         start = starts[0]

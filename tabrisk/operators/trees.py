@@ -218,11 +218,12 @@ def grow(growth: Growth, seed: int, total: np.ndarray, gini: bool) -> Generator[
 
 
 class LocalRows:
-    """Splits from one task's rows. ``channels``: gradient, hessian (or a weight per class) and row counts."""
+    """Splits from one task's rows. ``channels``: gradient, hessian (or a weight per class) and row counts, which are 0 or 1
+    if ``single``."""
 
-    def __init__(self, bins: np.ndarray, channels: list[np.ndarray], growth: Growth, gini: bool, edges: np.ndarray):
+    def __init__(self, bins: np.ndarray, channels: list[np.ndarray], growth: Growth, gini: bool, edges: np.ndarray, single: bool = False):
         self.bins, self.columns = bins, [np.ascontiguousarray(bins[:, f]) for f in range(bins.shape[1])]
-        self.channels, self.growth, self.gini, self.edges = channels, growth, gini, edges
+        self.channels, self.growth, self.gini, self.edges, self.single = channels, growth, gini, edges, single
 
     def total(self) -> np.ndarray:
         return np.array([c.sum() for c in self.channels])
@@ -259,13 +260,13 @@ class LocalRows:
         out = np.empty((n, m, len(self.channels), BINS))
         same = bool((cand == cand[:1]).all())
         base = slot.astype(np.int64) * BINS
-        values = [c[rows] for c in (self.channels if self.gini else self.channels[:-1])]
+        values = [c[rows] for c in (self.channels[:-1] if self.single else self.channels)]
         for j in range(m):
             b = self.columns[cand[0, j]][rows] if same else self.bins[rows, cand[slot, j]]
             at = base + b
             for k, v in enumerate(values):
                 out[:, j, k, :] = np.bincount(at, weights=v, minlength=n * BINS).reshape(n, BINS)
-            if not self.gini:  # every row counts once
+            if self.single:
                 out[:, j, -1, :] = np.bincount(at, minlength=n * BINS).reshape(n, BINS)
         return out
 
@@ -377,10 +378,11 @@ def rows_of_round(ids: np.ndarray, setting: Boosting, seed: int, round_no: int)
 
 
 def boost(bins: np.ndarray, y: np.ndarray, w: np.ndarray, ids: np.ndarray, learn: np.ndarray, k: int, setting: Boosting, seed: int,
-          edges: np.ndarray, stops: tuple[int, ...] = ()) -> tuple[dict[int, np.ndarray], list[list[Tree]], np.ndarray]:
+          edges: np.ndarray, stops: tuple[int, ...] = (), times: np.ndarray | None = None) -> tuple[dict[int, np.ndarray], list[list[Tree]], np.ndarray]:
     """Fit on the rows that ``learn`` names. Returns the raw scores of all rows after each of ``stops`` rounds
-    (and the last), the trees by round and class, and the starting scores."""
-    start = prior(y[learn], w[learn], k)
+    (and the last), the trees by round and class, and the starting scores. ``times``: how many rows each row stands for
+    (only without row shares, which go by id)."""
+    start = prior(y[learn], (w if times is None else w * times)[learn], k)
     rest = ~learn
     lb, ly, lw, li, ob = bins[learn], y[learn], w[learn], ids[learn], bins[rest]
     raw, others = np.tile(start, (len(lb), 1)), np.tile(start, (len(ob), 1))
@@ -390,11 +392,11 @@ def boost(bins: np.ndarray, y: np.ndarray, w: np.ndarray, ids: np.ndarray, learn
         out[learn], out[rest] = raw, others
         return out
 
-    source = LocalRows(lb, [], scaled(setting), False, edges)
+    source = LocalRows(lb, [], scaled(setting), False, edges, single=times is None)
     rounds, scores = [], {}
     for r in range(setting.rounds):
         g, h = gradients(raw, ly, lw, k)
-        use = rows_of_round(li, setting, seed, r)
+        use = rows_of_round(li, setting, seed, r) if times is None else times[learn]
         unused = np.flatnonzero(use == 0)
         trees = []
         for c in range(k):

@@ -87,3 +87,22 @@ def test_stream_scores_as_the_batch_does(spark, fitted, tmpdir_fresh):
         q.stop()
     streamed = spark.read.parquet(sink).orderBy("id").collect()
     assert streamed == fitted.score(df).select("id", "pred_code", "pred_label", "proba").orderBy("id").collect()
+
+
+def test_rows_that_are_alike_are_one_row_of_a_fit(spark, monkeypatch):
+    """A table too large for a task is fitted in one if its combinations of bins, label and weight are few, to the same trees."""
+    from tabrisk.session import checkpoint_dir
+    checkpoint_dir(spark)
+    df = spark.range(600).select("id", F.array((F.col("id") % 5).cast("double"), (F.floor(F.col("id") / 5) % 4).cast("double")).alias("features"),
+                                 F.when(F.col("id") % 7 < 2, F.col("id") % 3).otherwise(F.col("id") % 2).cast("int").alias("label"), (1 + F.col("id") % 2 / 4).alias("weight"),
+                                 F.lit(None).cast("int").alias("fold"), (F.col("id") % 4 != 0).cast("int").alias("is_train"))
+    edges = tree_models.cut_points(df.select(F.col("features").alias("x")))
+    rows, fit = tree_models.binned(df, "id", edges), Fit("m", SMALL)
+    few = tree_models.alike(rows)
+    assert few.count() < 200 and few.agg(F.sum("n")).first()[0] == 600
+    whole, start = tree_models.fit_boosting(rows, fit, 3, edges)
+    monkeypatch.setattr(tree_models, "GROUP_BYTES", few.count() * (2 + tree_models.ROW_BYTES))
+    monkeypatch.setattr(tree_models, "_grow_by_level", None)
+    merged, start_merged = tree_models.fit_boosting(rows, fit, 3, edges)
+    assert start == start_merged
+    assert whole.orderBy("round", "class").collect() == merged.orderBy("round", "class").collect()
