@@ -169,3 +169,29 @@ def test_boosting_walks_down_only_rows_it_has_not_placed(monkeypatch):
             for c, t in enumerate(by_class):
                 raw[:, c] += trees.leaf_scores(t, setting)[t.descend(bins)]
         assert (raw == scores[6]).all()
+
+
+@pytest.mark.parametrize("forest", [
+    Forest(1, Growth(split=5)), Forest(1, Growth(depth=7, split=10, least=3)), Forest(1, Growth(depth=9, split=10, random_cuts=True), bootstrap=False),
+    Forest(1, Growth(leaves=20))])
+def test_small_nodes_split_between_rows_as_by_histograms(monkeypatch, forest):
+    _, bins, y, w, ids = _data()
+
+    def grown(few, chunk):
+        monkeypatch.setattr(trees, "FEW", few)
+        monkeypatch.setattr(trees, "CHUNK", chunk)
+        return [trees.forest_tree(bins, y, w, ids, 3, forest, 42, t, EDGES) for t in range(4)]
+
+    some = grown(64, 100)
+    for other in (grown(0, 1 << 16), grown(10_000, 1 << 16)):
+        for a, b in zip(some, other):
+            assert all((getattr(a, n) == getattr(b, n)).all() for n in ("feature", "cut", "left", "gain", "total"))
+
+
+def test_nodes_of_few_rows_need_no_histograms(monkeypatch):
+    _, bins, y, w, ids = _data()
+    counted = []
+    plain = trees.LocalRows.histograms
+    monkeypatch.setattr(trees.LocalRows, "histograms", lambda self, slot, rows, cand: counted.append(len(cand)) or plain(self, slot, rows, cand))
+    tree = trees.forest_tree(bins, y, w, ids, 3, Forest(1, Growth(split=5)), 42, 0, EDGES)
+    assert sum(counted) * 10 < len(tree)
