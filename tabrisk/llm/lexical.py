@@ -34,6 +34,7 @@ BATCH_BYTES = 8 << 20  # of query text handled at once
 CELLS = 1 << 23  # documents x terms of a shard
 SHARD = 8192  # documents of a shard at most
 BLOCK = 64  # documents of a block, on average
+ENTRIES = 1 << 18  # entries of documents summarised at once
 SKETCH = 32  # random projections of a document
 _FOLD = bytes(c if chr(c).isdigit() and c < 128 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -73,7 +74,8 @@ class Shard:
         self.ids, doc = ids, np.repeat(np.arange(len(ids)), sizes)
         m = 100 - 90 + (90 * n * total_docs) // total_terms
         self.x = np.zeros((len(ids), n_terms), np.int32)  # at most 10^6 each
-        self.x[doc, term] = (1_000_000_000 * tf) // (1000 * tf + 8 * m[doc])
+        self.value = ((1_000_000_000 * tf) // (1000 * tf + 8 * m[doc])).astype(np.int32)  # by entry
+        self.x[doc, term] = self.value
         order = np.argsort(term, kind="stable")
         self.posted = doc[order]
         self.cuts = np.searchsorted(term[order], np.arange(n_terms + 1))
@@ -83,7 +85,7 @@ class Shard:
         near = np.zeros((len(ids), SKETCH), np.float32)
         full = np.flatnonzero(sizes)
         if len(full):
-            weighted = directions[term] * self.x[doc, term, None]
+            weighted = directions[term] * self.value[:, None]
             near[full] = np.add.reduceat(weighted, self.first[full])
         self.near = near / np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-9)
 
@@ -103,17 +105,14 @@ class Shard:
         else:
             start = np.zeros(1, np.int64)
         summary = np.zeros((len(start), self.x.shape[1]), np.int32)
-        size = np.diff(np.concatenate([start, [len(docs)]]))
-        by_size = np.argsort(-size, kind="stable")
-        # Round r takes the r-th document of every block that has one: no block twice, no term of a document twice.
-        for r in range(int(size.max())):
-            live = by_size[:int(np.searchsorted(-size[by_size], -r, side="left"))]
-            d = docs[start[live] + r]
-            count = self.first[d + 1] - self.first[d]
-            total = int(count.sum())
-            where = np.repeat(self.first[d] - (np.cumsum(count) - count), count) + np.arange(total)
-            block, term = np.repeat(live, count), self.term[where]
-            summary[block, term] = np.maximum(summary[block, term], self.x[np.repeat(d, count), term])
+        block = np.repeat(np.arange(len(start)), np.diff(np.concatenate([start, [len(docs)]])))
+        count = self.first[docs + 1] - self.first[docs]
+        part = (np.cumsum(count) - 1) // ENTRIES
+        for at in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(part)) + 1):
+            d, c = docs[at], count[at]
+            where = np.repeat(self.first[d] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
+            cell = np.repeat(block[at] * self.x.shape[1], c) + self.term[where]
+            np.maximum.at(summary.reshape(-1), cell, self.value[where])
         return docs, start, summary
 
 

@@ -216,3 +216,16 @@ def test_threshold_stops_before_the_lists_end():
         others = np.delete(ids, k)
         rank = others[np.lexsort((others, -full[others]))[:5]]
         assert found.tolist() == rank.tolist() and score.tolist() == full[rank].tolist() and scored < 10_000
+
+
+def test_block_summaries_hold_the_largest_weight_of_each_term(monkeypatch):
+    monkeypatch.setattr(lexical, "ENTRIES", 50)  # the table is summarised in several pieces
+    rng = np.random.default_rng(4)
+    held = [np.flatnonzero(rng.random(30) < 0.3) for _ in range(300)]
+    sizes = np.array([len(h) for h in held])
+    term = np.concatenate(held)
+    shard = lexical.Shard(np.arange(300), sizes * 3, sizes, term, rng.integers(1, 5, len(term)), 30, 300, int(sizes.sum()) * 3)
+    for t in range(30):
+        docs, start, summary = shard.blocks(t)
+        assert sorted(docs.tolist()) == shard.postings(t).tolist()
+        assert (summary == np.maximum.reduceat(shard.x[docs], start, axis=0)).all()
