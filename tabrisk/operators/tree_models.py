@@ -6,7 +6,8 @@ All fits that a query needs (settings, folds, seeds) are made together, in one o
 * A binned table under ``GROUP_BYTES`` is copied to one group per fit (and per few trees of a forest) by a keyed
   shuffle, and every group is a task: hundreds of fits are one job.
 * A larger table stays where it is. Every level of the trees in work is one job: tasks send histograms of their rows, summed by
-  node in the shuffle, and only the chosen split of each node reaches the driver. Boosting
+  node in the shuffle, and only the chosen split of each node reaches the driver. A forest's nodes leave this way once their rows
+  fit a task: these rows go to one group per node, which grows the whole subtree. Boosting
   writes the raw scores every ``WRITE_EVERY`` rounds, so that lineage stays short.
 
 Both give the same trees (see ``trees``).
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,9 @@ GROUP_BYTES = 128 << 20  # binned rows that one task may hold
 TREES_PER_GROUP = 10
 WRITE_EVERY = 10
 ROW_BYTES = 40  # of a binned row besides its bins
+TREES_AT_ONCE = 20  # of a forest on a large table, at most
+HIST_BYTES = 64 << 20  # their histograms that a task may hold
+DEALT = 1 << 16  # rows that are dealt to their nodes at once
 
 
 @dataclass(frozen=True)
@@ -124,7 +128,7 @@ def fit_predict(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray,
         if isinstance(f.setting, Boosting):
             jobs.append((i, 0, 0))
         else:
-            ends = sorted({*[s for s in stops if s < f.setting.trees], f.setting.trees, *range(TREES_PER_GROUP, f.setting.trees, TREES_PER_GROUP)})
+            ends = _ends(f.setting.trees, stops, TREES_PER_GROUP)
             jobs += [(i, a, b) for a, b in zip([0, *ends], ends)]
     n_features = len(edges)
 
@@ -194,12 +198,39 @@ class Growing:
     columns: np.ndarray
     run: object
     tree: Tree | None = None
-    front: np.ndarray | None = None
+    front: np.ndarray | None = None  # nodes that a level's job splits
+    open: np.ndarray | None = None  # all nodes that wait for a split
+    waiting: list[int] = field(default_factory=list)  # nodes whose rows go to one task
+
+
+def _subtree_rows(n_features: int) -> int:
+    """Rows of a node, at most, whose subtree is grown in one task."""
+    return GROUP_BYTES // (n_features + ROW_BYTES) // 2
+
+
+def _advance(w: Growing, answer: dict[str, np.ndarray] | None, limit: int) -> None:
+    """Send the splits of ``front``. Nodes of at most ``limit`` rows are put on the waiting list, and stay leaves until then."""
+    limit = limit if w.gini and not w.growth.symmetric and not w.growth.leaves else 0
+    try:
+        w.tree, w.open = next(w.run) if answer is None else w.run.send(answer)
+        while True:
+            few = (w.tree.total[w.open, -1] <= limit) & (limit > 0)
+            w.waiting += w.open[few].tolist()
+            w.front = w.open[~few]
+            if len(w.front):
+                return
+            n, zero = len(w.open), np.zeros((len(w.open), w.tree.total.shape[1]))
+            w.tree, w.open = w.run.send({"gain": np.zeros(n), "feature": np.zeros(n, np.int32), "cut": np.zeros(n, np.int32), "left": zero, "right": zero})
+    except StopIteration as end:
+        w.tree, w.front = end.value, None
 
 
 def _rows_of(b: pa.RecordBatch, n_features: int):
-    p = b.to_pandas()
-    return unpack(p, n_features), p["y"].to_numpy(), p["w"].fillna(0.0).to_numpy(), p["id"].to_numpy(), p["fold"].to_numpy(), p["learn"].to_numpy().astype(bool), p
+    p = b.select([c for c in b.schema.names if c != "bins"]).to_pandas()
+    packed = b.column("bins")  # every value has n_features bytes
+    first = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset]
+    bins = np.frombuffer(packed.buffers()[2], np.uint8)[first:first + len(p) * n_features].reshape(len(p), n_features)
+    return bins, p["y"].to_numpy(), p["w"].fillna(0.0).to_numpy(), p["id"].to_numpy(), p["fold"].to_numpy(), p["learn"].to_numpy().astype(bool), p
 
 
 def _learns(f: Fit, y: np.ndarray, fold: np.ndarray, learn: np.ndarray) -> np.ndarray:
@@ -245,13 +276,15 @@ def _level(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, ed
                 f = fits[fit]
                 if not gini and fit not in raws:
                     raws[fit] = _raw(p, bins, slots[fit], k, grown[fit], f.setting)
-                channels = _channels(f, number, round_no, raws.get(fit), y, w, ids, _learns(f, y, fold, learn), k)
-                source = trees.LocalRows(bins, channels, growth, gini, edges)
-                at = tree.descend(bins)
                 where = np.full(len(tree), -1, np.int32)
                 where[front] = np.arange(len(front))
-                take = np.flatnonzero((where[at] >= 0) & (channels[-1] > 0))
-                hist = source.histograms(where[at[take]], take, trees.candidates(growth, columns, tree.path[front]))
+                slot = where[tree.descend(bins)]
+                here = np.flatnonzero((slot >= 0) & _learns(f, y, fold, learn))
+                raw = None if gini else raws[fit][here]
+                channels = _channels(f, number, round_no, raw, y[here], w[here], ids[here], np.ones(len(here), bool), k)
+                source = trees.LocalRows(bins[here], channels, growth, gini, edges)
+                take = np.flatnonzero(channels[-1] > 0)
+                hist = source.histograms(slot[here[take]], take, trees.candidates(growth, columns, tree.path[front]))
                 held[i] = held[i] + hist if i in held else hist
         for i, h in held.items():
             used = np.flatnonzero(h[:, :, -1].any(axis=(1, 2)))
@@ -297,10 +330,71 @@ def _level(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, ed
         if w.growth.symmetric and any(pick):  # rows of a level share one split, also where a node has no row
             some = next(r for r in pick if r)
             answer["gain"][:], answer["feature"][:], answer["cut"][:] = some["gain"], some["feature"], some["cut"]
-        try:
-            w.tree, w.front = w.run.send(answer)
-        except StopIteration as end:
-            w.tree, w.front = end.value, None
+        if len(w.front) < len(w.open):
+            at, part = np.flatnonzero(np.isin(w.open, w.front)), answer
+            answer = {name: np.zeros((len(w.open), *v.shape[1:]), v.dtype) for name, v in part.items()}
+            for name, v in part.items():
+                answer[name][at] = v
+        _advance(w, answer, _subtree_rows(n_features))
+    state.unpersist()
+
+
+_DEALT = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("bins", pa.binary()), ("y", pa.binary()), ("w", pa.binary()), ("times", pa.binary())])
+
+
+def _subtrees(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, edges: np.ndarray) -> None:
+    """Grow what hangs from the waiting nodes: the rows of each go to one group, many rows as one value."""
+    n_features = len(edges)
+    state = rows.sparkSession.sparkContext.broadcast(pickle.dumps([(w.fit, w.number, w.growth, w.tree, np.array(w.waiting)) for w in work]))
+
+    def dealt(held: list[tuple], now: list[tuple]):
+        bins, y, w, ids, fold, learn = (np.concatenate(c) for c in zip(*held))
+        for i, (fit, number, _, tree, waiting) in enumerate(now):
+            f = fits[fit]
+            use = np.flatnonzero(_learns(f, y, fold, learn))
+            times = trees.draws(ids[use], f.setting, f.seed, number)
+            use, times = use[times > 0], times[times > 0].astype(np.uint8)
+            where = np.full(len(tree), len(waiting), np.int32)
+            where[waiting] = np.arange(len(waiting))
+            slot = where[tree.descend(bins[use])]
+            order = np.argsort(slot, kind="stable")
+            cuts = np.searchsorted(slot[order], np.arange(len(waiting) + 1))
+            out = []
+            for s in np.flatnonzero(np.diff(cuts)).tolist():
+                own = order[cuts[s]:cuts[s + 1]]
+                r = use[own]
+                out.append((i, int(waiting[s]), bins[r].tobytes(), y[r].astype(np.int32).tobytes(), w[r].tobytes(), times[own].tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(zip(*out), _DEALT)], schema=_DEALT)
+
+    def deal(batches):
+        now, held, n = pickle.loads(state.value), [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(_rows_of(b, n_features)[:6])
+                n += b.num_rows
+            if n >= DEALT:
+                yield from dealt(held, now)
+                held, n = [], 0
+        if held:
+            yield from dealt(held, now)
+
+    def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        fit, number, growth, tree, _ = pickle.loads(state.value)[key[0]]
+        f, node = fits[fit], key[1]
+        bins, y, w, times = (np.frombuffer(b"".join(p[c]), t) for c, t in (("bins", np.uint8), ("y", np.int32), ("w", np.float64), ("times", np.uint8)))
+        times = times.astype(float)
+        weight = np.rint((w if f.setting.balanced else np.ones(len(w))) * trees.UNIT) * times
+        source = trees.LocalRows(bins.reshape(len(y), n_features), [np.where(y == c, weight, 0.0) for c in range(k)] + [times], growth, True, edges)
+        sub = source.grow(tree.seed, (tree.path[node], int(tree.depth[node])))
+        return pd.DataFrame({"tree": key[0], "node": node, "sub": [pickle.dumps((sub.feature.astype(np.int16), sub.cut.astype(np.int16), sub.left, sub.gain, sub.total))]})
+
+    groups = rows.mapInArrow(deal, "tree int, node int, bins binary, y binary, w binary, times binary").groupBy("tree", "node")
+    path = scratch_path(rows.sparkSession, "subtrees")
+    schema = "tree int, node int, sub binary"
+    groups.applyInPandas(one, schema).write.parquet(path)
+    for r in rows.sparkSession.read.schema(schema).parquet(path).toLocalIterator():  # the nodes of at most TREES_AT_ONCE trees
+        work[r["tree"]].tree.graft(r["node"], *pickle.loads(r["sub"]))
     state.unpersist()
 
 
@@ -313,10 +407,7 @@ def _start(fits: Sequence[Fit], which: Iterable[tuple[int, int, int]], totals: d
         growth = trees.forest_growth(s, n_features) if gini else trees.scaled(s)
         w = Growing(fit, number, growth, gini, trees.tree_columns(growth, n_features, seed), None)
         w.run = trees.grow(growth, seed, totals[fit, number], gini)
-        try:
-            w.tree, w.front = next(w.run)
-        except StopIteration as end:
-            w.tree, w.front = end.value, None
+        _advance(w, None, _subtree_rows(n_features))
         out.append(w)
     return out
 
@@ -358,27 +449,47 @@ def _finish(rows: DataFrame, fits: Sequence[Fit], work: list[Growing], k: int, e
             if group:
                 _level(rows, fits, group, k, edges, round_no, slots, since)
         plain, one_split = ([w for w in g if w.front is not None] for g in (plain, one_split))
+    if waiting := [w for w in work if w.waiting]:
+        _subtrees(rows, fits, waiting, k, edges)
     return [w.tree for w in work]
 
 
+def _ends(n: int, stops: Iterable[int], step: int) -> list[int]:
+    """Where the groups of a forest's trees end."""
+    return sorted({*[s for s in stops if s < n], n, *range(step, n, step)})
+
+
+def _forest_by_level(rows: DataFrame, fits: Sequence[Fit], i: int, k: int, edges: np.ndarray, stops: Sequence[int] = ()) -> Iterable[tuple[int, list[Tree]]]:
+    """(last, trees) of a forest, some trees at a time: as many as have room for a level's histograms."""
+    f, n_features = fits[i], len(edges)
+    node_bytes = trees.forest_growth(f.setting, n_features).per_node * (k + 1) * BINS * 8
+    nodes = rows.count() // max(_subtree_rows(n_features), 1) + 1
+    ends = _ends(f.setting.trees, stops, max(1, min(TREES_AT_ONCE, HIST_BYTES // (nodes * node_bytes))))
+    for lo, hi in zip([0, *ends], ends):
+        which = [(i, t) for t in range(lo, hi)]
+        totals = _totals(rows, fits, which, k, n_features, 0, {}, {})
+        yield hi, _finish(rows, fits, _start(fits, [(i, t, trees.tree_seed(f.seed, t, 0)) for _, t in which], totals, n_features), k, edges, 0, {}, {})
+
+
 def _fit_predict_by_level(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray, stops: tuple[int, ...], depths: tuple[int, ...]) -> DataFrame:
     models, starts = _grow_by_level(rows, fits, k, edges)
-    parts = [_apply(rows, i, f, models[i], starts.get(i), k, len(edges), stops, depths) for i, f in enumerate(fits)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
     spark = rows.sparkSession
     path = scratch_path(spark, "fits")
-    out.write.parquet(path)
+    for i, f in enumerate(fits):
+        if isinstance(f.setting, Boosting):
+            _apply(rows, i, f, models[i], starts[i], k, len(edges), stops, depths).write.mode("append").parquet(path)
+        else:
+            for last, grown in _forest_by_level(rows, fits, i, k, edges, stops):
+                _votes(rows, i, f, grown, last, len(edges), depths).write.mode("append").parquet(path)
     return _summed(spark.read.schema(_OUT).parquet(path), fits, k, stops)
 
 
 def _grow_by_level(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarray) -> tuple[dict[int, list], dict[int, np.ndarray]]:
-    """Each fit's trees (a boosting fit's by round and class) and the boosting fits' starting scores."""
+    """The boosting fits' trees, by round and class, and starting scores."""
     n_features = len(edges)
     boosted = [i for i, f in enumerate(fits) if isinstance(f.setting, Boosting)]
     slots = {i: s for s, i in enumerate(boosted)}
-    models: dict[int, list] = {i: [] for i in range(len(fits))}
+    models: dict[int, list] = {i: [] for i in boosted}
     starts: dict[int, np.ndarray] = {}
     if boosted:
         starts = _priors(rows, fits, boosted, k)
@@ -396,13 +507,6 @@ def _grow_by_level(rows: DataFrame, fits: Sequence[Fit], k: int, edges: np.ndarr
                 since[i].append(models[i][-1])
             if (r + 1) % WRITE_EVERY == 0:
                 state, since = _advanced(state, fits, boosted, k, n_features, slots, since), {i: [] for i in boosted}
-    for i, f in enumerate(fits):
-        if isinstance(f.setting, Forest):
-            for lo in range(0, f.setting.trees, TREES_PER_GROUP):
-                which = [(i, t) for t in range(lo, min(lo + TREES_PER_GROUP, f.setting.trees))]
-                totals = _totals(rows, fits, which, k, n_features, 0, {}, {})
-                work = _start(fits, [(i, t, trees.tree_seed(f.seed, t, 0)) for _, t in which], totals, n_features)
-                models[i] += _finish(rows, fits, work, k, edges, 0, {}, {})
     return models, starts
 
 
@@ -430,37 +534,50 @@ def _advanced(state: DataFrame, fits: Sequence[Fit], boosted: Sequence[int], k:
     return state.sparkSession.read.schema(state.schema).parquet(path)
 
 
-def _apply(rows: DataFrame, i: int, f: Fit, model: list, start: np.ndarray | None, k: int, n_features: int, stops: tuple[int, ...], depths: tuple[int, ...]) -> DataFrame:
-    """Predictions of a fitted model for the rows it hasn't learnt from, in the form that groups give them."""
+def _asked(rows: DataFrame, f: Fit) -> DataFrame:
+    return rows.where(f"not learn or y < 0 or fold = {f.held}" if f.held >= 0 else "not learn or y < 0")
+
+
+def _predicted(i: int, ids: np.ndarray, stop: int, depth: int, proba: np.ndarray) -> pa.RecordBatch:
+    n = len(ids)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, i), pa.int32()), pa.array(np.full(n, stop), pa.int32()), pa.array(np.full(n, depth), pa.int32()),
+                                       pa.array(ids), pa.array(list(proba), pa.list_(pa.float64()))], names=["fit", "stop", "depth", "id", "proba"])
+
+
+def _apply(rows: DataFrame, i: int, f: Fit, model: list, start: np.ndarray, k: int, n_features: int, stops: tuple[int, ...], depths: tuple[int, ...]) -> DataFrame:
+    """Predictions of a boosting fit for the rows it hasn't learnt from, in the form that groups give them."""
     shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    depths = tuple(sorted(d for d in depths if d)) + ((0,) if 0 in depths else ())
-    asked = rows.where(f"not learn or y < 0 or fold = {f.held}" if f.held >= 0 else "not learn or y < 0")
 
     def run(batches):
         fitted = pickle.loads(shared.value)
         for b in batches:
             if not b.num_rows:
                 continue
-            bins, _, _, ids, _, _, _ = _rows_of(b, n_features)
-            parts = []
-            if isinstance(f.setting, Boosting):
-                raw = np.tile(start, (len(ids), 1))
-                for r, by_class in enumerate(fitted, 1):
-                    for c, t in enumerate(by_class):
-                        raw[:, c] += trees.leaf_scores(t, f.setting)[t.descend(bins)]
-                    if r in stops or r == len(fitted):
-                        parts.append((r, 0, trees.softmax(raw)))
-            else:
-                ends = sorted({*[s for s in stops if s < len(fitted)], len(fitted)})
-                for a, e in zip([0, *ends], ends):
-                    sums = [sum(v) for v in zip(*[trees.forest_votes(t, bins, depths) for t in fitted[a:e]])]
-                    parts += [(e, d, s) for d, s in zip(depths, sums)]
-            for stop, d, proba in parts:
-                n = len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i), pa.int32()), pa.array(np.full(n, stop), pa.int32()), pa.array(np.full(n, d), pa.int32()),
-                                                  pa.array(ids), pa.array(list(proba), pa.list_(pa.float64()))], names=["fit", "stop", "depth", "id", "proba"])
-
-    return asked.mapInArrow(run, _OUT)
+            bins, _, _, ids, *_ = _rows_of(b, n_features)
+            raw = np.tile(start, (len(ids), 1))
+            for r, by_class in enumerate(fitted, 1):
+                for c, t in enumerate(by_class):
+                    raw[:, c] += trees.leaf_scores(t, f.setting)[t.descend(bins)]
+                if r in stops or r == len(fitted):
+                    yield _predicted(i, ids, r, 0, trees.softmax(raw))
+
+    return _asked(rows, f).mapInArrow(run, _OUT)
+
+
+def _votes(rows: DataFrame, i: int, f: Fit, grown: list[Tree], last: int, n_features: int, depths: tuple[int, ...]) -> DataFrame:
+    """Summed votes of some of a forest's trees, for the rows it hasn't learnt from."""
+    shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps(grown))
+    depths = tuple(sorted(d for d in depths if d)) + ((0,) if 0 in depths else ())
+
+    def run(batches):
+        fitted = pickle.loads(shared.value)
+        for b in batches:
+            if b.num_rows:
+                bins, _, _, ids, *_ = _rows_of(b, n_features)
+                for d, proba in zip(depths, [sum(v) for v in zip(*[trees.forest_votes(t, bins, depths) for t in fitted])]):
+                    yield _predicted(i, ids, last, d, proba)
+
+    return _asked(rows, f).mapInArrow(run, _OUT)
 
 
 # --- models that are kept --------------------------------------------------------------------------------
@@ -533,12 +650,8 @@ def mean_importances(rows: DataFrame, fit: Fit, k: int, edges: np.ndarray) -> li
     """Each feature's share of the gain of a forest, averaged over its trees (one group per few trees)."""
     s, n_features = fit.setting, len(edges)
     if not fits_one_task(rows, n_features):
-        found = []
-        for lo in range(0, s.trees, TREES_PER_GROUP):
-            which = [(0, t) for t in range(lo, min(lo + TREES_PER_GROUP, s.trees))]
-            totals = _totals(rows, [fit], which, k, n_features, 0, {}, {})
-            found += _finish(rows, [fit], _start([fit], [(0, t, trees.tree_seed(fit.seed, t, 0)) for _, t in which], totals, n_features), k, edges, 0, {}, {})
-        return trees.importances(found, n_features).tolist()
+        shares = [(len(grown), np.array(trees.importances(grown, n_features))) for _, grown in _forest_by_level(rows, [fit], 0, k, edges)]
+        return (sum(n * share for n, share in shares) / s.trees).tolist()
     starts = list(range(0, s.trees, TREES_PER_GROUP))
 
     def one(key: tuple, p: pd.DataFrame) -> pd.DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Generator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -101,6 +101,16 @@ class Tree:
             setattr(self, name, np.concatenate([old, np.full(2 * len(nodes), empty, old.dtype)]))
         return children
 
+    def graft(self, node: int, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, gain: np.ndarray, total: np.ndarray) -> None:
+        """Hang a subtree's arrays below a leaf; new nodes have no path, so they can't be split any further."""
+        n = len(self)
+        self.feature[node], self.cut[node], self.gain[node] = feature[0], cut[0], gain[0]
+        left = np.where(left >= 0, left + n - 1, -1)
+        self.left[node] = left[0]
+        for name, new in (("feature", feature), ("cut", cut), ("left", left), ("gain", gain), ("total", total)):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, new[1:].astype(old.dtype)]))
+
     def best_first(self, leaves: int) -> set[int]:
         """The nodes that are split if the largest gain goes first, up to ``leaves`` leaves."""
         heap, chosen = [(-self.gain[0], 0)] if self.feature[0] >= 0 else [], set()
@@ -404,12 +414,16 @@ class LocalRows:
         self.kept = (front, hist)
         return best_splits(hist, cand, tree.path[front], self.growth, self.gini, self.edges)
 
-    def grow(self, seed: int) -> Tree:
+    def grow(self, seed: int, below: tuple[int, int] | None = None) -> Tree:
+        """``below``: path and depth of the node of a larger tree that the rows belong to, whose subtree is grown."""
         self.start()
         columns = tree_columns(self.growth, self.bins.shape[1], seed)
-        run = grow(self.growth, seed, self.total(), self.gini)
+        growth = replace(self.growth, depth=self.growth.depth - below[1]) if below and self.growth.depth else self.growth
+        run = grow(growth, seed, self.total(), self.gini)
         try:
             tree, front = next(run)
+            if below:
+                tree.path[0] = below[0]
             while True:
                 got = self.splits(tree, front, columns)
                 if self.kept is not None:  # only nodes that were split have children to subtract from

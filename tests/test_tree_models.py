@@ -195,3 +195,26 @@ def test_nodes_of_few_rows_need_no_histograms(monkeypatch):
     monkeypatch.setattr(trees.LocalRows, "histograms", lambda self, slot, rows, cand: counted.append(len(cand)) or plain(self, slot, rows, cand))
     tree = trees.forest_tree(bins, y, w, ids, 3, Forest(1, Growth(split=5)), 42, 0, EDGES)
     assert sum(counted) * 10 < len(tree)
+
+
+def test_a_large_forests_small_nodes_are_grown_in_one_task(spark, monkeypatch):
+    df = _frame(spark)
+    edges = tree_models.cut_points(df.where("is_train = 1").select(F.col("features").alias("x")))
+    rows = tree_models.binned(df, "key", edges)
+    fits = [tree_models.Fit("f", Forest(3, Growth(split=4)), 2), tree_models.Fit("x", Forest(3, Growth(depth=6, random_cuts=True), bootstrap=False), -1)]
+
+    def fitted():
+        got = tree_models.fit_predict(rows, fits, 3, edges, stops=(2,), depths=(2, 0)).toPandas()
+        return got.sort_values(["fit", "stop", "depth", "id"]).reset_index(drop=True), tree_models.mean_importances(rows, tree_models.Fit("i", fits[0].setting), 3, edges)
+
+    groups, shares = fitted()
+    limit, asked, level = 150, [], tree_models._level
+    monkeypatch.setattr(tree_models, "GROUP_BYTES", limit * 2 * (4 + tree_models.ROW_BYTES))
+    monkeypatch.setattr(tree_models, "DEALT", 70)
+    monkeypatch.setattr(tree_models, "_level", lambda rows, fits, work, *rest: asked.extend(w.tree.total[w.front, -1].min() for w in work) or level(rows, fits, work, *rest))
+    mixed, mixed_shares = fitted()
+    same = ["fit", "name", "held", "part", "stop", "depth", "id"]
+    assert asked and min(asked) > limit
+    assert groups[same].equals(mixed[same])
+    assert np.allclose(np.stack(groups.proba.to_list()), np.stack(mixed.proba.to_list()), atol=1e-12)
+    assert mixed_shares == pytest.approx(shares)
