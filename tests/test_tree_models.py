@@ -218,3 +218,37 @@ def test_a_large_forests_small_nodes_are_grown_in_one_task(spark, monkeypatch):
     assert groups[same].equals(mixed[same])
     assert np.allclose(np.stack(groups.proba.to_list()), np.stack(mixed.proba.to_list()), atol=1e-12)
     assert mixed_shares == pytest.approx(shares)
+
+
+def test_bundled_histograms_equal_plain_ones(monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 6000
+    bins = np.stack([rng.integers(0, v, n) for v in (256, 200, 4, 3, 2, 256, 90, 80, 70, 60, 50, 40, 30)], axis=1).astype(np.uint8)
+    bins[:50, 2] = 255  # missing values
+    use = (rng.random(n) < 0.8).astype(float)
+    channels = [np.rint(rng.standard_normal(n) * 2.0 ** 22) * use, np.rint(rng.random(n) * 2.0 ** 33) * use, use]
+    edges = np.tile(np.arange(255.0), (13, 1))
+    rows = np.flatnonzero(use)
+    cand = np.broadcast_to(np.array([0, 2, 3, 5, 6, 9, 12]), (2, 7))
+    slot = np.arange(len(rows)) % 2
+    got, looked = {}, []
+    bundled = trees.LocalRows._bundled
+    monkeypatch.setattr(trees.LocalRows, "_bundled", lambda self, *a: looked.append(len(self.bundles[0])) or bundled(self, *a))
+    for single in (True, False):
+        got[single] = trees.LocalRows(bins, channels, trees.Growth(), False, edges, single=single).histograms(slot, rows, cand)
+    assert looked and looked[0] < 13
+    assert np.array_equal(got[True], got[False])
+
+
+def test_rows_settle_where_they_descend_to():
+    rng = np.random.default_rng(6)
+    bins = rng.integers(0, 200, (4000, 3)).astype(np.uint8)
+    y, w = (bins[:, 0] > 90).astype(int) + (bins[:, 1] > 60), np.ones(4000)
+    edges = np.tile(np.arange(255.0), (3, 1))
+    setting = trees.Boosting(1, 0.1, trees.Growth(depth=3))
+    tree = trees.boost(bins, y, w, np.arange(4000), np.ones(4000, bool), 3, setting, 1, edges)[1][0][0]
+    columns, want = [np.ascontiguousarray(c) for c in bins.T], tree.descend(bins)
+    for rows in (np.arange(0, 4000, 2), np.arange(5), np.arange(0)):
+        out = np.full(4000, -1, np.int32)
+        tree.settle(columns, rows, out)
+        assert np.array_equal(out[rows], want[rows]) and (np.delete(out, rows) == -1).all()
