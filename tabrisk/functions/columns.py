@@ -32,9 +32,7 @@ def coerce_double(c: str | Column, fill: float = 0.0) -> Column:
 def divide(num: str | Column, den: str | Column) -> Column:
     """Floating division as pandas does it: x/0 is ±inf, 0/0 and NaN/0 are NaN, NULL stays NULL."""
     n, d = _c(num).cast("double"), _c(den).cast("double")
-    by_zero = (F.when(F.isnan(n) | (n == 0), F.lit(float("nan")))
-               .when(n > 0, F.lit(float("inf"))).when(n < 0, F.lit(float("-inf"))))
-    return F.when(d == 0, by_zero).otherwise(F.try_divide(n, d))
+    return F.when(d == 0, n * F.lit(float("inf"))).otherwise(F.try_divide(n, d))
 
 
 def guarded_ratio(num: str | Column, den: str | Column, eps: float) -> Column:
@@ -138,4 +136,9 @@ def round_binary(c: str | Column, dp: int) -> Column:
     Spark's ``round`` rounds the shortest decimal text, which differs on exact ties.
     """
     scale = float(10 ** dp)
-    return F.round(_c(c) * F.lit(scale), 0) / F.lit(scale)
+    scaled = _c(c) * F.lit(scale)
+    # ``rint`` sends ties to the even neighbour; ``round`` would make a decimal of every value, which is far slower.
+    nearest = F.rint(scaled)
+    whole = F.when(F.abs(scaled - nearest) == 0.5, scaled + F.signum(scaled) * 0.5).otherwise(nearest)
+    # Adding 0.0 makes -0.0 zero.
+    return (whole + F.lit(0.0)) / F.lit(scale)

@@ -9,7 +9,7 @@ from tabrisk.operators import features as feat
 from tabrisk.operators.clean import Imputer, fit_medians, fit_modes, normalize_notebook, normalize_script
 from tabrisk.plans.common import r, rs, sql_with
 from tabrisk.plans.registry import register
-from tabrisk.session import checkpoint_dir
+from tabrisk.session import checkpoint_dir, compiled_methods
 from tabrisk.sources.health import CHOICES, HEALTH_SQL, ID, MEASURES, health
 
 MEASURED = list(MEASURES)
@@ -20,12 +20,15 @@ def cleaned(spark, sf_dir, fit: str, order: str = "script", rows: str = "all") -
     """Normalised and imputed health rows, written once. ``fit``: medians (and modes) of the train rows or all
     rows; ``rows``: train rows only, or all."""
     checkpoint_dir(spark)
+    compiled_methods(spark)
     df = health(spark, sf_dir)
-    df = (df.where(F.col("is_train") == 1) if rows == "train" else df).repartition(ID).checkpoint(eager=True)
-    src = df.where(F.col("is_train") == 1) if fit == "train" else df
+    df = df.where(F.col("is_train") == 1) if rows == "train" else df
     if order == "script":
-        out = normalize_script(df, CATEGORIES)
-    else:
+        # Needs no fit: done before the write, so that no later pass repeats it.
+        df = normalize_script(df, CATEGORIES)
+    out = df = df.repartition(ID).checkpoint(eager=True)
+    src = df.where(F.col("is_train") == 1) if fit == "train" else df
+    if order != "script":
         out = normalize_notebook(df, CATEGORIES, fit_modes(src, CATEGORIES))
     return Imputer(medians=fit_medians(src, MEASURED)).apply(out)
 

@@ -14,8 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # 125-column feature sets exceed the default of 100 fields per codegen stage.
-    "spark.sql.codegen.maxFields": "200",
+    # See ``compiled_methods``.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -38,6 +38,16 @@ def build_session(master: str | None = None, app: str = "tabrisk",
     return spark
 
 
+def compiled_methods(spark: SparkSession) -> None:
+    """Keep wide projections out of whole-stage methods that the JVM only interprets.
+
+    HotSpot compiles no method over 8000 bytes of bytecode; Spark's default limit, 65535, keeps such methods. Under
+    the lower limit a wide projection is generated as many short methods. A limit set by the user stays.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

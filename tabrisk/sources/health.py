@@ -36,9 +36,10 @@ CHOICES = {
 
 def health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, health_condition, 7 measures, 6 categories, is_train)``, one row an order."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    key = F.col("o_orderkey")
-    cents = F.round(F.col("o_totalprice") * 100, 0).cast("long")
+    # A projection of its own, so that the price is rounded once a row, not once a column.
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100, 0).cast("long").alias("__cents"))
+    key, cents = F.col("o_orderkey"), F.col("__cents")
     cols = []
     for c, (div, steps, lowest, unit) in MEASURES.items():
         step = F.floor(cents / F.lit(div)) % steps + lowest

@@ -158,3 +158,19 @@ def test_bundle_preset_codes_sorted_categories(spark):
     out = {r["id"]: r for r in feat.preset_bundle(_health(spark)).collect()}
     assert [out[i]["sleep_quality"] for i in (1, 2, 3)] == [1, 2, 0]  # excellent < good < poor
     assert out[2]["sleep_score"] == 10.0 and out[2]["bmi_category"] == 1 and out[2]["bmi_diff_from_group_mean"] == 0.0
+
+
+def test_round_binary_is_round_half_away_from_zero_without_a_decimal(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [None, nan, inf, -inf, -0.0, 0.125, -0.125, 0.375, -0.375, 0.00499999999999999, -0.001, 2.0 ** 53 + 2, 1e300]
+    df = one_col(spark, values)
+    out = df.select("x", fc.round_binary("x", 2).alias("got"), (F.round(F.col("x") * 100.0, 0) / 100.0).alias("want"))
+    # As text, which also shows the sign of zero and NaN.
+    assert all(str(r["got"]) == str(r["want"]) for r in out.collect())
+    assert "decimal" not in (plan := out.select("got")._jdf.queryExecution().executedPlan().toString()) and "round(" not in plan
+
+
+def test_division_by_zero_as_in_pandas(spark):
+    inf, nan = float("inf"), float("nan")
+    got = [r[0] for r in one_col(spark, [3.0, -3.0, inf, -inf, 0.0, nan, None]).select(fc.divide("x", F.lit(0.0))).collect()]
+    assert got[:4] == [inf, -inf, inf, -inf] and got[4] != got[4] and got[5] != got[5] and got[6] is None

@@ -36,3 +36,26 @@ def test_stratified_position_window_is_not_per_class(spark):
     o = table(spark, SF_SMALL, "orders").select("o_orderkey", "o_orderstatus")
     plan = _plan(stratified_kfold(o, "o_orderstatus", "o_orderkey"))
     assert "_pid" in plan
+
+
+def test_wide_feature_set_repeats_no_cleaning_and_is_compiled(spark):
+    from __spark_entry__ import queries
+    from tabrisk.session import compiled_methods
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "65535")
+        plan = queries()["preset_ultimate"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert spark.conf.get(limit) == "8000"
+        assert "regexp_replace" not in plan and "round(" not in plan
+        spark.conf.set(limit, "4000")
+        compiled_methods(spark)
+        assert spark.conf.get(limit) == "4000"
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_health_rows_round_the_price_once(spark):
+    from tabrisk.sources.health import health
+    plan = health(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("round(") == 1
